@@ -38,10 +38,15 @@ def fmt_salary(value: Column) -> Column:
     return F.when(value.isNull(), F.lit("N/A")).otherwise(F.concat(F.lit("$"), F.format_number(value, 0)))
 
 
+def fixed(value: Column, digits: int) -> Column:
+    """Fixed decimals without grouping; ties follow the binary value, half to even."""
+    return F.replace(F.format_number(value.cast("double"), digits), F.lit(","), F.lit(""))
+
+
 def fmt_number(value: Column) -> Column:
     number = value.cast("double")
     return (
-        F.when(number >= 1_000_000, F.concat(F.format_string("%.1f", number / 1_000_000), F.lit("M")))
-        .when(number >= 1_000, F.concat(F.format_string("%.1f", number / 1_000), F.lit("K")))
+        F.when(number >= 1_000_000, F.concat(fixed(number / 1_000_000, 1), F.lit("M")))
+        .when(number >= 1_000, F.concat(fixed(number / 1_000, 1), F.lit("K")))
         .otherwise(F.format_number(number, 0))
     )

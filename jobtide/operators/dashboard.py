@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.functions.text import fmt_number, fmt_salary
+from jobtide.functions.text import fixed, fmt_number, fmt_salary
 from jobtide.functions.vocabulary import skill_category
 
 Groups = dict[str, tuple[str, ...]] | None
@@ -158,8 +158,8 @@ def dash_cluster_members(clusters: DataFrame, cluster: int | None = None, groups
 
 def dash_metrics(metrics: DataFrame) -> DataFrame:
     """Model metrics as cards: (model, metric, value, shown)."""
-    digits = F.when(F.col("metric").endswith("r2_mean"), F.format_string("%.3f", "value")).when(
+    digits = F.when(F.col("metric").endswith("r2_mean"), fixed(F.col("value"), 3)).when(
         F.col("metric") == "anomaly_threshold", F.format_string("%.2e", "value")
     )
     counts = F.when(F.col("metric").startswith("n_"), fmt_number(F.col("value")))
-    return metrics.withColumn("shown", F.coalesce(digits, counts, F.format_string("%.2f", "value")))
+    return metrics.withColumn("shown", F.coalesce(digits, counts, fixed(F.col("value"), 2)))
