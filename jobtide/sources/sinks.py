@@ -22,17 +22,16 @@ class WriteResult:
     rows: int
 
 
-def _write_partitioned(df: DataFrame, path: str, mode: str, files_per_partition: int) -> WriteResult:
+def _write_partitioned(df: DataFrame, path: str, mode: str) -> WriteResult:
     """Partitioned Parquet, clustered by month so that a task writes few files.
 
-    A month may hold a large share of all rows, so its rows are spread over *files_per_partition* tasks by a hash
-    of the job id instead of landing in one.
+    Rebalancing lets adaptive execution merge small months into one task and split a month that holds a large share
+    of the rows over many.
     """
     rows = Observation("written")
-    spread = F.pmod(F.xxhash64("job_id"), F.lit(files_per_partition))
     (
         df.observe(rows, F.count(F.lit(1)).alias("rows"))
-        .repartition(*[F.col(c) for c in PARTITIONS], spread)
+        .hint("rebalance", *PARTITIONS)
         .write.mode(mode)
         .option("maxRecordsPerFile", ROWS_PER_FILE)
         .partitionBy(*PARTITIONS)
@@ -41,13 +40,13 @@ def _write_partitioned(df: DataFrame, path: str, mode: str, files_per_partition:
     return WriteResult(path, int(rows.get["rows"]))
 
 
-def write_jobs(df: DataFrame, path: str, mode: str = "overwrite", files_per_partition: int = 8) -> WriteResult:
+def write_jobs(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:
     """The jobs table; with ``partitionOverwriteMode=dynamic`` only the months present are replaced."""
-    return _write_partitioned(df, path, mode, files_per_partition)
+    return _write_partitioned(df, path, mode)
 
 
-def write_job_skills(df: DataFrame, path: str, mode: str = "overwrite", files_per_partition: int = 8) -> WriteResult:
-    return _write_partitioned(df, path, mode, files_per_partition)
+def write_job_skills(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:
+    return _write_partitioned(df, path, mode)
 
 
 def write_training_data(df: DataFrame, path: str, mode: str = "overwrite") -> WriteResult:
