@@ -26,12 +26,31 @@ def whole_word_pattern(term: str) -> str:
     return before + re.sub(r"([^\w\s])", r"\\\1", term) + after
 
 
-def contains_word(lowered: Column, term: str) -> Column:
-    """True where *term* occurs as a whole word in the lower-cased text.
+def words_of(term: str) -> list[str]:
+    """Maximal runs of word characters. Where *term* matches as a whole word, each of them is a word of the text."""
+    return re.findall(r"\w+", term)
 
-    The byte search runs first and rules out most texts, so the pattern is only tried where it can match.
+
+def split_words(lowered: Column) -> Column:
+    """Words of a text in order, in one pass."""
+    return F.split(lowered, rf"[^{_WORD[1:-1]}]+")
+
+
+def contains_word(lowered: Column, words: Column, term: str) -> Column:
+    """True where *term* occurs as a whole word in the lower-cased text whose (relevant) words are *words*.
+
+    A term that is one word is looked up. Any other term is searched for only where all its words occur: first as
+    bytes, then by its pattern.
     """
-    return lowered.contains(term) & lowered.rlike(whole_word_pattern(term))
+    parts = words_of(term)
+    test = None
+    for part in parts:
+        present = F.array_contains(words, part)
+        test = present if test is None else test & present
+    if parts == [term]:
+        return test
+    spelled = lowered.contains(term) & lowered.rlike(whole_word_pattern(term))
+    return spelled if test is None else test & spelled
 
 
 def fmt_salary(value: Column) -> Column:

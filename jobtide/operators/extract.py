@@ -7,17 +7,23 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from jobtide.functions.text import contains_word
+from jobtide.functions.text import contains_word, split_words, words_of
 from jobtide.functions.vocabulary import ALIAS_VOCABULARY, Vocabulary
 
-_LOWERED = "_lowered_text"
+_LOWERED, _WORDS = "_lowered_text", "_known_words"
 
 
-def skills_in(lowered: Column, vocabulary: Vocabulary) -> Column:
+def _known_words(lowered: Column, vocabulary: Vocabulary) -> Column:
+    """The words of the text that some spelling of the vocabulary contains."""
+    wanted = sorted({w for spellings in vocabulary.spellings().values() for s in spellings for w in words_of(s)})
+    return F.array_intersect(split_words(lowered), F.array(*[F.lit(w) for w in wanted]))
+
+
+def skills_in(lowered: Column, words: Column, vocabulary: Vocabulary) -> Column:
     """Names found in lower-cased text, sorted and distinct because each is tested once, in name order."""
     hits = []
     for name, spellings in vocabulary.spellings().items():
-        found = reduce(lambda a, b: a | b, [contains_word(lowered, spelling) for spelling in spellings])
+        found = reduce(lambda a, b: a | b, [contains_word(lowered, words, spelling) for spelling in spellings])
         hits.append(F.when(found, F.lit(name)))
     return F.array_compact(F.array(*hits))
 
@@ -27,10 +33,12 @@ def extract_skills(
 ) -> DataFrame:
     """Add the array of skills named in *text*; NULL and empty text give an empty array.
 
-    All tests are native expressions in one projection, so extraction needs neither a Python worker nor a shuffle.
+    The text is split once and reduced to the few words the vocabulary knows; all tests run on those. Everything is
+    native, so extraction needs neither a Python worker nor a shuffle, and its cost hardly grows with the vocabulary.
     """
     lowered = df.withColumn(_LOWERED, F.lower(F.col(text)))
-    return lowered.withColumn(out, skills_in(F.col(_LOWERED), vocabulary)).drop(_LOWERED)
+    split = lowered.withColumn(_WORDS, _known_words(F.col(_LOWERED), vocabulary))
+    return split.withColumn(out, skills_in(F.col(_LOWERED), F.col(_WORDS), vocabulary)).drop(_LOWERED, _WORDS)
 
 
 def skills_passthrough(

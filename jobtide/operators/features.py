@@ -135,9 +135,14 @@ def feat_growth(df: DataFrame, keys: Keys = SERIES) -> DataFrame:
     )
 
 
-def feat_market_share(df: DataFrame, keys: Keys = SERIES, epsilon: float = 0.0) -> DataFrame:
-    """Share of the week's total and its change against four rows before."""
-    totals = df.groupBy("week").agg(F.sum("job_count").alias("_week_total"))
+def feat_market_share(
+    df: DataFrame, keys: Keys = SERIES, epsilon: float = 0.0, basis: DataFrame | None = None
+) -> DataFrame:
+    """Share of the week's total and its change against four rows before.
+
+    *basis*: the same rows before other columns were added, from which the totals are cheaper.
+    """
+    totals = (df if basis is None else basis).groupBy("week").agg(F.sum("job_count").alias("_week_total"))
     shared = df.join(F.broadcast(totals), "week", "left").withColumn(
         "market_share", ratio(F.col("job_count"), F.col("_week_total") + F.lit(epsilon))
     )
@@ -177,18 +182,25 @@ def feat_trend_strength(df: DataFrame, keys: Keys = SERIES, rows: int = 8, min_r
     return numbered.withColumn(f"trend_strength_{rows}w", fit).drop("_t")
 
 
-def feat_emergence(df: DataFrame, keys: Keys = SERIES, expanding: bool = False, epsilon: float = 1e-8) -> DataFrame:
+def _with_novelty(df: DataFrame, keys: Keys, expanding: bool) -> DataFrame:
+    window = series_window(df, keys)
+    frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow) if expanding else Window.partitionBy(*keys)
+    return df.withColumn("_novelty", F.lit(1.0) / (F.lit(1.0) + F.log1p(F.avg("job_count").over(frame))))
+
+
+def feat_emergence(
+    df: DataFrame, keys: Keys = SERIES, expanding: bool = False, epsilon: float = 1e-8, basis: DataFrame | None = None
+) -> DataFrame:
     """Composite of growth, acceleration, trend and novelty, each scaled within its week.
 
     Novelty uses the mean of the whole series; *expanding* uses the rows up to the week instead, without looking
-    ahead.
+    ahead. *basis*: the same rows with only the growth columns, from which the bounds are cheaper.
     """
-    window = series_window(df, keys)
-    frame = window.rowsBetween(Window.unboundedPreceding, Window.currentRow) if expanding else Window.partitionBy(*keys)
-    raw = df.withColumn("_novelty", F.lit(1.0) / (F.lit(1.0) + F.log1p(F.avg("job_count").over(frame))))
+    raw = _with_novelty(df, keys, expanding)
+    source = raw if basis is None else _with_novelty(basis, keys, expanding)
     scaled = {"growth_score": "mom_growth", "acceleration_score": "growth_acceleration", "novelty_score": "_novelty"}
-    bounds = raw.groupBy("week").agg(
-        *[f(source).alias(f"_{f.__name__}_{name}") for name, source in scaled.items() for f in (F.min, F.max)]
+    bounds = source.groupBy("week").agg(
+        *[f(column).alias(f"_{f.__name__}_{name}") for name, column in scaled.items() for f in (F.min, F.max)]
     )
     joined = raw.join(F.broadcast(bounds), "week", "left")
 
@@ -215,10 +227,12 @@ def category_weekly(df: DataFrame, groups: dict[str, tuple[str, ...]] | None = N
     return named.groupBy("week", "skill_category").agg(F.sum("job_count").alias("category_job_count"))
 
 
-def feat_category(df: DataFrame, groups: dict[str, tuple[str, ...]] | None = None) -> DataFrame:
+def feat_category(
+    df: DataFrame, groups: dict[str, tuple[str, ...]] | None = None, basis: DataFrame | None = None
+) -> DataFrame:
     """Category, its total in the week, and the row's share of it. There are eight categories per week."""
     named = df.withColumn("skill_category", model_category(F.col("skill"), groups))
-    joined = named.join(F.broadcast(category_weekly(df, groups)), ["week", "skill_category"], "left")
+    joined = named.join(F.broadcast(category_weekly(df if basis is None else basis, groups)), ["week", "skill_category"], "left")
     share = ratio(F.col("job_count"), F.col("category_job_count") + 1)
     return joined.withColumn("category_share", share).select(
         *df.columns, "skill_category", "category_job_count", "category_share"
@@ -243,9 +257,9 @@ def all_features(
     df = feat_salary_growth(df, keys)
     df = feat_cv(df)
     df = feat_trend_strength(df, keys)
-    df = feat_market_share(df, keys)
-    df = feat_emergence(df, keys, expanding)
-    return feat_category(df, groups)
+    df = feat_market_share(df, keys, basis=weekly)
+    df = feat_emergence(df, keys, expanding, basis=feat_growth(weekly, keys))
+    return feat_category(df, groups, basis=weekly)
 
 
 def _identity(df: DataFrame) -> list[str]:

@@ -29,8 +29,9 @@ def cooccurrence_selfjoin(df: DataFrame, wide_job: int = 1024, block: int = 256)
         df.filter(F.col("skill").isNotNull() & F.col("job_id").isNotNull())
         .groupBy("job_id", "skill").agg(F.count(F.lit(1)).alias("_n"))
     )
+    # Counting through _n keeps the column, so this branch reads the same shuffle as the join.
     wide = (
-        weights.groupBy("job_id").agg(F.count(F.lit(1)).alias("_k")).filter(F.col("_k") > wide_job)
+        weights.groupBy("job_id").agg(F.count_if(F.col("_n") > 0).alias("_k")).filter(F.col("_k") > wide_job)
         .select("job_id", F.ceil(F.col("_k") / block).cast("int").alias("_blocks"))
     )
     narrow = weights.join(wide, "job_id", "left_anti")

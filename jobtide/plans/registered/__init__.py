@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-_PARTS = ("demand", "features", "postings", "storage", "models")
+_PARTS = ("demand", "features", "postings", "storage", "models", "streams")
 
 
 def _merged(attribute: str) -> dict:
