@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.functions.text import fixed, fmt_number, fmt_salary
 from jobtide.functions.vocabulary import skill_category
+from jobtide.plans.store import stored
 
 Groups = dict[str, tuple[str, ...]] | None
 
@@ -111,27 +112,34 @@ def _both_sides(pairs: DataFrame) -> DataFrame:
 def dash_cooc_long(
     pairs: DataFrame, n: int = 15, top_pairs: int = 200, categories: list[str] | None = None, groups: Groups = None
 ) -> DataFrame:
-    """The symmetric matrix of the *n* skills most present in the top pairs, in long form with zeros."""
+    """The symmetric matrix of the *n* skills most present in the top pairs, in long form with zeros.
+
+    After the top pairs are taken there are at most ``2 * top_pairs`` rows, so what follows is one small task.
+    """
     top = top_k(pairs, top_pairs, "cooccurrence_count", "skill_a", "skill_b")
     if categories:
         a, b = skill_category(F.col("skill_a"), groups), skill_category(F.col("skill_b"), groups)
         top = top.filter(a.isin(categories) & b.isin(categories))
-    sides = _both_sides(top)
-    totals = sides.groupBy("skill").agg(F.sum("cooccurrence_count").alias("_total"))
-    shown = top_k(totals, n, "_total", "skill")
-    names = shown.agg(F.array_sort(F.collect_list("skill"))).scalar()
-    cells = shown.select("skill", names.alias("_names")).select("skill", F.explode("_names").alias("other"))
-    return (
-        cells.join(F.broadcast(sides), ["skill", "other"], "left")
-        .select("skill", "other", F.coalesce("cooccurrence_count", F.lit(0)).alias("cooccurrence_count"))
+    by_skill = Window.partitionBy("skill")
+    shown = (
+        _both_sides(top)
+        .withColumn("_total", F.sum("cooccurrence_count").over(by_skill))
+        .withColumn("_rank", F.dense_rank().over(Window.orderBy(F.desc("_total"), "skill")))
+        .filter(F.col("_rank") <= n)
+        .groupBy("skill")
+        .agg(F.map_from_entries(F.collect_list(F.struct("other", "cooccurrence_count"))).alias("_counts"))
     )
+    names = F.array_sort(F.collect_list("skill").over(Window.partitionBy()))
+    cells = shown.withColumn("_names", names).select("skill", "_counts", F.explode("_names").alias("other"))
+    count = F.try_element_at("_counts", F.col("other"))
+    return cells.select("skill", "other", F.coalesce(count, F.lit(0)).alias("cooccurrence_count"))
 
 
 def dash_cooc_matrix(
     pairs: DataFrame, n: int = 15, top_pairs: int = 200, categories: list[str] | None = None, groups: Groups = None
 ) -> DataFrame:
-    """One row and one column per skill. The columns are data, so the long form runs once for their names."""
-    long = dash_cooc_long(pairs, n, top_pairs, categories, groups)
+    """One row and one column per skill. The columns are data, so the long form is written before it is turned."""
+    long = stored(dash_cooc_long(pairs, n, top_pairs, categories, groups), "cooc")
     return long.groupBy("skill").pivot("other").agg(F.sum("cooccurrence_count")).na.fill(0)
 
 

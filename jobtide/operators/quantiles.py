@@ -7,6 +7,8 @@ from decimal import Decimal
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from jobtide.plans.store import stored
+
 
 def quantiles_disc(
     df: DataFrame, keys: list[str], value: str, fractions: dict[str, str], low: float, high: float, bins: int = 4096
@@ -14,9 +16,10 @@ def quantiles_disc(
     """One row per group with a column per fraction: the smallest value whose rank reaches ``ceil(p * n)``.
 
     Values lie between *low* and *high*. A first pass counts values per group and bin, which combines on the map
-    side to at most *bins* rows per group; the cumulated counts tell which bin holds each rank. A second pass keeps
-    the values of those bins only, counted by value, and picks the one that reaches the rank. No task sees more
-    than the distinct values of one bin, however large the group.
+    side to at most *bins* rows per group; the cumulated counts tell which bin holds each rank. This list is written
+    out, so its size is known: a small one is broadcast and the second pass shuffles nothing but counts, a large one
+    is joined by shuffle. The second pass keeps the values of the listed bins only, counted by value, and picks the
+    one that reaches the rank. No task sees more than the distinct values of one bin, however large the group.
     """
     width = (high - low) / bins
     binned = df.filter(F.col(value).isNotNull()).select(
@@ -35,13 +38,14 @@ def quantiles_disc(
         )
         for name, p in fractions.items()
     ])
-    targets = (
+    targets = stored(
         histogram.withColumn("_want", F.explode(wanted))
         .filter((F.col("_want.rank") <= F.col("_upto")) & (F.col("_want.rank") > F.col("_upto") - F.col("_n")))
         .select(
             *keys, "_bin", F.col("_want.name").alias("_name"),
             (F.col("_want.rank") - (F.col("_upto") - F.col("_n"))).alias("_rank"),
-        )
+        ),
+        "quantile_bins",
     )
     by_value = Window.partitionBy(*keys, "_name").orderBy("_v")
     picked = (

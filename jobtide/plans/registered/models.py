@@ -117,7 +117,13 @@ def _train_all(spark, sf):
 def _saved(spark, sf):
     folder = scratch_path(spark, "models")
     training.save_models(_train_all(spark, sf), folder)
-    return training.load_models(spark, folder).metrics
+    return folder
+
+
+def _loaded(spark, sf):
+    models = training.load_models(spark, _saved(spark, sf))
+    scored = inference.batch_score(models.demand, models.forest, matrix(spark, sf))
+    return scored.select("skill", "week", "demand_forecast", "emergence_score_model")
 
 
 def _scored(spark, sf):
@@ -160,7 +166,8 @@ QUERIES = {
     "train_emergence": _outliers,
     "train_clusters": lambda spark, sf: cl.train_clusters(matrix(spark, sf)),
     "train_all": lambda spark, sf: _train_all(spark, sf).metrics,
-    "save_load_models": _saved,
+    "save_models": lambda spark, sf: spark.read.parquet(f"{_saved(spark, sf)}/metrics"),
+    "load_models": _loaded,
     "batch_score": _scored,
     "align_features": _aligned,
     "forecast_demand": _forecast,

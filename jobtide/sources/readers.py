@@ -113,20 +113,29 @@ def _first_existing(spark: SparkSession, folder: str, names: Iterable[str]) -> s
     raise FileNotFoundError(f"none of {', '.join(wanted)} below {folder}")
 
 
-def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None) -> DataFrame:
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+def _read_csv(spark: SparkSession, path: str, schema: T.StructType | None, multi_line: bool) -> DataFrame:
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     if schema is not None:
         reader = reader.schema(schema)
     return reader.csv(path)
 
 
-def read_postings_csv(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
-    """Bulk postings; columns stay text until :func:`coerce_numeric` and friends type them."""
-    return _read_csv(spark, _first_existing(spark, folder, POSTING_FILES), schema)
+def read_postings_csv(
+    spark: SparkSession, folder: str, schema: T.StructType | None = None, multi_line: bool = True
+) -> DataFrame:
+    """Bulk postings; columns stay text until :func:`coerce_numeric` and friends type them.
+
+    Descriptions may hold line breaks, which ties a file to one task; deliver large sets as many files, or turn
+    *multi_line* off where no field has breaks.
+    """
+    return _read_csv(spark, _first_existing(spark, folder, POSTING_FILES), schema, multi_line)
 
 
-def read_skills_csv(spark: SparkSession, folder: str, schema: T.StructType | None = None) -> DataFrame:
-    return _read_csv(spark, _first_existing(spark, folder, SKILL_FILES), schema)
+def read_skills_csv(
+    spark: SparkSession, folder: str, schema: T.StructType | None = None, multi_line: bool = False
+) -> DataFrame:
+    """Bulk skill lists, one line per posting, so the file is split among tasks."""
+    return _read_csv(spark, _first_existing(spark, folder, SKILL_FILES), schema, multi_line)
 
 
 def read_parquet_multi(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
