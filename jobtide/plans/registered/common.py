@@ -52,16 +52,23 @@ def category_sql(column: str, groups: dict[str, tuple[str, ...]] | None = None,
     return f"CASE {cases} ELSE '{default}' END"
 
 
-def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
+def _digits(name: str) -> int:
+    """Amounts of money are sums of cents over counts, compared to six digits; ratios to nine."""
+    return 6 if "salary" in name and "growth" not in name else 9
+
+
+def rounded(df: DataFrame) -> DataFrame:
     """Round doubles so that two engines that add in another order agree; -0.0 becomes 0.0."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, digits) + F.lit(0.0)
+            column = F.round(column, _digits(field.name)) + F.lit(0.0)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
 
-def r(expression: str, alias: str | None = None, digits: int = 6) -> str:
-    return f"round({expression}, {digits}) + 0.0 AS {alias or expression}"
+def r(expression: str, alias: str | None = None) -> str:
+    """The SQL counterpart of :func:`rounded` for one column."""
+    name = alias or expression
+    return f"round({expression}, {_digits(name)}) + 0.0 AS {name}"

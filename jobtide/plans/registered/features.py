@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
-
 from jobtide.operators import demand, features, relations
 from jobtide.plans.registered.common import BRAND_GROUPS, JOB_SKILLS_SQL, WEEKLY_SQL, category_sql, r, rounded
 from jobtide.plans.store import stored
@@ -74,7 +72,7 @@ QUERIES = {
         features.latest_features(job_skills(spark, sf), filter_first=True)
     ),
     "inference_features": lambda spark, sf: rounded(
-        features.inference_history(job_skills(spark, sf), 20).withColumn("avg_salary", F.round("avg_salary", 6)), 8
+        features.inference_history(job_skills(spark, sf), 20)
     ),
     "latest_per_skill": _block(features.latest_per_skill),
 }
@@ -181,7 +179,8 @@ _MODEL_CATEGORY = category_sql("skill", MODEL_GROUPS, "other")
 
 
 def _finite(expression: str, name: str) -> str:
-    return f"round(CASE WHEN {expression} IS NULL OR isnan({expression}) OR isinf({expression}) THEN 0.0 ELSE {expression} END, 6) + 0.0 AS {name}"
+    unusable = f"{expression} IS NULL OR isnan({expression}) OR isinf({expression})"
+    return r(f"CASE WHEN {unusable} THEN 0.0 ELSE {expression} END", name)
 
 
 def _matrix_sql() -> str:
@@ -243,7 +242,7 @@ gr AS (SELECT *, {growth}, {share} AS market_share FROM ws),
 sh AS (SELECT *, {_pct('market_share', _lag('market_share', 4, window))} AS market_share_change FROM gr),
 {_trend('sh', 'skill')}, {_emergence_ctes('tr', 'skill')}
 SELECT skill, week, job_count, {r('avg_salary')},
-  {', '.join(r(c, digits=8) for c in (*_growth_columns(), 'trend_strength_8w', 'market_share', 'market_share_change', *_SCORES))}
+  {', '.join(r(c) for c in (*_growth_columns(), 'trend_strength_8w', 'market_share', 'market_share_change', *_SCORES))}
 FROM em"""
 
 
