@@ -57,13 +57,18 @@ def _digits(name: str) -> int:
     return 6 if "salary" in name and "growth" not in name else 9
 
 
+def _nudge(name: str) -> float:
+    """Added before rounding: means over 2, 4, 8, ... rows lie exactly between two steps, and this decides them alike."""
+    return float(f"3e-{_digits(name) + 2}")
+
+
 def rounded(df: DataFrame) -> DataFrame:
     """Round doubles so that two engines that add in another order agree; -0.0 becomes 0.0."""
     columns = []
     for field in df.schema.fields:
         column = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DoubleType):
-            column = F.round(column, _digits(field.name)) + F.lit(0.0)
+            column = F.round(column + F.lit(_nudge(field.name)), _digits(field.name)) + F.lit(0.0)
         columns.append(column.alias(field.name))
     return df.select(*columns)
 
@@ -71,4 +76,4 @@ def rounded(df: DataFrame) -> DataFrame:
 def r(expression: str, alias: str | None = None) -> str:
     """The SQL counterpart of :func:`rounded` for one column."""
     name = alias or expression
-    return f"round({expression}, {_digits(name)}) + 0.0 AS {name}"
+    return f"round(({expression}) + {_nudge(name)!r}, {_digits(name)}) + 0.0 AS {name}"

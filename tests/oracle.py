@@ -17,6 +17,8 @@ import duckdb
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
+EXACT = False
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
     "conversations"
@@ -35,12 +37,16 @@ def plain(value):
     if isinstance(value, float):
         if math.isnan(value):
             return "nan"
+        if EXACT:
+            return repr(value)
         return f"{value:.9g}" if value else "0"
     if isinstance(value, decimal.Decimal):
         return f"{float(value):.9g}"
     if isinstance(value, bool):
         return str(value)
     if isinstance(value, int):
+        if EXACT:
+            return str(value)
         return f"{float(value):.9g}"
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
@@ -77,8 +83,9 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple
     ours = dict(df.dtypes)
     left, right = canonical(df.columns, rows), canonical(columns, expected)
     if left != right:
-        only_left = [row for row in left if row not in set(right)][:3]
-        only_right = [row for row in right if row not in set(left)][:3]
+        ours, theirs = set(left), set(right)
+        only_left = [row for row in left if row not in theirs][:3]
+        only_right = [row for row in right if row not in ours][:3]
         return False, f"{note}; SQL {len(right)} rows\n   {sorted(df.columns)}\n   spark {only_left}\n   sql   {only_right}"
     same = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE", "boolean": "BOOLEAN"}
     odd = {c: (ours[c], kinds[c]) for c in ours if ours[c] in same and same[ours[c]] != kinds[c]}
@@ -88,9 +95,11 @@ def compare(spark, con, name: str, query, sql: str | None, sf_dir: str) -> tuple
 def main() -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--sf", default="/root/testdata/sf0.01")
-    parser.add_argument("--module", default=None)
+    parser.add_argument("--exact", action="store_true", help="compare doubles bit by bit")
     parser.add_argument("names", nargs="*")
     args = parser.parse_args()
+    global EXACT
+    EXACT = args.exact
     import __spark_entry__ as contract
     from jobtide.session import build_session
 
