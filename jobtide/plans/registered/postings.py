@@ -168,10 +168,11 @@ def _dirty_skills(spark, sf):
 
 
 def _search(spark, sf):
-    return nz.search_postings(
+    page = nz.search_postings(
         _jobs(spark, sf), what="rest building", where="nation_1", max_days_old=1000, salary_min=20_000, page=2,
         results_per_page=20, as_of=as_of(spark, sf),
-    ).select("job_id", "title", "posted_date", "salary_min_usd")
+    )
+    return rounded(page.select("job_id", "title", "posted_date", "salary_min_usd"))
 
 
 def _extracted(key):
