@@ -17,8 +17,7 @@ def _trimmed_id(df: DataFrame) -> DataFrame:
 def join_skills_jobs(skills: DataFrame, jobs: DataFrame, country: str = "US", impute_dates: bool = False) -> DataFrame:
     """Junction of a skill list and its postings; the skills alone when no id is common.
 
-    Whether any id is common is one semi-join that stops at the first hit. The reference matches the sides on
-    whole ids only, so the choice falls once for the table, not per row.
+    Whether any id is common is one semi-join over the ids alone; the choice falls once for the table, not per row.
     """
     named = _trimmed_id(skills.select("job_id", "skill").filter(F.col("skill").isNotNull()))
     dated = _trimmed_id(jobs.select("job_id", "posted_date", "salary_mid", "year", "month"))

@@ -123,7 +123,6 @@ _TREND_CASE = """CASE WHEN {g} > 50 THEN 'Hot' WHEN {g} > 20 THEN 'Rising' WHEN
   WHEN {g} <= 0 THEN 'Declining' ELSE 'Stable' END"""
 _PICKED = "('Brand#1', 'Brand#2', 'Brand#7')"
 
-#: Half-even rounding at one decimal, which DuckDB spells round_even.
 SQL = {
     "top_skills": JOB_SKILLS_SQL + """
 SELECT skill, count(*) AS job_count, round(avg(salary_mid_usd), 0) AS avg_salary,
