@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtide.llm.bpe import encode_texts
 from jobtide.llm.exact_dedup import exact_duplicates
 from jobtide.llm.mixing import mix_sources
 
@@ -23,9 +24,23 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(docs, carry=["doc_id"], digest_all=True)
 
 
+def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    coded = encode_texts(
+        docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, carry=["doc_id"], decode=True
+    )
+    return coded.select(
+        "doc_id", F.expr("octet_length(ids) div 4").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op8_bpe": op8_bpe,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
