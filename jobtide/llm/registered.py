@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.llm.bpe import encode_texts
 from jobtide.llm.exact_dedup import exact_duplicates
 from jobtide.llm.mixing import mix_sources
+from jobtide.llm.quality import fit_quality, score_quality
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -37,10 +38,25 @@ def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def fold(modulus: int, column: str = "doc_id") -> Column:
+    """Whether a row is held out: crc32 of the id as text leaves 2. Rows without an id are not."""
+    return F.coalesce(F.crc32(F.col(column).cast("string")) % modulus == 2, F.lit(False))
+
+
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = _table(spark, sf_dir, "labels").select("doc_id", "quality").where(~fold(4))
+    scored = score_quality(docs, fit_quality(docs, labels), carry=["doc_id"])
+    return scored.select(
+        "doc_id", fold(4).alias("held_out"), "score", F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    )
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op6_exact_dedup": op6_exact_dedup,
     "op8_bpe": op8_bpe,
+    "op9_quality": op9_quality,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
