@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.bpe import encode_texts
 from jobtide.llm.exact_dedup import exact_duplicates
+from jobtide.llm.language import fit_language, predict_language
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.quality import fit_quality, score_quality
 
@@ -25,6 +26,12 @@ def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(docs, carry=["doc_id"], digest_all=True)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = fit_language(docs.select("doc_id", "text", "lang").where(~fold(4)))
+    return predict_language(docs.select("doc_id", "text"), model, carry=["doc_id"]).withColumn("held_out", fold(4))
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -55,6 +62,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op6_exact_dedup": op6_exact_dedup,
+    "op7_language": op7_language,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
 }
