@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.bpe import encode_texts
 from jobtide.llm.exact_dedup import exact_duplicates
+from jobtide.llm.jaccard import jaccard_groups
 from jobtide.llm.language import fit_language, predict_language
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.quality import fit_quality, score_quality
@@ -21,6 +22,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs)
 
 
+def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_groups(docs, size=3, percent=90, carry=["doc_id"]).drop("kept")
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_duplicates(docs, carry=["doc_id"], digest_all=True)
@@ -61,6 +67,7 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op4_jaccard": op4_jaccard,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language": op7_language,
     "op8_bpe": op8_bpe,
