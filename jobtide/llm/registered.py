@@ -10,6 +10,7 @@ from jobtide.llm.exact_dedup import exact_duplicates
 from jobtide.llm.jaccard import jaccard_groups
 from jobtide.llm.language import fit_language, predict_language
 from jobtide.llm.mixing import mix_sources
+from jobtide.llm.near_vectors import near_vectors
 from jobtide.llm.quality import fit_quality, score_quality
 
 
@@ -65,6 +66,10 @@ def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(_table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_jaccard": op4_jaccard,
@@ -72,11 +77,31 @@ QUERIES = {
     "op7_language": op7_language,
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
+    "op10_near_vectors": op10_near_vectors,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
 SQL = {
+    "op10_near_vectors": """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+),
+ok AS (
+  SELECT vec_id, label, e FROM v
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, x -> x <> 0)) > 0
+),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
+    AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.98
+),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+component AS (SELECT a AS vec_id, min(b) AS component_id FROM reach GROUP BY a)
+SELECT vec_id, CAST((SELECT count(*) FROM links WHERE links.a = component.vec_id) AS BIGINT) AS n_links, component_id,
+       vec_id = component_id AS kept
+FROM component
+""",
     "op6_exact_dedup": rf"""
 WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars, sha256({_NORM}) AS text_sha256 FROM documents)
 SELECT doc_id, first_value(doc_id) OVER g AS keep_id, CAST(count(*) OVER (PARTITION BY text_sha256) AS BIGINT) AS group_size,
