@@ -11,6 +11,7 @@ from jobtide.llm.jaccard import jaccard_groups
 from jobtide.llm.language import fit_language, predict_language
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import near_vectors
+from jobtide.llm.personal import KINDS, counted, listed, personal_spans
 from jobtide.llm.quality import fit_quality, score_quality
 
 
@@ -28,6 +29,12 @@ def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_groups(docs, size=3, percent=90, carry=["doc_id"]).drop("kept")
 
 
+def op5_personal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = personal_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), carry=["doc_id"])
+    counts = [counted("base", kind).alias(f"n_{kind}") for kind in KINDS]
+    return found.select("doc_id", *counts, F.sha2(listed("base"), 256).alias("base_sha256"), listed("spans").alias("spans"))
+
+
 def op6_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return exact_duplicates(docs, carry=["doc_id"], digest_all=True)
@@ -73,6 +80,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_jaccard": op4_jaccard,
+    "op5_personal": op5_personal,
     "op6_exact_dedup": op6_exact_dedup,
     "op7_language": op7_language,
     "op8_bpe": op8_bpe,
@@ -85,12 +93,12 @@ _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 SQL = {
     "op10_near_vectors": """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, list_transform(embedding, x -> CAST(x AS DOUBLE)) AS e FROM embeddings
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
 ),
 ok AS (
   SELECT vec_id, label, e FROM v
-  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, x -> x IS NULL OR NOT isfinite(x))) = 0
-    AND len(list_filter(e, x -> x <> 0)) > 0
+  WHERE label IS NOT NULL AND e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(e, lambda x: x <> 0)) > 0
 ),
 links AS (
   SELECT a.vec_id AS a, b.vec_id AS b FROM ok a JOIN ok b ON a.label = b.label AND a.vec_id <> b.vec_id
