@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -36,7 +37,7 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 4 <<
     for batch in batches:
         values = batch.column(batch.schema.get_field_index(column))
         start = size = 0
-        for row, length in enumerate(pa.compute.fill_null(pa.compute.binary_length(values), 0).to_pylist()):
+        for row, length in enumerate(pc.fill_null(pc.binary_length(values), 0).to_pylist()):
             if row > start and size + length > max_bytes:
                 yield batch.slice(start, row - start)
                 start, size = row, 0

@@ -13,6 +13,7 @@ from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import near_vectors
 from jobtide.llm.personal import KINDS, counted, listed, personal_spans
 from jobtide.llm.quality import fit_quality, score_quality
+from jobtide.llm.substrings import repeated_passages
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,6 +25,10 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs)
 
 
+def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
     return jaccard_groups(docs, size=3, percent=90, carry=["doc_id"]).drop("kept")
@@ -79,6 +84,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op3_substrings": op3_substrings,
     "op4_jaccard": op4_jaccard,
     "op5_personal": op5_personal,
     "op6_exact_dedup": op6_exact_dedup,
