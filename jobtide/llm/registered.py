@@ -9,6 +9,7 @@ from jobtide.llm.bpe import encode_texts
 from jobtide.llm.exact_dedup import exact_duplicates
 from jobtide.llm.jaccard import jaccard_groups
 from jobtide.llm.language import fit_language, predict_language
+from jobtide.llm.language_model import score_texts
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import near_vectors
 from jobtide.llm.personal import KINDS, counted, listed, personal_spans
@@ -25,6 +26,11 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_sources(docs)
 
 
+def op2_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
+    return score_texts(docs, ~fold(7), carry=["doc_id"]).withColumn("held_out", fold(7))
+
+
 def op3_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_passages(_table(spark, sf_dir, "documents").select("doc_id", "text"))
 
@@ -84,6 +90,7 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_context_tree": op2_context_tree,
     "op3_substrings": op3_substrings,
     "op4_jaccard": op4_jaccard,
     "op5_personal": op5_personal,
