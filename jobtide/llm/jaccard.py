@@ -76,8 +76,11 @@ def _verified(pairs: DataFrame, segments: DataFrame, percent: int) -> DataFrame:
 
 
 def _possible(x: str, y: str, percent: int) -> Column:
-    """Whether two sets can link, from their sizes and from how many of their shingles occur in other sets at all."""
-    most = F.least(F.col(f"{x}.shared"), F.col(f"{y}.shared"))
+    """Whether two sets can link, if the shingle at hand is the first that they share in the global order.
+
+    ``left`` is how many shingles a set has from this one on. A pair that links passes at its first shared shingle.
+    """
+    most = F.least(F.col(f"{x}.left"), F.col(f"{y}.left"))
     return (100 + percent) * most >= percent * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
@@ -105,23 +108,23 @@ def _links(sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     segments = stored(
         alive.groupBy("s", "n", fragment.alias("fragment")).agg(F.collect_list("h").alias("tokens")), "jaccard-segments"
     )
+    own = F.col("n") - F.col("shared")
+    first = F.slice(F.sort_array("all"), F.lit(1), (lacking + 1 - own).cast("int"))
     postings = stored(
         alive.groupBy("s", "n", "shared").agg(F.collect_list(F.struct("key", "h")).alias("all"))
-        .select("s", "n", "shared", F.explode(F.transform(
-            F.slice(F.sort_array("all"), F.lit(1), (lacking + 1 - (F.col("n") - F.col("shared"))).cast("int")), lambda x: x["h"],
-        )).alias("h")),
+        .select("s", "n", "shared", F.posexplode(first).alias("at", "x"))
+        .select("s", "n", (own * 1000 / F.col("n")).cast("int").alias("own"), (F.col("shared") - F.col("at")).alias("left"), "x.h"),
         "jaccard-postings",
     )
     components = shared.select("s", F.col("s").alias("c"))
     found = None
     for turn in range(HUB_ROUNDS + 1):
         lists = postings.join(components, "s")
-        own = ((F.col("n") - F.col("shared")) * 1000 / F.col("n")).cast("int")
         hubs = lists.groupBy("h").agg(
-            F.min(F.struct(own.alias("own"), F.xxhash64(F.lit(turn), "s").alias("hash"), "s", "n", "shared", "c")).alias("y"),
+            F.min(F.struct("own", F.xxhash64(F.lit(turn), "s").alias("hash"), "s", "n", "left", "c")).alias("y"),
             F.min("c").alias("low"), F.max("c").alias("high"),
         ).where("low <> high")
-        x = F.struct("s", "n", "shared", "c").alias("x")
+        x = F.struct("s", "n", "left", "c").alias("x")
         if turn < HUB_ROUNDS:
             met = lists.select("h", x).join(hubs.select("h", "y"), "h")
             met = met.where("x.c <> y.c")
@@ -173,7 +176,7 @@ def jaccard_groups(
         for part in slices(batches, "text"):
             values, counts = shingle_sets(part.column("text"), size)
             lacking = _lacking(counts, percent)
-            wanted = lacking + np.maximum(1, (lacking + 1) // 2)
+            wanted = lacking + np.maximum(1, lacking)
             yield pa.RecordBatch.from_arrays(
                 [part.column("id"), part.column("row"), pa.array(counts), _digests(values, counts), _heads(values, counts, wanted)],
                 ["id", "row", "n", "digest", "prefix"],
@@ -195,7 +198,7 @@ def jaccard_groups(
     met = heads.groupBy("h").agg(F.count("*").alias("k")).where("k > 1").select("h")
     hits = heads.join(met, "h", "left_semi").groupBy("s").agg(F.count("*").alias("hits"))
     smallest = F.ceil(F.col("n") * percent / 100)
-    need = F.greatest(F.lit(1), F.floor((_lacking(smallest, percent) + 1) / 2))
+    need = F.greatest(F.lit(1), _lacking(smallest, percent))
     survivors = stored(
         sets.join(hits, "s").where(F.col("hits") >= need).select("s", "n", "digest", F.col("first.id").alias("id")),
         "jaccard-survivors",
