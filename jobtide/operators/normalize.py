@@ -12,7 +12,7 @@ from jobtide.functions.dates import reference_date
 from jobtide.functions.numbers import ratio
 from jobtide.functions.vocabulary import FLAT_VOCABULARY, Vocabulary
 from jobtide.operators.extract import extract_skills
-from jobtide.schema import JOBS
+from jobtide.schema import JOBS, RAW_POSTING
 
 #: Source column to canonical column of the bulk files, first match wins.
 POSTING_COLUMNS = {
@@ -103,7 +103,8 @@ def flatten_salary(df: DataFrame) -> DataFrame:
     """``salary_min_usd`` and ``salary_max_usd`` from a nested, a scalar, two flat columns or nothing."""
     kinds = {field.name: field.dataType for field in df.schema.fields}
     if isinstance(kinds.get("salary"), T.StructType):
-        low, high = F.col("salary.min"), F.col("salary.max")
+        parts = kinds["salary"].fieldNames()
+        low, high = (F.col(f"salary.{end}") if end in parts else _null("double") for end in ("min", "max"))
     elif "salary" in kinds:
         low = high = F.col("salary")
     elif "salary_min" in kinds:
@@ -152,9 +153,13 @@ def _as_date(column: Column) -> Column:
 
 
 def resolve_posted_date(df: DataFrame, as_of: Column | dt.date | str | None = None) -> DataFrame:
-    """``posted_date`` as a date from itself, the ``date`` partition or the current day, plus ``year``, ``month``."""
+    """``posted_date`` as a date from itself, the ``date`` partition or the current day, plus ``year``, ``month``.
+
+    A row without a date takes that of its partition; a date that cannot be read stays unknown.
+    """
     if "posted_date" in df.columns:
-        day = _as_date(F.col("posted_date"))
+        given = F.col("posted_date").cast("string")
+        day = _as_date(F.coalesce(given, F.col("date").cast("string")) if "date" in df.columns else F.col("posted_date"))
     elif "date" in df.columns:
         day = _as_date(F.col("date"))
     else:
@@ -240,6 +245,52 @@ def project_bulk_jobs(df: DataFrame) -> DataFrame:
     return filter_has_title(df.select(*[c for c in BULK_COLUMNS if c in df.columns]))
 
 
+def canonical_postings(df: DataFrame) -> DataFrame:
+    """Raw postings of any shape in the columns of ``RAW_POSTING``, with ``extracted_skills`` (NULL where not delivered).
+
+    Places, salaries and contracts may be structs, the JSON text of objects, plain values with flat columns beside
+    them, or absent, each row for itself. A row without an id gets a hash of all its columns. Other columns stay.
+    """
+    kinds = {field.name: field.dataType for field in df.schema.fields}
+
+    def text(name: str) -> Column:
+        return F.col(name).cast("string") if name in kinds else _null("string")
+
+    def part(name: str, schema: T.StructType, flat: dict[str, Column]) -> Column:
+        """A struct of *schema* from the column, or else from the flat columns."""
+        kind = kinds.get(name)
+        if isinstance(kind, T.StructType):
+            given = {f: F.col(f"{name}.{f}").try_cast(schema[f].dataType) for f in schema.fieldNames() if f in kind.fieldNames()}
+            return F.when(F.col(name).isNotNull(), F.struct(*[given.get(f.name, F.lit(None).cast(f.dataType)).alias(f.name) for f in schema]))
+        parsed = F.when(text(name).startswith("{"), F.from_json(text(name), schema))
+        loose = [flat.get(f.name, F.lit(None)).try_cast(f.dataType).alias(f.name) for f in schema]
+        any_given = F.coalesce(*[value.isNotNull() for value in flat.values()], F.lit(False))
+        for value in flat.values():
+            any_given = any_given | value.isNotNull()
+        return F.coalesce(parsed, F.when(any_given, F.struct(*loose)))
+
+    schema = {field.name: field.dataType for field in RAW_POSTING}
+    plain = F.when(~F.coalesce(text("location").startswith("{"), F.lit(False)), text("location"))
+    amount = F.when(~F.coalesce(text("salary").startswith("{"), F.lit(False)), text("salary"))
+    made = {
+        "location": part("location", schema["location"], {
+            "display_name": plain, "country": text("country"), "latitude": text("latitude"), "longitude": text("longitude"),
+        }),
+        "salary": part("salary", schema["salary"], {
+            "min": F.coalesce(text("salary_min"), amount), "max": F.coalesce(text("salary_max"), amount),
+            "is_predicted": text("salary_is_predicted"),
+        }),
+        "contract": part("contract", schema["contract"], {"type": text("contract_type"), "time": text("contract_time")}),
+        "url": F.coalesce(text("url"), text("redirect_url")),
+        "job_id": F.coalesce(text("job_id"), job_id_rowhash(df)),
+        "extracted_skills": F.col("extracted_skills") if "extracted_skills" in kinds else _null("array<string>"),
+    }
+    used = {*made, "country", "salary_min", "salary_max", "salary_is_predicted", "redirect_url", "latitude", "longitude", "contract_type", "contract_time"}
+    names = [*RAW_POSTING.fieldNames(), "extracted_skills"]
+    others = [F.col(name) for name in df.columns if name not in used and name not in names]
+    return df.select(*[made.get(name, text(name)).alias(name) for name in names], *others)
+
+
 # --- Whole records ---------------------------------------------------------------------------------------------
 
 

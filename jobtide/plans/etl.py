@@ -5,16 +5,15 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.functions.vocabulary import BULK_VOCABULARY, ETL_VOCABULARY, Vocabulary
 from jobtide.operators import normalize as nz
 from jobtide.operators.dedup import dedup_latest
-from jobtide.operators.extract import explode_skills, parse_skill_list, skill_count, skills_passthrough
+from jobtide.operators.extract import explode_skills, extract_skills, parse_skill_list, skill_count, skills_passthrough
 from jobtide.operators.relations import join_skills_jobs
-from jobtide.schema import RAW_POSTING
-from jobtide.sources.readers import read_postings_csv, read_raw_auto, read_skills_csv
+from jobtide.sources.readers import CORRUPT, read_postings_csv, read_raw_auto, read_skills_csv
 from jobtide.sources.sinks import WriteResult, write_job_skills, write_jobs, write_training_data
 
 
@@ -26,10 +25,11 @@ def etl_jobs(
     The schema decides the branches once, on the driver; the plan itself is one scan, one shuffle for the newest
     row per job, and a projection.
     """
-    df = raw if "job_id" in raw.columns else raw.withColumn("job_id", nz.job_id_rowhash(raw))
+    own = nz.job_id_rowhash(raw)
+    df = raw.withColumn("job_id", F.coalesce(F.col("job_id").cast("string"), own) if "job_id" in raw.columns else own)
     df = nz.flatten_location(dedup_latest(df))
     if "description" in df.columns:
-        df = skills_passthrough(nz.filter_has_description(df), "description", vocabulary)
+        df = fill_skills(nz.filter_has_description(df), vocabulary)
     else:
         df = skills_passthrough(df, "description", vocabulary).withColumn("description", F.lit(None).cast("string"))
     df = nz.flatten_salary(skill_count(df))
@@ -37,6 +37,16 @@ def etl_jobs(
     return nz.project_jobs(nz.ensure_columns(nz.resolve_posted_date(df, as_of)))
 
 
+def fill_skills(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
+    """Delivered skills where a row has them, otherwise those found in its description."""
+    if "extracted_skills" not in df.columns:
+        return skills_passthrough(df, "description", vocabulary)
+    given = df.withColumnRenamed("extracted_skills", "_given").withColumn("_whole", F.col("description"))
+    found = extract_skills(given.withColumn("description", F.when(F.col("_given").isNull(), F.col("_whole"))), "description", vocabulary)
+    filled = found.withColumns({"extracted_skills": F.coalesce("_given", "extracted_skills"), "description": F.col("_whole")})
+    return filled.drop("_given", "_whole")
+
+
 def etl_job_skills(jobs: DataFrame) -> DataFrame:
     """The junction rows of a jobs table."""
     return explode_skills(jobs)
@@ -46,6 +56,7 @@ def etl_job_skills(jobs: DataFrame) -> DataFrame:
 class EtlResult:
     jobs: WriteResult
     job_skills: WriteResult
+    corrupt_lines: int = 0
 
 
 def run_etl(
@@ -54,11 +65,15 @@ def run_etl(
 ) -> EtlResult:
     """Read the raw zone and write both tables.
 
-    The junction is exploded from the jobs table just written, so texts are searched once and nothing is cached.
+    The junction is exploded from the jobs table just written, so texts are searched once and nothing is cached. Lines
+    that do not parse are counted on the way.
     """
-    written = write_jobs(etl_jobs(read_raw_auto(spark, raw_path, RAW_POSTING), vocabulary, as_of), jobs_path)
+    corrupt = Observation("corrupt")
+    bad = F.col(CORRUPT).isNotNull()
+    raw = read_raw_auto(spark, raw_path).observe(corrupt, F.count(F.when(bad, F.lit(1))).alias("lines"))
+    written = write_jobs(etl_jobs(raw.filter(~bad).drop(CORRUPT), vocabulary, as_of), jobs_path)
     skills = write_job_skills(etl_job_skills(spark.read.parquet(jobs_path)), job_skills_path)
-    return EtlResult(written, skills)
+    return EtlResult(written, skills, corrupt.get["lines"])
 
 
 # --- Bulk files ------------------------------------------------------------------------------------------------------

@@ -24,6 +24,14 @@ RAW_POSTING = _struct(
     ("category", _STR), ("url", _STR), ("posted_date", _STR), ("search_query", _STR), ("ingested_at", _STR),
 )
 
+#: What a raw JSON line may hold, in either shape. Objects arrive as their JSON text in a text field, so one schema reads
+#: nested and flat records, also mixed in one file.
+RAW_LINE = _struct(
+    *[(name, _STR) for name in RAW_POSTING.fieldNames()],
+    ("country", _STR), ("salary_min", _STR), ("salary_max", _STR), ("salary_is_predicted", _STR), ("redirect_url", _STR),
+    ("latitude", _STR), ("longitude", _STR), ("contract_type", _STR), ("contract_time", _STR), ("extracted_skills", T.ArrayType(_STR)),
+)
+
 #: One posting as the collection API delivers it.
 API_PAYLOAD = _struct(
     ("id", _STR), ("title", _STR), ("company", _struct(("display_name", _STR))), ("description", _STR),

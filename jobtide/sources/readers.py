@@ -8,13 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from jobtide.schema import RAW_POSTING
+from jobtide.operators.normalize import canonical_postings
+from jobtide.schema import RAW_LINE, RAW_POSTING
 
 #: Names a bulk posting file may carry, in order of preference.
 POSTING_FILES = ("linkedin_job_postings.csv", "postings.csv", "job_postings.csv")
 SKILL_FILES = ("job_skills.csv",)
 
-_CORRUPT = "_corrupt_record"
+CORRUPT = "_corrupt_record"
 
 
 def _filesystem(spark: SparkSession, path: str):
@@ -38,59 +39,77 @@ def _data_children(spark: SparkSession, path: str) -> list[tuple[str, bool]]:
     return sorted(entries)
 
 
+#: What names of data files end in, before the ending of a compression.
+FORMATS = {"parquet": ("parquet",), "json": ("json", "ndjson", "jsonl")}
+COMPRESSIONS = ("gz", "bz2", "deflate", "snappy", "lz4", "zst")
+
+
+def _format_of(name: str) -> str | None:
+    """Format by a file's name."""
+    endings = name.lower().split(".")[1:]
+    while endings and endings[-1] in COMPRESSIONS:
+        endings.pop()
+    return next((kind for kind, known in FORMATS.items() if endings and endings[-1] in known), None)
+
+
+def _visible(relative: str) -> bool:
+    return not any(part.startswith(("_", ".")) for part in relative.split("/") if part)
+
+
 def _layouts(spark: SparkSession, path: str) -> dict[tuple[str, str], list[str]]:
-    """Children of *path* by (partition column, format).
+    """Children of *path* by (partition column, format); a folder that holds both formats is in both lists.
 
-    Mixed partition layouts (``date=…`` beside ``year=…``) cannot be read in one go, so each is read on its own.
+    Mixed partition layouts (``date=…`` beside ``year=…``) cannot be read in one go, so each is read on its own. A
+    visible file of unknown format is an error: nothing is left out silently.
     """
     groups: dict[tuple[str, str], list[str]] = {}
     for child, is_directory in _data_children(spark, path):
         name = child.rstrip("/").rsplit("/", 1)[-1]
         column = name.split("=", 1)[0] if is_directory and "=" in name else ""
-        kind = _format_of(spark, child)
-        if kind:
+        fs, child_path = _filesystem(spark, child)
+        files, kinds = fs.listFiles(child_path, True), set()
+        while files.hasNext():
+            file = files.next().getPath().toString()
+            relative = file[len(child):] if is_directory else name
+            if _visible(relative):
+                kind = _format_of(relative.rsplit("/", 1)[-1])
+                if kind is None:
+                    raise ValueError(f"neither Parquet nor JSON by its name: {file}")
+                kinds.add(kind)
+        for kind in kinds:
             groups.setdefault((column, kind), []).append(child)
     return groups
 
 
-def _format_of(spark: SparkSession, path: str) -> str | None:
-    """Format by the extension of the first data file below *path*."""
-    lowered = path.lower()
-    if lowered.endswith(".parquet"):
-        return "parquet"
-    if lowered.endswith((".json", ".ndjson", ".jsonl", ".json.gz")):
-        return "json"
-    fs, hadoop_path = _filesystem(spark, path)
-    if not fs.exists(hadoop_path) or fs.getFileStatus(hadoop_path).isFile():
-        return None
-    for child, _ in _data_children(spark, path):
-        kind = _format_of(spark, child)
-        if kind:
-            return kind
-    return None
-
-
 def read_ndjson(
     spark: SparkSession, paths: str | Sequence[str], schema: T.StructType = RAW_POSTING, multi_line: bool = False,
     **options: object,
 ) -> DataFrame:
     """JSON records, one per line (or one array per file); bad lines are kept in ``_corrupt_record``."""
-    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(_CORRUPT, T.StringType(), True)])
-    reader = spark.read.schema(with_corrupt).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", _CORRUPT)
+    with_corrupt = T.StructType(list(schema.fields) + [T.StructField(CORRUPT, T.StringType(), True)])
+    reader = spark.read.schema(with_corrupt).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
     return reader.options(multiLine=multi_line, **options).json(paths)
 
 
-def read_raw_auto(spark: SparkSession, path: str, schema: T.StructType = RAW_POSTING) -> DataFrame:
-    """The raw zone as Parquet or JSON, whichever its files are; several layouts are united by column name."""
+def read_raw_auto(spark: SparkSession, path: str) -> DataFrame:
+    """The raw zone, whatever its layouts: each is read as it is, brought to the canonical columns, then united by name.
+
+    Parquet and JSON, nested and flat records may be mixed. Partition columns stay. Lines that are not JSON come as rows
+    with ``_corrupt_record`` only; see :func:`corrupt_records`.
+    """
     groups = _layouts(spark, path)
     if not groups:
         raise FileNotFoundError(f"no Parquet or JSON files below {path}")
     frames = []
     for (_, kind), members in sorted(groups.items()):
+        endings = ",".join(f"{end}{dot}" for end in FORMATS[kind] for dot in ("", *(f".{c}" for c in COMPRESSIONS)))
+        only = {"basePath": path, "pathGlobFilter": f"*.{{{endings}}}"}
         if kind == "parquet":
-            frames.append(spark.read.option("basePath", path).option("mergeSchema", "true").parquet(*members))
+            raw = spark.read.options(**only).option("mergeSchema", "true").parquet(*members)
+            frames.append(canonical_postings(raw).withColumn(CORRUPT, F.lit(None).cast("string")))
         else:
-            frames.append(read_ndjson(spark, members, schema, basePath=path).drop(_CORRUPT))
+            lines = canonical_postings(read_ndjson(spark, members, RAW_LINE, **only))
+            frames.append(lines.withColumn("job_id", F.when(F.col(CORRUPT).isNull(), F.col("job_id"))))
     result = frames[0]
     for frame in frames[1:]:
         result = result.unionByName(frame, allowMissingColumns=True)
@@ -108,8 +127,10 @@ def _first_existing(spark: SparkSession, folder: str, names: Iterable[str]) -> s
             candidate = files.next().getPath()
             if candidate.getName() == name or candidate.getParent().getName() == name:
                 matches.append(candidate.toString() if candidate.getName() == name else candidate.getParent().toString())
+        if len(set(matches)) > 1:
+            raise ValueError(f"several files named {name}: {sorted(set(matches))}")
         if matches:
-            return sorted(matches)[0]
+            return matches[0]
     raise FileNotFoundError(f"none of {', '.join(wanted)} below {folder}")
 
 
@@ -165,4 +186,4 @@ def read_view(spark: SparkSession, name: str) -> DataFrame:
 
 def corrupt_records(df: DataFrame) -> DataFrame:
     """The lines of :func:`read_ndjson` that did not parse."""
-    return df.filter(F.col(_CORRUPT).isNotNull())
+    return df.filter(F.col(CORRUPT).isNotNull())
