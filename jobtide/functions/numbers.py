@@ -11,6 +11,11 @@ def ratio(numerator: Column, denominator: Column) -> Column:
     return F.try_divide(numerator.cast("double"), denominator.cast("double"))
 
 
+def exact_mean(value: Column) -> Column:
+    """Aggregate mean of amounts with up to eight decimals; the exact sum makes it independent of the order of rows."""
+    return ratio(F.sum(value.cast("decimal(28,8)")), F.count(value))
+
+
 def pct_change(value: Column, earlier: Column) -> Column:
     return ratio(value, earlier) - F.lit(1.0)
 

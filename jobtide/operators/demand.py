@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.functions.dates import latest, since, week_start, weeks_before
+from jobtide.functions.numbers import exact_mean
 from jobtide.functions.vocabulary import skill_category
 from jobtide.operators.quantiles import quantiles_disc
 
@@ -18,8 +19,8 @@ def _jobs() -> Column:
     return F.count(F.lit(1)).alias("job_count")
 
 
-def _salary(function=F.avg, name: str = "avg_salary") -> Column:
-    return F.round(function("salary_mid_usd"), 0).alias(name)
+def _salary(function=exact_mean, name: str = "avg_salary") -> Column:
+    return F.round(function(F.col("salary_mid_usd")), 0).alias(name)
 
 
 def top_skills(df: DataFrame, n: int = 20) -> DataFrame:
@@ -41,7 +42,7 @@ def salary_by_skill(
     Percentiles are exact by default; *approx* uses one pass of bounded sketches instead of two passes.
     """
     bounded = df.filter((F.col("salary_mid_usd") > low) & (F.col("salary_mid_usd") < high))
-    measures = [_jobs(), F.avg("salary_mid_usd").alias("_avg")]
+    measures = [_jobs(), exact_mean(F.col("salary_mid_usd")).alias("_avg")]
     if approx:
         measures += [
             F.percentile_approx("salary_mid_usd", 0.5).alias("_p50"), F.percentile_approx("salary_mid_usd", 0.9).alias("_p90")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.functions.dates import since, week_start, weeks_before
-from jobtide.functions.numbers import ratio
+from jobtide.functions.numbers import exact_mean, ratio
 from jobtide.operators.demand import AsOf
 
 
@@ -31,7 +31,7 @@ def vw_skill_growth(df: DataFrame, as_of: AsOf = None) -> DataFrame:
     weekly = (
         since(df, weeks_before(as_of, 12))
         .groupBy("skill", week_start(F.col("posted_date")).alias("week"))
-        .agg(F.count(F.lit(1)).alias("job_count"), F.avg("salary_mid_usd").alias("avg_salary"))
+        .agg(F.count(F.lit(1)).alias("job_count"), exact_mean(F.col("salary_mid_usd")).alias("avg_salary"))
     )
     jobs, week = F.col("job_count"), F.col("week")
     now_max = F.max(F.when(week >= recent, jobs))
@@ -63,7 +63,7 @@ def _recent_and_prior(df: DataFrame, as_of: AsOf) -> DataFrame:
         .agg(
             F.count(F.when(is_recent, F.lit(1))).alias("current_jobs"),
             F.count(F.when(~is_recent, F.lit(1))).alias("_prior"),
-            F.avg(F.when(is_recent, F.col("salary_mid_usd"))).alias("_salary"),
+            exact_mean(F.when(is_recent, F.col("salary_mid_usd"))).alias("_salary"),
         )
         .filter(F.col("current_jobs") > 0)
     )

@@ -88,7 +88,7 @@ QUERIES = {
 
 _TOP = """, top AS (
   SELECT skill, country, count(*) AS job_count, count(DISTINCT job_id) AS unique_jobs,
-         round(avg(salary_mid_usd), 0) AS avg_salary
+         round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary
   FROM jsv GROUP BY skill, country)
 """
 _TRENDS = """, trends AS (
@@ -97,7 +97,8 @@ _TRENDS = """, trends AS (
   FROM jsv WHERE posted_date >= (SELECT d FROM ref) - 168 GROUP BY ALL)
 """
 _GROWTH = """, recent AS (
-  SELECT skill, count(*) AS current_jobs, avg(salary_mid_usd) AS avg_salary
+  SELECT skill, count(*) AS current_jobs, 
+         CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd) AS avg_salary
   FROM jsv WHERE posted_date >= (SELECT d FROM ref) - 28 GROUP BY skill),
 previous AS (
   SELECT skill, count(*) AS prev_jobs FROM jsv
@@ -125,25 +126,25 @@ _PICKED = "('Brand#1', 'Brand#2', 'Brand#7')"
 
 SQL = {
     "top_skills": JOB_SKILLS_SQL + """
-SELECT skill, count(*) AS job_count, round(avg(salary_mid_usd), 0) AS avg_salary,
+SELECT skill, count(*) AS job_count, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary,
        round(min(salary_mid_usd), 0) AS min_salary, round(max(salary_mid_usd), 0) AS max_salary
 FROM jsv WHERE salary_mid_usd IS NOT NULL GROUP BY skill ORDER BY job_count DESC, skill LIMIT 20""",
     "salary_by_skill": JOB_SKILLS_SQL + """
-SELECT skill, count(*) AS job_count, round(avg(salary_mid_usd), 0) AS avg_salary,
+SELECT skill, count(*) AS job_count, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary,
        round(quantile_disc(salary_mid_usd, 0.5), 0) AS median_salary,
        round(quantile_disc(salary_mid_usd, 0.9), 0) AS p90_salary
 FROM jsv WHERE salary_mid_usd > 50000 AND salary_mid_usd < 500000
 GROUP BY skill HAVING count(*) >= 10 ORDER BY avg_salary DESC, skill LIMIT 30""",
     "geographic_demand": JOB_SKILLS_SQL + """
-SELECT country, skill, count(*) AS job_count, round(avg(salary_mid_usd), 0) AS avg_salary
+SELECT country, skill, count(*) AS job_count, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary
 FROM jsv GROUP BY country, skill ORDER BY country, job_count DESC, skill""",
     "skill_trends_monthly": JOB_SKILLS_SQL + """
-SELECT skill, year, month, count(*) AS job_count, round(avg(salary_mid_usd), 0) AS avg_salary
+SELECT skill, year, month, count(*) AS job_count, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary
 FROM jsv GROUP BY skill, year, month ORDER BY year, month, job_count DESC, skill""",
     "vw_top_skills": JOB_SKILLS_SQL + _TOP + "SELECT * FROM top",
     "vw_skill_trends": JOB_SKILLS_SQL + _TRENDS + f"SELECT skill, week, country, job_count, {r('avg_salary')} FROM trends",
     "vw_salary_by_country": JOB_SKILLS_SQL + """
-SELECT country, round(avg(salary_mid_usd), 0) AS avg_salary, count(*) AS job_count,
+SELECT country, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary, count(*) AS job_count,
        count(DISTINCT skill) AS unique_skills
 FROM jsv WHERE salary_mid_usd IS NOT NULL GROUP BY country""",
     "vw_skill_growth": JOB_SKILLS_SQL + f""", weekly AS (
@@ -168,7 +169,7 @@ FROM trends""",
     "cooccurrence_selfjoin": JOB_SKILLS_SQL + _PAIRS + "SELECT * FROM allpairs",
     "vw_dashboard_kpis": JOB_SKILLS_SQL + """
 SELECT count(DISTINCT job_id) AS total_jobs, count(DISTINCT skill) AS unique_skills,
-       round(avg(salary_mid_usd), 0) AS avg_salary, count(DISTINCT country) AS countries FROM jsv""",
+       round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary, count(DISTINCT country) AS countries FROM jsv""",
     "vw_skills_by_category": JOB_SKILLS_SQL + f"""
 SELECT skill, count(*) AS job_count, {category_sql('skill')} AS category FROM jsv GROUP BY skill""",
     "smoke_top10": JOB_SKILLS_SQL + "SELECT skill, count(*) AS cnt FROM jsv GROUP BY skill ORDER BY cnt DESC, skill LIMIT 10",
@@ -235,7 +236,7 @@ SELECT * FROM w WHERE skill IN (SELECT skill FROM w GROUP BY skill ORDER BY sum(
 SELECT skill, week, CAST(sum(job_count) AS BIGINT) AS job_count, {r('avg(avg_salary)', 'avg_salary')}
 FROM trends WHERE skill IN {_PICKED} GROUP BY skill, week""",
     "dash_salary_country": JOB_SKILLS_SQL + """
-SELECT country, round(avg(salary_mid_usd), 0) AS avg_salary, count(*) AS job_count,
+SELECT country, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS avg_salary, count(*) AS job_count,
        count(DISTINCT skill) AS unique_skills
 FROM jsv WHERE country IN ('NATION_1', 'NATION_2', 'NATION_3') GROUP BY country ORDER BY avg_salary, country""",
     "dash_salary_box": JOB_SKILLS_SQL + _TOP + f"""
@@ -255,7 +256,7 @@ SELECT skill, current_jobs, prev_jobs, growth_pct,
        trend_status
 FROM emerging""",
     "dash_kpi_cards": JOB_SKILLS_SQL + """, k AS (
-  SELECT count(DISTINCT job_id) AS j, count(DISTINCT skill) AS s, round(avg(salary_mid_usd), 0) AS a,
+  SELECT count(DISTINCT job_id) AS j, count(DISTINCT skill) AS s, round(CAST(sum(CAST(salary_mid_usd AS DECIMAL(28,8))) AS DOUBLE) / count(salary_mid_usd), 0) AS a,
          count(DISTINCT country) AS countries FROM jsv)
 SELECT CASE WHEN j >= 1000000 THEN printf('%.1fM', j / 1000000.0) WHEN j >= 1000 THEN printf('%.1fK', j / 1000.0)
             ELSE format('{:,}', j) END AS total_jobs,
