@@ -19,7 +19,9 @@ from jobtide.plans.store import stored
 #: Bytes of context. Six bytes, the next one included, make a key.
 DEPTH = 5
 #: Bytes of text in a block and in a step of work on a block; bytes of input per part of the model.
-BLOCK_BYTES, STEP_BYTES, PART_BYTES = 32 << 20, 4 << 20, 8 << 20
+BLOCK_BYTES, STEP_BYTES, PART_BYTES = 32 << 20, 1 << 20, 8 << 20
+#: Keys that a block gathers before it merges them.
+MERGE_KEYS = 1 << 20
 #: Tables of a block: byte strings of the context tree, and words.
 GRAMS, WORDS = 0, 1
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -40,11 +42,17 @@ def _unpack(raw: bytes, kind: type) -> np.ndarray:
 class Block:
     """Lower-cased texts in a row; each is preceded by DEPTH zero bytes and followed by an end mark that no text holds."""
 
-    def __init__(self, texts: Sequence[bytes], trains: np.ndarray) -> None:
-        self.texts, self.trains = texts, trains
-        self.bytes = np.frombuffer(b"".join(b"\0" * DEPTH + text + b"\xff" for text in texts), np.uint8)
-        self.sizes = np.fromiter(map(len, texts), np.int64, len(texts)) + DEPTH + 1
+    def __init__(self, raw: bytes, sizes: Sequence[int], trains: Sequence[bool]) -> None:
+        self.raw, self.trains = raw, np.array(trains, bool)
+        self.lengths = np.array(sizes, np.int64)
+        self.sizes = self.lengths + DEPTH + 1
         self.ends = np.cumsum(self.sizes)
+        self.bytes = np.zeros(int(self.ends[-1]) if len(self.ends) else 0, np.uint8)
+        source, read = np.frombuffer(raw, np.uint8), 0
+        for end, length in zip(self.ends.tolist(), self.lengths.tolist(), strict=True):
+            self.bytes[end - 1 - length : end - 1] = source[read : read + length]
+            self.bytes[end - 1] = 255
+            read += length
 
     def keys(self) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """Context and next byte of every place, some places at a time, and the text that each is in."""
@@ -65,31 +73,39 @@ class Block:
         """Hashes of distinct words, the word at every place, and the text that it is in, some texts at a time."""
         import xxhash
 
-        begin = 0
-        while begin < len(self.texts):
-            limit = self.ends[begin] - self.sizes[begin] + STEP_BYTES
-            end = max(begin + 1, int(np.searchsorted(self.ends, limit, "right")))
-            found, index, counts = words_of(pa.array(self.texts[begin:end], pa.binary()).cast(pa.string()))
+        ends, begin = np.cumsum(self.lengths), 0
+        while begin < len(ends):
+            first = ends[begin] - self.lengths[begin]
+            end = max(begin + 1, int(np.searchsorted(ends, first + STEP_BYTES, "right")))
+            offsets = np.concatenate([[0], ends[begin:end] - first])
+            data = pa.py_buffer(self.raw).slice(int(first), int(ends[end - 1] - first))
+            texts = pa.LargeStringArray.from_buffers(end - begin, pa.py_buffer(offsets.astype(np.int64)), data)
+            found, index, counts = words_of(texts)
             hashed = np.fromiter((xxhash.xxh64_intdigest(word.encode()) for word in found), np.uint64, len(found))
             yield hashed, index, np.repeat(np.arange(begin, end), counts)
             begin = end
 
     def table(self, kind: int) -> tuple[np.ndarray, np.ndarray]:
         """Sorted distinct keys or word hashes of all texts, and their counts in the texts that train."""
-        keys, counts = [], []
-        if kind == GRAMS:
-            for key, owner in self.keys():
-                coded = pa.array(key).dictionary_encode()
-                keys.append(coded.dictionary.to_numpy())
-                counts.append(np.bincount(coded.indices.to_numpy(), self.trains[owner], len(keys[-1])))
-        else:
-            for hashed, index, owner in self.words():
-                keys.append(hashed)
-                counts.append(np.bincount(index, self.trains[owner], len(hashed)))
-        if not keys:
-            return np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-        return distinct, np.rint(np.bincount(inverse, np.concatenate(counts), len(distinct))).astype(np.int64)
+        keys, counts, size = [np.zeros(0, np.uint64)], [np.zeros(0)], 0
+        for *found, owner in self.keys() if kind == GRAMS else self.words():
+            if kind == GRAMS:
+                coded = pa.array(found[0]).dictionary_encode()
+                found = [coded.dictionary.to_numpy(), coded.indices.to_numpy()]
+            some, index = found
+            keys.append(some)
+            counts.append(np.bincount(index, self.trains[owner], len(some)))
+            size += len(some)
+            if size > 2 * len(keys[0]) + MERGE_KEYS:
+                keys, counts = _merged(keys, counts)
+                size = 0
+        keys, counts = _merged(keys, counts)
+        return keys[0], np.rint(counts[0]).astype(np.int64)
+
+
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
+    return [distinct], [np.bincount(inverse, np.concatenate(counts), len(distinct))]
 
 
 def parts(kind: int, keys: np.ndarray, count: int) -> np.ndarray:
@@ -201,8 +217,7 @@ def score_texts(
     count, train_texts = max(64, -(-(made["bytes"] or 0) // PART_BYTES)), made["train"] or 0
 
     def opened(raw: bytes, sizes: Sequence[int], flags: Sequence[bool]) -> Block:
-        text, ends = _unpack(raw, np.uint8).tobytes(), np.cumsum(sizes)
-        return Block([text[end - size : end] for end, size in zip(ends.tolist(), sizes, strict=True)], np.array(flags, bool))
+        return Block(_unpack(raw, np.uint8).tobytes(), sizes, flags)
 
     def items(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -286,7 +301,7 @@ def score_texts(
             keys = [np.cumsum(_unpack(group.column("keys")[i].as_py(), np.uint64), dtype=np.uint64) for i in mine]
             vals = [_unpack(group.column("values")[i].as_py(), dtype) for i in mine]
             known[kind] = (pa.array(np.concatenate(keys)), np.concatenate(vals)) if mine else (pa.array([], pa.uint64()), np.zeros(0))
-        texts = len(block.texts)
+        texts = len(block.sizes)
         score, base, tokens, seen = np.zeros(texts), np.zeros(texts), np.ones(texts, np.int64), np.zeros(texts, np.int64)
         keys, vals = known[GRAMS]
         for key, owner in block.keys():
