@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 def skill2vec(
     sequences: DataFrame, column: str = "skills", vector_size: int = 64, window: int = 5, min_count: int = 2,
-    epochs: int = 30, partitions: int | None = None, seed: int = 42,
+    epochs: int = 30, partitions: int = 8, seed: int = 42,
 ) -> DataFrame:
     """(skill, vector) learnt from the skills that stand together in postings (skip-gram).
 
-    The postings are trained on in *partitions* parts at once (default: all cores) and averaged after every epoch.
+    The postings are trained on in *partitions* parts at once and averaged after every epoch, so the vectors depend on
+    this number and not on the machine.
     """
-    partitions = partitions or sequences.sparkSession.sparkContext.defaultParallelism
     model = Word2Vec(
         vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=epochs, numPartitions=partitions,
         seed=seed, inputCol=column, outputCol="_vector",

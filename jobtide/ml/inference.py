@@ -77,17 +77,12 @@ def detect_emerging_batch(forest: IsolationForestModel, matrix: DataFrame, top_n
 
 
 def recommend_skills(clusters: DataFrame, forecast: DataFrame, known: list[str], top_n: int = 5) -> DataFrame:
-    """Unknown skills from the clusters of the known ones, fastest growing first; no forecast counts as no growth.
-
-    *forecast* is looked up for the first ``2 * top_n`` candidates by name.
-    """
+    """Unknown skills from the clusters of the known ones, fastest growing first; no forecast counts as no growth."""
     candidates = filter_known_skills(clusters, known).withColumn(
         "reason", F.lit(f"Often used alongside {known[0]}" if known else "")
     )
-    first = candidates.select("skill").orderBy("skill").limit(2 * top_n)
-    known_growth = forecast.join(F.broadcast(first), "skill", "left_semi")
     return (
-        enrich_recommendations(candidates, known_growth)
+        enrich_recommendations(candidates, forecast)
         .orderBy(F.coalesce("growth_pct", F.lit(0.0)).desc(), "skill").limit(top_n)
     )
 

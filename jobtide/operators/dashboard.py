@@ -110,33 +110,30 @@ def _both_sides(pairs: DataFrame) -> DataFrame:
 
 
 def dash_cooc_long(
-    pairs: DataFrame, n: int = 15, top_pairs: int = 200, categories: list[str] | None = None, groups: Groups = None
+    pairs: DataFrame, n: int = 15, top_pairs: int | None = None, categories: list[str] | None = None, groups: Groups = None
 ) -> DataFrame:
-    """The symmetric matrix of the *n* skills most present in the top pairs, in long form with zeros.
+    """The symmetric matrix of the *n* skills with the most co-occurrences, in long form with zeros.
 
-    After the top pairs are taken there are at most ``2 * top_pairs`` rows, so what follows is one small task.
+    *top_pairs* restricts the totals and the cells to that many of the largest pairs. The pairs are read three times, so
+    they are written first.
     """
-    top = top_k(pairs, top_pairs, "cooccurrence_count", "skill_a", "skill_b")
+    pairs = stored(pairs, "pairs")
+    used = pairs if top_pairs is None else top_k(pairs, top_pairs, "cooccurrence_count", "skill_a", "skill_b")
     if categories:
         a, b = skill_category(F.col("skill_a"), groups), skill_category(F.col("skill_b"), groups)
-        top = top.filter(a.isin(categories) & b.isin(categories))
-    by_skill = Window.partitionBy("skill")
-    shown = (
-        _both_sides(top)
-        .withColumn("_total", F.sum("cooccurrence_count").over(by_skill))
-        .withColumn("_rank", F.dense_rank().over(Window.orderBy(F.desc("_total"), "skill")))
-        .filter(F.col("_rank") <= n)
-        .groupBy("skill")
-        .agg(F.map_from_entries(F.collect_list(F.struct("other", "cooccurrence_count"))).alias("_counts"))
+        used = used.filter(a.isin(categories) & b.isin(categories))
+    sides = _both_sides(used)
+    totals = sides.groupBy("skill").agg(F.sum("cooccurrence_count").alias("_total"))
+    shown = top_k(totals, n, "_total", "skill").agg(F.array_sort(F.collect_list("skill")).alias("names")).scalar()
+    cells = sides.filter(F.array_contains(shown, F.col("skill")) & F.array_contains(shown, F.col("other")))
+    zeros = totals.filter(F.array_contains(shown, F.col("skill"))).select(
+        "skill", F.explode(shown).alias("other"), F.lit(0).cast("long").alias("cooccurrence_count")
     )
-    names = F.array_sort(F.collect_list("skill").over(Window.partitionBy()))
-    cells = shown.withColumn("_names", names).select("skill", "_counts", F.explode("_names").alias("other"))
-    count = F.try_element_at("_counts", F.col("other"))
-    return cells.select("skill", "other", F.coalesce(count, F.lit(0)).alias("cooccurrence_count"))
+    return cells.unionByName(zeros).groupBy("skill", "other").agg(F.sum("cooccurrence_count").alias("cooccurrence_count"))
 
 
 def dash_cooc_matrix(
-    pairs: DataFrame, n: int = 15, top_pairs: int = 200, categories: list[str] | None = None, groups: Groups = None
+    pairs: DataFrame, n: int = 15, top_pairs: int | None = None, categories: list[str] | None = None, groups: Groups = None
 ) -> DataFrame:
     """One row and one column per skill. The columns are data, so the long form is written before it is turned."""
     long = stored(dash_cooc_long(pairs, n, top_pairs, categories, groups), "cooc")

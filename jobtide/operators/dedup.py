@@ -15,14 +15,14 @@ def _first_per_key(df: DataFrame, keys: list[str], order: list[Column]) -> DataF
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
 
 
-def dedup_latest(df: DataFrame, key: str = "job_id") -> DataFrame:
-    """Newest row per key by ``ingested_at``, else ``posted_date``; equal times fall back to a hash of the row."""
+def dedup_latest(df: DataFrame, key: str = "job_id", tie: str | None = None) -> DataFrame:
+    """Newest row per key by ``ingested_at``, else ``posted_date``; equal times fall back to *tie*, or a hash of the row."""
     order = []
     for candidate in ("ingested_at", "posted_date"):
         if candidate in df.columns:
             order.append(F.col(candidate).desc_nulls_last())
             break
-    tied = df.withColumn(_TIE, F.xxhash64(*[F.col(c) for c in df.columns]))
+    tied = df.withColumn(_TIE, F.col(tie) if tie else F.xxhash64(*[F.col(c) for c in df.columns if c != "row_version"]))
     return _first_per_key(tied, [key], order + [F.col(_TIE)]).drop(_TIE)
 
 

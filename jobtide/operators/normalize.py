@@ -234,10 +234,10 @@ def clean_skill(df: DataFrame, column: str = "skill") -> DataFrame:
     return df.withColumn(column, cleaned).filter((F.col(column) != "") & (F.col(column) != "nan"))
 
 
-def project_jobs(df: DataFrame) -> DataFrame:
-    """The sixteen columns of the jobs table."""
+def project_jobs(df: DataFrame, *more: str) -> DataFrame:
+    """The sixteen columns of the jobs table, and *more*."""
     renamed = {"location": "location_display_name", "country": "location_country"}
-    return df.select(*[F.col(renamed.get(name, name)).alias(name) for name in JOBS.fieldNames()])
+    return df.select(*[F.col(renamed.get(name, name)).alias(name) for name in JOBS.fieldNames()], *more)
 
 
 def project_bulk_jobs(df: DataFrame) -> DataFrame:
@@ -428,8 +428,7 @@ def search_postings(
         df = df.filter(F.col("posted_date") >= F.date_sub(reference_date(as_of), max_days_old))
     if salary_min:
         df = df.filter(F.col("salary_min_usd") >= salary_min)
-    size = min(results_per_page, 50)
-    return df.orderBy(F.desc("posted_date"), "job_id").offset((page - 1) * size).limit(size)
+    return df.orderBy(F.desc("posted_date"), "job_id").offset((page - 1) * results_per_page).limit(results_per_page)
 
 
 def list_categories(df: DataFrame) -> DataFrame:

@@ -53,26 +53,25 @@ def key_overlap(left: DataFrame, right: DataFrame, key: str = "job_id") -> DataF
     )
 
 
-def key_partial_match(left: DataFrame, right: DataFrame, key: str = "job_id", sample: int = 100, stop: int = 3) -> DataFrame:
-    """Up to *stop* left keys of a *sample* that contain, or are contained in, a right key of a sample.
+def key_partial_match(left: DataFrame, right: DataFrame, key: str = "job_id") -> DataFrame:
+    """All pairs of a left and a right key of which one contains the other.
 
-    A diagnosis over two ordered samples: both sides are top-k results of at most *sample* rows, so the right one
-    fits in one array per left row.
+    A key is cut into its substrings, a number bounded by its own length, and these are joined to the keys of the other
+    side, so the answer is complete without comparing all keys with each other. Take a top-k of it to show some.
     """
 
     def keys(df: DataFrame, name: str) -> DataFrame:
-        return df.select(F.col(key).cast("string").alias(name)).filter(F.col(name).isNotNull()).distinct().orderBy(name).limit(sample)
-
-    rights = keys(right, "r").agg(F.array_sort(F.collect_list("r")).alias("rights")).scalar()
-    matched = keys(left, "left_key").withColumn("rights", rights)
-    hit = F.filter("rights", lambda r: r.contains(F.col("left_key")) | F.col("left_key").contains(r))
-    return (
-        matched.withColumn("right_key", F.try_element_at(hit, F.lit(1)))
-        .filter(F.col("right_key").isNotNull())
-        .select("left_key", "right_key")
-        .orderBy("left_key")
-        .limit(stop)
-    )
+        return df.select(F.col(key).cast("string").alias(name)).filter(F.length(name) > 0).distinct()
+
+    def within(outer: DataFrame, inner: DataFrame, whole: str, piece: str) -> DataFrame:
+        begins = outer.select(whole, F.explode(F.sequence(F.lit(1), F.length(whole))).alias("_begin"))
+        sizes = F.sequence(F.lit(1), F.length(whole) - F.col("_begin") + 1)
+        pieces = begins.select(whole, F.explode(F.transform(sizes, lambda n: F.substring(F.col(whole), F.col("_begin"), n))).alias(piece))
+        return pieces.join(inner, piece).select("left_key", "right_key")
+
+    lefts, rights = keys(left, "left_key"), keys(right, "right_key")
+    both = within(rights, lefts, "right_key", "left_key").unionAll(within(lefts, rights, "left_key", "right_key"))
+    return both.distinct()
 
 
 def common_keys(left: DataFrame, right: DataFrame, key: str = "job_id") -> DataFrame:

@@ -82,7 +82,8 @@ QUERIES = {
     "dash_emerging_kpi": _emerging(dash.dash_emerging_kpi),
     "dash_emerging_table": _emerging(dash.dash_emerging_table),
     "dash_kpi_cards": lambda spark, sf: dash.dash_kpi_cards(demand.vw_dashboard_kpis(job_skills(spark, sf))),
-    "dash_cooc_matrix": _pairs(dash.dash_cooc_long, n=15),
+    "dash_cooc_long": _pairs(dash.dash_cooc_long, n=15),
+    "dash_cooc_matrix": _pairs(dash.dash_cooc_matrix, n=15),
     "dash_top_pairs": _pairs(dash.dash_top_pairs, n=25, categories=["Languages"], groups=BRAND_GROUPS),
 }
 
@@ -120,6 +121,13 @@ _PAIRS = """, allpairs AS (
   FROM jsv a JOIN jsv b ON a.job_id = b.job_id AND a.skill < b.skill GROUP BY a.skill, b.skill),
 pairs AS (SELECT * FROM allpairs WHERE cooccurrence_count >= 3)
 """
+_CELLS = """, s AS (
+  SELECT skill_a AS skill, skill_b AS other, cooccurrence_count AS c FROM pairs
+  UNION ALL SELECT skill_b, skill_a, cooccurrence_count FROM pairs),
+k AS (SELECT skill FROM s GROUP BY skill ORDER BY sum(c) DESC, skill LIMIT 15),
+cells AS (SELECT a.skill AS skill, b.skill AS other, coalesce(s.c, 0) AS cooccurrence_count
+  FROM k a CROSS JOIN k b LEFT JOIN s ON s.skill = a.skill AND s.other = b.skill)
+"""
 _TREND_CASE = """CASE WHEN {g} > 50 THEN 'Hot' WHEN {g} > 20 THEN 'Rising' WHEN {g} > 0 THEN 'Growing'
   WHEN {g} <= 0 THEN 'Declining' ELSE 'Stable' END"""
 _PICKED = "('Brand#1', 'Brand#2', 'Brand#7')"
@@ -262,13 +270,9 @@ SELECT CASE WHEN j >= 1000000 THEN printf('%.1fM', j / 1000000.0) WHEN j >= 1000
             ELSE format('{:,}', j) END AS total_jobs,
        format('{:,}', s) AS unique_skills, format('${:,}', CAST(a AS BIGINT)) AS avg_salary, countries
 FROM k""",
-    "dash_cooc_matrix": JOB_SKILLS_SQL + _PAIRS + """, t AS (
-  SELECT * FROM pairs ORDER BY cooccurrence_count DESC, skill_a, skill_b LIMIT 200),
-s AS (SELECT skill_a AS skill, skill_b AS other, cooccurrence_count AS c FROM t
-      UNION ALL SELECT skill_b, skill_a, cooccurrence_count FROM t),
-k AS (SELECT skill FROM s GROUP BY skill ORDER BY sum(c) DESC, skill LIMIT 15)
-SELECT a.skill AS skill, b.skill AS other, coalesce(s.c, 0) AS cooccurrence_count
-FROM k a CROSS JOIN k b LEFT JOIN s ON s.skill = a.skill AND s.other = b.skill""",
+    "dash_cooc_long": JOB_SKILLS_SQL + _PAIRS + _CELLS + "SELECT * FROM cells",
+    "dash_cooc_matrix": JOB_SKILLS_SQL + _PAIRS + _CELLS + """
+SELECT * FROM (PIVOT cells ON other USING CAST(sum(cooccurrence_count) AS BIGINT) GROUP BY skill)""",
     "dash_top_pairs": JOB_SKILLS_SQL + _PAIRS + f"""
 SELECT skill_a, skill_b, cooccurrence_count, skill_a || ' + ' || skill_b AS pair FROM pairs
 WHERE {category_sql('skill_a')} = 'Languages' OR {category_sql('skill_b')} = 'Languages'

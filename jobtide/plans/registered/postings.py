@@ -583,8 +583,8 @@ SELECT 'other-' || job_id AS job_id, CAST(NULL AS DATE) AS posted_date, CAST(NUL
 SELECT (SELECT count(DISTINCT l_partkey) FROM lineitem) AS left_keys, (SELECT count(DISTINCT o_orderkey) FROM orders) AS right_keys,
        (SELECT count(*) FROM (SELECT l_partkey FROM lineitem INTERSECT SELECT o_orderkey FROM orders)) AS common_keys""",
     "key_partial_match": """
-SELECT s_name AS left_key, 'x-' || s_name || '-y' AS right_key
-FROM (SELECT DISTINCT s_name FROM supplier ORDER BY s_name LIMIT 100) ORDER BY s_name LIMIT 3""",
+SELECT DISTINCT l.s_name AS left_key, 'x-' || r.s_name || '-y' AS right_key FROM supplier l JOIN supplier r
+ON contains('x-' || r.s_name || '-y', l.s_name) OR contains(l.s_name, 'x-' || r.s_name || '-y')""",
     "common_keys": "SELECT l_partkey AS job_id FROM lineitem INTERSECT SELECT o_orderkey FROM orders",
     "union_sources": JOB_SKILLS_SQL + f"""
 SELECT job_id, posted_date, country, {r('salary_mid_usd')}, skill, year, month FROM (SELECT * FROM jsv UNION ALL SELECT * FROM jsv)""",

@@ -18,10 +18,11 @@ def _finish(query):
 
 
 def _ingest(spark, sf):
-    """Every record delivered twice over several micro-batches."""
+    """Every record delivered three times over several micro-batches: twice as it is, and once older with another title."""
     raw_path, jobs_path, checkpoint = (scratch_path(spark, n) for n in ("raw", "jobs", "checkpoint"))
     raw = _raw(spark, sf)
-    raw.unionAll(raw).repartition(4).write.json(raw_path)
+    older = raw.withColumns({"title": F.lit("outdated"), "ingested_at": F.lit("1970-01-01T00:00:00Z")})
+    raw.unionAll(older).unionAll(raw).repartition(4).write.json(raw_path)
     stream = ingest.read_raw_stream(spark, raw_path, files_per_batch=2)
     _finish(ingest.stream_ingest(stream, jobs_path, checkpoint, Vocabulary(ETL_TERMS + ("rest",)), NOW))
     return flat(ingest.ingested_jobs(spark, jobs_path))

@@ -10,10 +10,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from jobtide.functions.vocabulary import ETL_VOCABULARY, Vocabulary
-from jobtide.operators.dedup import dedup_latest
 from jobtide.operators.extract import explode_skills
-from jobtide.plans.etl import etl_jobs
-from jobtide.schema import RAW_POSTING
+from jobtide.plans.etl import etl_jobs, newest_jobs
+from jobtide.schema import JOBS, RAW_POSTING
 
 #: Fixed value: postings are delivered for up to a week.
 LATENESS = "7 days"
@@ -30,34 +29,30 @@ def read_raw_stream(
     return reader.json(path)
 
 
-def deduplicated(stream: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Each job once within the lateness. The state holds job ids for that time only."""
-    timed = stream.withColumn("ingested_ts", F.col("ingested_at").try_cast("timestamp"))
-    return timed.withWatermark("ingested_ts", lateness).dropDuplicatesWithinWatermark(["job_id"]).drop("ingested_ts")
-
-
 def stream_ingest(
     stream: DataFrame, jobs_path: str, checkpoint: str, vocabulary: Vocabulary = ETL_VOCABULARY,
-    as_of: Column | dt.date | str | None = None, once: bool = True, lateness: str = LATENESS,
+    as_of: Column | dt.date | str | None = None, once: bool = True,
 ) -> StreamingQuery:
-    """Clean each micro-batch like the batch job and write it below its own batch folder.
+    """Clean each micro-batch like the batch job and write its newest row per job below its own batch folder.
 
-    A batch that is retried after a failure overwrites exactly its folder, so no row is lost or doubled, and months
-    written by earlier batches are never touched.
+    No row is too late: which row of a job counts is decided by ``ingested_at`` over all batches when they are read, as
+    the batch job does. A batch that is retried after a failure overwrites exactly its folder, so nothing is lost or
+    doubled, and months written by earlier batches are never touched. Months are folders within a batch.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        etl_jobs(batch, vocabulary, as_of).write.mode("overwrite").parquet(f"{jobs_path}/{BATCH}={batch_id}")
+        versions = etl_jobs(batch, vocabulary, as_of, versions=True)
+        options = {"partitionOverwriteMode": "static"}
+        versions.write.mode("overwrite").options(**options).partitionBy("year", "month").parquet(f"{jobs_path}/{BATCH}={batch_id}")
 
-    writer = deduplicated(stream, lateness).writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 
 
 def ingested_jobs(spark: SparkSession, jobs_path: str) -> DataFrame:
-    """Jobs over all batches; a job delivered again after the lateness is taken from its newest batch."""
-    batches = spark.read.option("basePath", jobs_path).parquet(jobs_path)
-    newest = dedup_latest(batches.withColumn("ingested_at", F.col(BATCH)))
-    return newest.drop(BATCH, "ingested_at")
+    """The jobs table over all batches; equal to the batch job over the same files."""
+    batches = spark.read.option("basePath", jobs_path).parquet(jobs_path).drop(BATCH)
+    return newest_jobs(batches).select(*JOBS.fieldNames())
 
 
 def ingested_job_skills(spark: SparkSession, jobs_path: str) -> DataFrame:

@@ -230,8 +230,12 @@ def test_stream_ingest_resumes(spark, tmp_path):
         (tmp_path / "raw" / f"{name}.json").write_text("\n".join(json.dumps(r) for r in records))
         ingest.stream_ingest(ingest.read_raw_stream(spark, source), out, state).awaitTermination()
 
-    deliver("one", RECORDS[0], RECORDS[0])
-    deliver("two", RECORDS[0], RECORDS[2])
+    updated = RECORDS[2] | {"title": "Senior Analyst", "ingested_at": "2025-11-09T00:00:00Z"}
+    withdrawn = {"job_id": "p-20", "description": "go", "ingested_at": "2025-11-05T00:00:00Z"}
+    deliver("one", RECORDS[0], RECORDS[0], updated, withdrawn)
+    deliver("two", RECORDS[0], RECORDS[2], RECORDS[1], withdrawn | {"description": None, "ingested_at": "2025-11-06T00:00:00Z"})
     jobs = ingest.ingested_jobs(spark, out).collect()
+    whole = etl.etl_jobs(spark.read.schema(RAW_POSTING).json(source)).collect()
+    assert sorted(jobs, key=str) == sorted(whole, key=str) and "Senior Analyst" in {r.title for r in jobs}
     assert sorted(r.job_id for r in jobs) == ["p-17", "p-18"]
     assert ingest.ingested_job_skills(spark, out).count() == 6
