@@ -149,7 +149,7 @@ def train_emergence(matrix: DataFrame, params: ForestParams = ForestParams()) ->
     nodes = stored(grow_trees(draw_samples(matrix, params), params), "forest")
     model = IsolationForestModel(nodes, params)
     scores = stored(model.isolation(matrix).select(F.lit(1).alias("_all"), "isolation"), "isolation")
-    quantile = quantiles_disc(scores, ["_all"], "isolation", {"limit": str(1 - params.contamination)}, 0.0, 1.0)
+    quantile = quantiles_disc(scores, ["_all"], "isolation", {"limit": str(1 - params.contamination)})
     model.threshold = float(quantile.first()["limit"])
     return model
 

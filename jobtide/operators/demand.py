@@ -49,7 +49,7 @@ def salary_by_skill(
         ]
     grouped = bounded.groupBy("skill").agg(*measures).filter(F.col("job_count") >= min_jobs)
     if not approx:
-        quantiles = quantiles_disc(bounded, ["skill"], "salary_mid_usd", {"_p50": "0.5", "_p90": "0.9"}, low, high)
+        quantiles = quantiles_disc(bounded, ["skill"], "salary_mid_usd", {"_p50": "0.5", "_p90": "0.9"})
         grouped = grouped.join(quantiles, "skill")
     return (
         grouped.select(

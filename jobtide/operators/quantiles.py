@@ -10,50 +10,41 @@ from pyspark.sql import functions as F
 from jobtide.plans.store import stored
 
 
-def quantiles_disc(
-    df: DataFrame, keys: list[str], value: str, fractions: dict[str, str], low: float, high: float, bins: int = 4096
-) -> DataFrame:
+def quantiles_disc(df: DataFrame, keys: list[str], value: str, fractions: dict[str, str], bins: int = 4096) -> DataFrame:
     """One row per group with a column per fraction: the smallest value whose rank reaches ``ceil(p * n)``.
 
-    Values lie between *low* and *high*. A first pass counts values per group and bin, which combines on the map
-    side to at most *bins* rows per group; the cumulated counts tell which bin holds each rank. This list is written
-    out, so its size is known: a small one is broadcast and the second pass shuffles nothing but counts, a large one
-    is joined by shuffle. The second pass keeps the values of the listed bins only, counted by value, and picks the
-    one that reaches the rank. No task sees more than the distinct values of one bin, however large the group.
+    Each wanted rank has a range of values that holds it, at first the whole range of its group. A pass counts the
+    values of each range in *bins* equal parts, which combines on the map side to at most *bins* rows per rank, and
+    the range becomes that between the smallest and the largest value of the part that holds the rank. This goes on
+    until a range is one value, a few passes for any distribution: no task holds a group, a part or its distinct
+    values. Keys and values are written once, for all passes. Ranges are
+    written out, so their size is known and a small table of them is broadcast.
     """
-    width = (high - low) / bins
-    binned = df.filter(F.col(value).isNotNull()).select(
-        *keys, F.col(value).alias("_v"), F.floor((F.col(value) - F.lit(low)) / F.lit(width)).alias("_bin")
-    )
-    by_bin = Window.partitionBy(*keys).orderBy("_bin")
-    histogram = (
-        binned.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(by_bin))
-        .withColumn("_total", F.sum("_n").over(Window.partitionBy(*keys)))
-    )
+    known = F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double"))
+    values = stored(df.filter(known).select(*keys, F.col(value).cast("double").alias("_v")), "quantile_values")
     wanted = F.array(*[
         F.struct(
-            F.lit(name).alias("name"),
-            F.greatest(F.ceil(F.col("_total") * F.lit(Decimal(p))).cast("long"), F.lit(1)).alias("rank"),
+            F.lit(name).alias("_name"),
+            F.greatest(F.ceil(F.col("_n") * F.lit(Decimal(p))).cast("long"), F.lit(1)).alias("_rank"),
         )
         for name, p in fractions.items()
     ])
-    targets = stored(
-        histogram.withColumn("_want", F.explode(wanted))
-        .filter((F.col("_want.rank") <= F.col("_upto")) & (F.col("_want.rank") > F.col("_upto") - F.col("_n")))
-        .select(
-            *keys, "_bin", F.col("_want.name").alias("_name"),
-            (F.col("_want.rank") - (F.col("_upto") - F.col("_n"))).alias("_rank"),
-        ),
-        "quantile_bins",
-    )
-    by_value = Window.partitionBy(*keys, "_name").orderBy("_v")
-    picked = (
-        binned.join(targets, keys + ["_bin"])
-        .groupBy(*keys, "_name", "_rank", "_v").agg(F.count(F.lit(1)).alias("_n"))
-        .withColumn("_upto", F.sum("_n").over(by_value))
-        .filter(F.col("_upto") >= F.col("_rank"))
-    )
-    return picked.groupBy(*keys).agg(
-        *[F.min(F.when(F.col("_name") == name, F.col("_v"))).alias(name) for name in fractions]
+    groups = values.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+    ranges = stored(groups.select(*keys, F.inline(wanted), "_low", "_high"), "quantile_ranges")
+    done = ranges.filter("_low = _high")
+    place = [*keys, "_name"]
+    while not (open_ranges := ranges.filter("_low < _high")).isEmpty():
+        part = F.least(F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(bins)), F.lit(bins - 1))
+        counted = (
+            values.join(open_ranges, keys).filter(F.col("_v").between(F.col("_low"), F.col("_high")))
+            .groupBy(*place, "_rank", part.alias("_part"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_low"), F.max("_v").alias("_high"))
+            .withColumn("_upto", F.sum("_n").over(Window.partitionBy(*place).orderBy("_part")))
+        )
+        holds = (F.col("_rank") <= F.col("_upto")) & (F.col("_rank") > F.col("_upto") - F.col("_n"))
+        left = (F.col("_rank") - (F.col("_upto") - F.col("_n"))).alias("_rank")
+        ranges = stored(counted.filter(holds).select(*place, left, "_low", "_high"), "quantile_ranges")
+        done = done.unionByName(ranges.filter("_low = _high"))
+    return done.groupBy(*keys).agg(
+        *[F.min(F.when(F.col("_name") == name, F.col("_low"))).alias(name) for name in fractions]
     )
