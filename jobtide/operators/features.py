@@ -22,6 +22,7 @@ from jobtide.functions.vocabulary import model_category
 from jobtide.operators.demand import latest_week_rows, weekly_history
 
 SERIES = ("skill", "country")
+#: Rows looked back, and rows of rolling frames.
 LAGS = (1, 2, 4, 8, 12)
 SPANS = (4, 8, 12)
 
@@ -37,6 +38,7 @@ FEATURES = (
     "category_share", "category_job_count",
     "week_sin", "week_cos", "month_sin", "month_cos",
 )
+#: Inputs of the emergence model.
 EMERGENCE_FEATURES = (
     "mom_growth", "qoq_growth", "growth_acceleration", "market_share_change", "trend_strength_8w", "emergence_score",
 )
@@ -99,26 +101,16 @@ def feat_rolling(df: DataFrame, keys: Keys = SERIES, spans: Sequence[int] = SPAN
 def feat_ema4(df: DataFrame, keys: Keys = SERIES, span: int = 4) -> DataFrame:
     """Exponentially weighted mean: y0 = x0, then y = a*x + (1-a)*y with a = 2/(span+1).
 
-    A recursion, which a window frame cannot express: each series is gathered in time order (one row per calendar
-    week), folded, and unfolded again. The result stays partitioned by the series, so the windows that follow need
-    no further shuffle.
+    A row's value is folded over a bounded frame of rows before it, so long that what lies farther back weighs less
+    than a double can tell. So no series is gathered, and the frame shares the order of the other windows.
     """
     alpha = 2.0 / (span + 1)
-    order = ["week"] + [c for c in SERIES if c in df.columns and c not in keys]
-    rest = [c for c in df.columns if c not in keys and c not in order]
-    rows = df.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(*order, *rest))).alias("_rows"))
-
-    def step(done: Column, row: Column) -> Column:
-        value = row["job_count"].cast("double")
-        previous = F.try_element_at(done, F.lit(-1))
-        smoothed = F.when(F.size(done) == 0, value).otherwise(value * F.lit(alpha) + previous * F.lit(1.0 - alpha))
-        return F.concat(done, F.array(smoothed))
-
-    smoothed = F.aggregate("_rows", F.array().cast("array<double>"), step)
-    zipped = F.arrays_zip(F.col("_rows").alias("row"), smoothed.alias("ema"))
-    return rows.select(*keys, F.inline(zipped).alias("row", "job_count_ema_4w")).select(
-        *[F.col(c) if c in keys else F.col(f"row.{c}").alias(c) for c in df.columns], "job_count_ema_4w"
-    )
+    frame = _span(series_window(df, keys), math.ceil(60 / -math.log2(1.0 - alpha)))
+    # In structs, since a collected list leaves out NULLs.
+    rows = F.transform(F.collect_list(F.struct(F.col("job_count").cast("double").alias("x"))).over(frame), lambda r: r["x"])
+    later = F.slice("_frame", F.lit(2), F.greatest(F.size("_frame") - 1, F.lit(0)))
+    smoothed = F.aggregate(later, F.get("_frame", F.lit(0)), lambda y, x: x * F.lit(alpha) + y * F.lit(1.0 - alpha))
+    return df.withColumn("_frame", rows).withColumn("job_count_ema_4w", smoothed).drop("_frame")
 
 
 def feat_growth(df: DataFrame, keys: Keys = SERIES) -> DataFrame:
@@ -248,7 +240,7 @@ def make_target(df: DataFrame, keys: Keys = SERIES, horizon: int = 4) -> DataFra
 def all_features(
     weekly: DataFrame, keys: Keys = SERIES, groups: dict[str, tuple[str, ...]] | None = None, expanding: bool = False
 ) -> DataFrame:
-    """Every feature block on weekly rows. The exponential mean comes first: it sets the partitioning by series."""
+    """Every feature block on weekly rows."""
     df = feat_ema4(weekly, keys)
     df = feat_time(df)
     df = feat_lags(df, keys)
