@@ -117,7 +117,7 @@ def _register_tables(spark, sf):
 
 def _repair_partitions(spark, sf):
     database = _registered_tables(spark, sf)
-    return rounded(spark.sql(f"SELECT * FROM {database}.job_skills WHERE year = 1998 AND month = 3"))
+    return rounded(spark.sql(f"SELECT * FROM {database}.job_skills"))
 
 
 def _created_view(spark, sf):
@@ -206,7 +206,7 @@ SELECT job_id, posted_date, country, {r('salary_mid_usd')}, skill, year,
 SELECT {_ALL}, 'parquet' AS source FROM jsv UNION ALL SELECT {_ALL}, 'csv' FROM jsv""",
     "read_view": DEMAND_SQL["vw_salary_by_country"],
     "register_tables": POSTING_SQL["project_jobs"],
-    "repair_partitions": JOB_SKILLS_SQL + f"SELECT {_ALL} FROM jsv WHERE year = 1998 AND month = 3",
+    "repair_partitions": JOB_SKILLS_SQL + f"SELECT {_ALL} FROM jsv",
     "create_views": DEMAND_SQL["vw_top_skills"],
     "etl_jobs": JOBS_SQL + f"""
 SELECT job_id, posted_date, country, {r('salary_mid_usd')}, 'rest' AS skill, year, month, title

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
 
@@ -35,7 +37,7 @@ def build_session(app_name: str = "jobtide", master: str | None = None, **conf:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The folder every executor can reach: ``spark.checkpoint.dir``, or a temporary one in local mode."""
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or in local mode one of this process, removed at its end."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
@@ -44,6 +46,7 @@ def scratch_root(spark: SparkSession) -> str:
     app = spark.sparkContext.applicationId
     if app not in _LOCAL_ROOTS:
         _LOCAL_ROOTS[app] = tempfile.mkdtemp(prefix="jobtide-")
+        atexit.register(shutil.rmtree, _LOCAL_ROOTS[app], ignore_errors=True)
     return _LOCAL_ROOTS[app]
 
 
