@@ -14,7 +14,6 @@ from pyspark.sql import functions as F
 
 from jobtide.llm.bpe import encode_texts
 from jobtide.llm.exact_dedup import exact_duplicates
-from jobtide.llm.frames import packed
 from jobtide.llm.jaccard import jaccard_groups
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.quality import fit_quality, score_quality
@@ -22,31 +21,61 @@ from jobtide.llm.registered import fold
 from jobtide.plans.store import stored
 
 
-def _rows(docs: DataFrame, *columns: str) -> DataFrame:
-    """The columns an operator reads, and whole rows in one, so that its outputs cannot clash with a column."""
-    return docs.select(*columns, packed(docs, docs.columns).alias("row"))
+#: Keys of dropped rows up to this many are broadcast (16 bytes each); more are joined by shuffle.
+BROADCAST_KEYS = 1_000_000
+
+
+def _numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """The table with columns c0, c1, ..., so that an operator's results cannot clash with them, and the names by column."""
+    names = {name: f"c{at}" for at, name in enumerate(docs.columns)}
+    return docs.select(*[F.col(f"`{name}`").alias(new) for name, new in names.items()]), names
+
+
+def _restored(docs: DataFrame, names: dict[str, str]) -> DataFrame:
+    return docs.select(*[F.col(new).alias(name) for name, new in names.items()])
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """A key for each row beside its columns: the hash of its file's path, and its place in the file."""
+    try:
+        return docs.select("*", F.xxhash64("_metadata.file_path").alias("__file"), F.col("_metadata.row_index").alias("__at"))
+    except AnalysisException:  # not read from files
+        return _keyed(stored(docs, "keyed"))
+
+
+def _kept(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of a keyed table that a table of keys with ``kept`` keeps; whole rows move only if very many are dropped."""
+    dropped = stored(decided.where("NOT kept").select("__file", "__at"), "dropped")
+    side = F.broadcast(dropped) if dropped.count() <= BROADCAST_KEYS else dropped
+    return docs.join(side, ["__file", "__at"], "left_anti").drop("__file", "__at")
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose probability of quality label 1 is at least 0.7."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality").where(~fold(4))
-    rows = _rows(docs, "doc_id", "text")
-    return score_quality(rows, fit_quality(rows, labels), carry=["row"]).where("score >= 0.7").select("row.*")
+    model = fit_quality(docs.select("doc_id", "text"), labels)
+    rows, names = _numbered(docs)
+    return _restored(score_quality(rows, model, text_col=names["text"]).where("score >= 0.7"), names)
 
 
 def exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group whose texts are equal without white space."""
-    return exact_duplicates(_rows(docs, "doc_id", "text"), carry=["row"]).where("kept").select("row.*")
+    keyed = _keyed(docs)
+    return _kept(keyed, exact_duplicates(keyed.select("doc_id", "text", "__file", "__at"), carry=["__file", "__at"]))
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group linked by a Jaccard similarity of 0.8 on five-word shingles."""
-    return jaccard_groups(_rows(docs, "doc_id", "text"), size=5, percent=80, carry=["row"]).where("kept").select("row.*")
+    keyed = _keyed(docs)
+    rows = keyed.select("doc_id", "text", "__file", "__at")
+    return _kept(keyed, jaccard_groups(rows, size=5, percent=80, carry=["__file", "__at"]))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in an order in which each source always has its share of the square roots of the counts."""
-    return mix_sources(_rows(docs, "doc_id", "source")).orderBy("mix_slot", "mix_rank").select("row.*")
+    rows, names = _numbered(docs)
+    mixed = mix_sources(rows, source_col=names["source"], id_col=names["doc_id"])
+    return _restored(mixed.orderBy("mix_slot", "mix_rank"), names)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -165,8 +165,11 @@ def score_quality(
     """
     columns = list(docs.columns if carry is None else carry)
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    rows = docs.select(packed(docs, columns).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    schema = T.StructType([rows.schema["row"], T.StructField("score", T.DoubleType())])
+    # A carried text goes through the workers once, not beside the row.
+    others = [name for name in columns if name != text_col]
+    rows = docs.select(packed(docs, others).alias("row"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    passed = ["row"] + ["text"] * (len(others) < len(columns))
+    schema = T.StructType([rows.schema[name] for name in passed] + [T.StructField("score", T.DoubleType())])
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if shared.value not in _SCORERS:
@@ -174,6 +177,9 @@ def score_quality(
             _SCORERS[shared.value] = _Scorer(pickle.loads(shared.value))
         scorer = _SCORERS[shared.value]
         for part in slices(batches, "text"):
-            yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(scorer(part.column("text")))], ["row", "score"])
+            values = [part.column(name) for name in passed]
+            yield pa.RecordBatch.from_arrays([*values, pa.array(scorer(part.column("text")))], [*passed, "score"])
 
-    return with_columns(rows.mapInArrow(run, schema), columns, {"score": F.col("score")})
+    whole = [F.col("text" if name == text_col else f"row.`{name}`").alias(name) for name in columns]
+    scored = rows.mapInArrow(run, schema).select(F.struct(*whole).alias("row"), "score")
+    return with_columns(scored, columns, {"score": F.col("score")})
