@@ -6,9 +6,11 @@ from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from jobtide.session import scratch_path
+
 #: The characters of `[\x20\x09-\x0D]`.
 WHITESPACE = " \t\n\x0b\x0c\r"
 
@@ -44,3 +46,21 @@ def slices(batches: Iterable[pa.RecordBatch], column: str, max_bytes: int = 4 <<
             size += length
         if batch.num_rows > start:
             yield batch.slice(start)
+
+
+class Workspace:
+    """Intermediate tables in the shared folder that go when a result no longer reads them."""
+
+    def __init__(self, spark: SparkSession, name: str) -> None:
+        self.spark, self.root, self.count = spark, scratch_path(spark, name), 0
+
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """Write *df* and read it back, as ``jobtide.plans.store.stored`` does."""
+        self.count += 1
+        path = f"{self.root}/{self.count}-{name}"
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def clear(self) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.root)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from jobtide.llm.components import connected_components
-from jobtide.llm.frames import packed, slices, with_columns
+from jobtide.llm.frames import Workspace, packed, slices, with_columns
 from jobtide.llm.subwords import mixed, words_of
 from jobtide.plans.store import stored
 
@@ -84,7 +84,7 @@ def _possible(x: str, y: str, percent: int) -> Column:
     return (100 + percent) * most >= percent * (F.col(f"{x}.n") + F.col(f"{y}.n"))
 
 
-def _links(sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
+def _links(full: DataFrame, percent: int, work: Workspace) -> DataFrame:
     """Links ``(a, b)`` between sets that leave no two linked sets in different components.
 
     *full*: ``(s, n, tokens)``. Shingles of one set only are left out but counted; the others have a global order, rare
@@ -93,24 +93,24 @@ def _links(sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
     the smallest share of own shingles (near copies mostly link through it); then all sets of a list that are still in
     different components are compared with each other.
     """
-    tokens = stored(full.select("s", "n", F.explode("tokens").alias("h")), "jaccard-tokens")
+    tokens = work.stored(full.select("s", "n", F.explode("tokens").alias("h")), "jaccard-tokens")
     frequency = tokens.groupBy("h").agg(F.count("*").alias("df")).where("df > 1")
     key = F.col("df") + F.col("h") / F.lit(2.0**64) + F.lit(0.5)
-    ranked = stored(tokens.join(frequency, "h").select("s", "n", "h", "df", key.alias("key")), "jaccard-ranked")
+    ranked = work.stored(tokens.join(frequency, "h").select("s", "n", "h", "df", key.alias("key")), "jaccard-ranked")
     shared = ranked.groupBy("s").agg(F.first("n").alias("n"), F.count("*").alias("shared"))
     lacking = _lacking(F.col("n"), percent)
-    shared = stored(shared.where(F.col("n") - F.col("shared") <= lacking), "jaccard-shared")
+    shared = work.stored(shared.where(F.col("n") - F.col("shared") <= lacking), "jaccard-shared")
 
     steps = [at / FRAGMENTS for at in range(1, FRAGMENTS)]
     pivots = ranked.agg(F.percentile_approx("key", F.lit(steps), 10_000).alias("p")).first()["p"] or []
     fragment = sum((F.when(F.col("key") >= pivot, 1).otherwise(0) for pivot in sorted(set(pivots))), F.lit(0))
     alive = ranked.join(shared.select("s", "shared"), "s")
-    segments = stored(
+    segments = work.stored(
         alive.groupBy("s", "n", fragment.alias("fragment")).agg(F.collect_list("h").alias("tokens")), "jaccard-segments"
     )
     own = F.col("n") - F.col("shared")
     first = F.slice(F.sort_array("all"), F.lit(1), (lacking + 1 - own).cast("int"))
-    postings = stored(
+    postings = work.stored(
         alive.groupBy("s", "n", "shared").agg(F.collect_list(F.struct("key", "h")).alias("all"))
         .select("s", "n", "shared", F.posexplode(first).alias("at", "x"))
         .select("s", "n", (own * 1000 / F.col("n")).cast("int").alias("own"), (F.col("shared") - F.col("at")).alias("left"), "x.h"),
@@ -129,16 +129,16 @@ def _links(sets: DataFrame, full: DataFrame, percent: int) -> DataFrame:
             met = lists.select("h", x).join(hubs.select("h", "y"), "h")
             met = met.where("x.c <> y.c")
         else:
-            open_lists = stored(lists.join(hubs.select("h"), "h", "left_semi").select("h", x), "jaccard-open")
+            open_lists = work.stored(lists.join(hubs.select("h"), "h", "left_semi").select("h", x), "jaccard-open")
             met = open_lists.join(open_lists.withColumnRenamed("x", "y"), "h").where("x.c <> y.c AND x.s < y.s")
         pairs = met.where(_possible("x", "y", percent)).select(
             F.least("x.s", "y.s").alias("a"), F.greatest("x.s", "y.s").alias("b")
         ).distinct()
-        links = stored(_verified(pairs, segments, percent), "jaccard-links")
+        links = work.stored(_verified(pairs, segments, percent), "jaccard-links")
         found = links if found is None else found.unionAll(links)
         if turn < HUB_ROUNDS:
             roots = connected_components(found)
-            components = stored(
+            components = work.stored(
                 shared.join(roots.withColumnRenamed("node", "s"), "s", "left").select("s", F.coalesce("root", "s").alias("c")),
                 "jaccard-components",
             )
@@ -187,7 +187,8 @@ def jaccard_groups(
         rows.mapInArrow(prefixes, schema).withColumn("rid", F.monotonically_increasing_id()), "jaccard-documents"
     )
     best = F.min(F.struct(F.col("id").isNull().alias("unknown"), "id", "rid"))
-    sets = stored(
+    work = Workspace(docs.sparkSession, "jaccard")
+    sets = work.stored(
         light.where("n > 0").groupBy("digest", "n").agg(best.alias("first"), F.min(F.struct("rid", "prefix")).alias("p"))
         .select("digest", "n", "first", F.col("p.rid").alias("s"), F.col("p.prefix").alias("prefix")),
         "jaccard-sets",
@@ -199,7 +200,7 @@ def jaccard_groups(
     hits = heads.join(met, "h", "left_semi").groupBy("s").agg(F.count("*").alias("hits"))
     smallest = F.ceil(F.col("n") * percent / 100)
     need = F.greatest(F.lit(1), _lacking(smallest, percent))
-    survivors = stored(
+    survivors = work.stored(
         sets.join(hits, "s").where(F.col("hits") >= need).select("s", "n", "digest", F.col("first.id").alias("id")),
         "jaccard-survivors",
     )
@@ -215,10 +216,11 @@ def jaccard_groups(
     full = sets_again.join(survivors, "digest").select("s", "n", "tokens").dropDuplicates(["s"])
 
     # Step 2.
-    roots = connected_components(_links(sets, full, percent)).withColumnRenamed("node", "s")
+    roots = connected_components(_links(full, percent, work)).withColumnRenamed("node", "s")
     grouped = sets.select("digest", "s", "first").join(roots, "s", "left").withColumn("root", F.coalesce("root", "s"))
     firsts = grouped.groupBy("root").agg(F.min("first").alias("least"))
     classes = stored(grouped.join(firsts, "root").select("digest", "least"), "jaccard-classes")
+    work.clear()
     joined = light.where("n > 0").join(classes, "digest")
     out = with_columns(joined, columns, {
         "n_shingles": F.col("n"), "component_id": F.col("least.id"), "kept": F.col("rid") == F.col("least.rid"),
