@@ -19,7 +19,7 @@ from jobtide.plans.store import stored
 #: Bytes of context. Six bytes, the next one included, make a key.
 DEPTH = 5
 #: Bytes of text in a block and in a step of work on a block; bytes of input per part of the model.
-BLOCK_BYTES, STEP_BYTES, PART_BYTES = 32 << 20, 1 << 20, 8 << 20
+BLOCK_BYTES, STEP_BYTES, PART_BYTES = 16 << 20, 2 << 20, 8 << 20
 #: Keys that a block gathers before it merges them.
 MERGE_KEYS = 1 << 20
 #: Tables of a block: byte strings of the context tree, and words.
@@ -62,12 +62,13 @@ class Block:
             last = np.searchsorted(self.ends, end - 1, "right")
             cut = np.clip(self.ends[first : last + 1], begin, end)
             owner = np.repeat(np.arange(first, last + 1), np.diff(cut, prepend=begin))
-            place = np.arange(begin, end) - (self.ends - self.sizes)[owner]
-            at = np.flatnonzero(place >= DEPTH) + begin
-            key = self.bytes[at].astype(np.uint64)
+            scored = np.arange(begin, end) - (self.ends - self.sizes)[owner] >= DEPTH
+            # The first text has DEPTH zero bytes before it, so what is read before the block's begin is never scored.
+            near = np.concatenate([np.zeros(max(0, DEPTH - begin), np.uint8), self.bytes[max(0, begin - DEPTH) : end]]).astype(np.uint64)
+            key = near[DEPTH:].copy()
             for back in range(1, DEPTH + 1):
-                key |= self.bytes[at - back].astype(np.uint64) << np.uint64(8 * (DEPTH + 1 - back))
-            yield key, owner[at - begin]
+                key |= near[DEPTH - back : len(near) - back] << np.uint64(8 * (DEPTH + 1 - back))
+            yield key[scored], owner[scored]
 
     def words(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """Hashes of distinct words, the word at every place, and the text that it is in, some texts at a time."""
@@ -300,16 +301,19 @@ def score_texts(
             mine = np.flatnonzero(kinds == kind).tolist()
             keys = [np.cumsum(_unpack(group.column("keys")[i].as_py(), np.uint64), dtype=np.uint64) for i in mine]
             vals = [_unpack(group.column("values")[i].as_py(), dtype) for i in mine]
-            known[kind] = (pa.array(np.concatenate(keys)), np.concatenate(vals)) if mine else (pa.array([], pa.uint64()), np.zeros(0))
+            keys, vals = (np.concatenate(keys), np.concatenate(vals)) if mine else (np.zeros(0, np.uint64), np.zeros(0))
+            order = np.argsort(keys)
+            known[kind] = keys[order], vals[order]
         texts = len(block.sizes)
         score, base, tokens, seen = np.zeros(texts), np.zeros(texts), np.ones(texts, np.int64), np.zeros(texts, np.int64)
         keys, vals = known[GRAMS]
         for key, owner in block.keys():
-            found = pc.index_in(pa.array(key), value_set=keys).to_numpy()
-            score += np.bincount(owner, vals[found], texts)
+            coded = pa.array(key).dictionary_encode()
+            found = vals[np.searchsorted(keys, coded.dictionary.to_numpy())][coded.indices.to_numpy()]
+            score += np.bincount(owner, found, texts)
         keys, vals = known[WORDS]
         for hashed, index, owner in block.words():
-            counted = vals[pc.index_in(pa.array(hashed), value_set=keys).to_numpy()][index]
+            counted = vals[np.searchsorted(keys, hashed)][index]
             base += np.bincount(owner, np.log10(np.abs(counted) / outcomes), texts)
             tokens += np.bincount(owner, minlength=texts)
             seen += np.bincount(owner, counted > 0, texts).astype(np.int64)
