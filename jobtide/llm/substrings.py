@@ -13,17 +13,23 @@ from pyspark.sql import types as T
 from jobtide.llm.frames import slices
 from jobtide.plans.store import stored
 
-#: Bytes that the rolling hash sees, shortest and longest chunk; a cut falls on one byte in 32 on average.
-SEEN, SHORTEST, LONGEST = 32, 16, 256
+#: Bytes that the rolling hash sees, bytes that a chunk has at least, and positions of which the least hash is a cut.
+SEEN, SHORTEST, WINDOW = 16, 16, 96
+#: Bytes beside a run that are compared; a repetition ends within SEEN + 2 * WINDOW bytes of its shared chunks.
+BESIDE = 256
+#: Contexts that are compared at a time.
+PIECE = 10_000
 GEAR = np.random.default_rng(20).integers(0, 1 << 63, 256, dtype=np.uint64)
+BLANK = np.zeros(256, bool)
+BLANK[[9, 10, 11, 12, 13, 32]] = True
 
 
 def cuts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ends of the chunks of texts that follow each other in *data*, and how many chunks each has.
 
-    The gear hash of the last 32 bytes, of one text, decides on a cut; it is built up by doubling, so every byte takes
-    five steps. A cut closer than SHORTEST to the one before is not taken, which depends on near content only; a longer
-    chunk is cut every LONGEST bytes from its start. So an insertion changes the chunks around it and no others.
+    The gear hash of the last 16 bytes, of one text, is built up by doubling. Of every 96 neighbouring positions the one
+    with the least hash is a cut, the last of equal ones: cuts depend on near content only and are at most 96 bytes apart.
+    Where one stretch repeats without end, as many of its repetitions as fit into 96 bytes make a chunk.
     """
     ends = np.cumsum(lengths)
     place = (np.arange(len(data)) - np.repeat(ends - lengths, lengths)).astype(np.int64)
@@ -34,30 +40,111 @@ def cuts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]
         earlier[place < span] = 0
         rolled = rolled + earlier
         span *= 2
-    # Bits 27 to 31 depend on all bytes seen.
-    found = np.flatnonzero((rolled >> np.uint64(27)) & np.uint64(31) == 0) + 1
-    last = place[found - 1] + 1
-    gap = np.diff(found, prepend=0)
-    found = found[np.minimum(gap, last) >= SHORTEST]
-    found = np.union1d(found, ends[lengths > 0])
-    size = np.diff(found, prepend=0)
-    more = (size - 1) // LONGEST
-    if more.any():
-        begin = np.repeat(found - size, more)
-        step = np.arange(more.sum()) - np.repeat(np.cumsum(more) - more, more) + 1
-        found = np.union1d(found, begin + step * LONGEST)
+    # The hash is mixed, so that its high bits depend on all bytes seen, and joined with the position from the end.
+    rolled = ((rolled & np.uint64(0xFFFF)) * np.uint64(0x9E3779B97F4A7C15) ^ (rolled * np.uint64(0xD6E8FEB86659FD93))) >> np.uint64(32)
+    rolled[place < SEEN - 1] = 0xFFFFFFFF
+    least, span = rolled << np.uint64(32) | (np.uint64(0xFFFFFFFF) - np.arange(len(data), dtype=np.uint64)), 1
+    while span * 2 <= WINDOW:
+        least[span:] = np.minimum(least[span:], least[:-span].copy())
+        span *= 2
+    if (rest := WINDOW - span) and len(data) > rest:
+        least[rest:] = np.minimum(least[rest:], least[:-rest].copy())
+    found = np.unique((0xFFFFFFFF - (least[place >= WINDOW - 1] & np.uint64(0xFFFFFFFF)).astype(np.int64)))
+    if len(found) > 2:
+        gap = np.diff(found, prepend=-1)
+        again = np.zeros(len(found), bool)
+        again[2:] = (gap[2:] == gap[1:-1]) & (rolled[found[2:]] == rolled[found[1:-1]])
+        run = np.arange(len(found)) - np.maximum.accumulate(np.where(again, 0, np.arange(len(found))))
+        found = found[run % np.maximum(1, WINDOW // gap) == 0]
+    found = np.union1d(found + 1, ends[lengths > 0])
     return found, np.diff(np.searchsorted(found, np.concatenate([[0], ends]), "right"))
 
 
+CONTEXT = ["t", "left", "h1", "h2", "at", "beside"]
+
+
+def _grown(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """How far each of the sorted contexts of a partition agrees with that of another text, and which rows are at its edges.
+
+    Edges are the rows of the first and the last text and the rows next to them: what rows of other partitions are compared to.
+    """
+    parts = [batch.select(CONTEXT) for batch in batches if batch.num_rows]
+    if not parts:
+        return
+    rows = pa.Table.from_batches(parts).combine_chunks()
+    found = _agreements(rows)
+    text = rows.column("t").to_numpy()
+    changes = np.flatnonzero(text[1:] != text[:-1])
+    edges = np.ones(len(text), bool)
+    if len(changes):
+        edges[changes[0] + 2 : changes[-1]] = False
+    for begin in range(0, len(text), PIECE):
+        piece = rows.slice(begin, PIECE).combine_chunks()
+        gain, words = _gain(piece, found[begin : begin + PIECE])
+        yield pa.RecordBatch.from_arrays(
+            [*piece.to_batches()[0].columns, pa.array(gain), pa.array(words), pa.array(edges[begin : begin + PIECE])],
+            [*CONTEXT, "gain", "words", "edge"],
+        )
+
+
+def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    values = rows.column("beside").to_pylist()
+    joined = b"".join(value.ljust(BESIDE + 2, b" ") for value in values)
+    return np.frombuffer(joined, np.uint8).reshape(-1, BESIDE + 2), np.fromiter(map(len, values), np.int64, len(values))
+
+
+def _agreements(rows: pa.Table) -> np.ndarray:
+    """Bytes in which each of the sorted contexts agrees with the nearest ones of other texts with the same chunk at most."""
+    agree = []
+    for begin in range(0, rows.num_rows, PIECE):
+        piece = rows.slice(begin, PIECE + 1)
+        matrix, size = _matrix(piece)
+        same = np.ones(len(size) - 1, bool)
+        for name in ("left", "h1", "h2"):
+            column = piece.column(name).to_numpy()
+            same &= column[1:] == column[:-1]
+        differ = matrix[1:] != matrix[:-1]
+        common = np.where(differ.any(1), differ.argmax(1), BESIDE + 2)
+        agree += np.where(same, np.minimum(common, np.minimum(size[1:], size[:-1])), 0).tolist()
+    text = rows.column("t").to_pylist()
+    forward, backward = [0] * len(text), [0] * len(text)
+    for i in range(1, len(text)):
+        forward[i] = agree[i - 1] if text[i] != text[i - 1] else min(forward[i - 1], agree[i - 1])
+    for i in range(len(text) - 2, -1, -1):
+        backward[i] = agree[i] if text[i] != text[i + 1] else min(backward[i + 1], agree[i])
+    return np.clip(np.maximum(forward, backward), 1, BESIDE + 1)
+
+
+def _gain(rows: pa.Table, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Code points and words in agreements of *found* bytes; contexts begin with the byte of the chunk beside them."""
+    matrix, size = _matrix(rows)
+    wide = BESIDE + 2
+    # Back to a whole word: the context has a blank, or ends, behind the agreement.
+    blank = BLANK[matrix]
+    at = np.arange(wide)
+    stop = blank | (at == np.minimum(size, wide - 1)[:, None])
+    stop[:, 0], stop[:, 1] = False, True
+    found = np.where(stop & (at <= found[:, None]), at, 0).max(1)
+    taken = (at >= 1) & (at < found[:, None])
+    gain = (taken & ((matrix & 0xC0) != 0x80)).sum(1).astype(np.int32)
+    left = rows.column("left").to_numpy()
+    # A word begins where a blank lies before it: the byte behind it in a context to the left, which is reversed.
+    ahead, behind = np.ones_like(blank), np.ones_like(blank)
+    ahead[:, :-1], behind[:, 1:] = blank[:, 1:] | (at[1:] >= found[:, None]), blank[:, :-1]
+    words = (taken & ~blank & np.where(left[:, None], ahead, behind)).sum(1).astype(np.int32)
+    return gain, words
+
+
 def repeated_passages(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_words: int = 20
 ) -> DataFrame:
     """Passages of a text that occur in other rows too.
 
     Whole texts are cut into chunks where their content says so, and chunks with equal 128-bit digests are duplicates. A
-    passage is a run of neighbouring chunks that each occur in at least two rows. It is reported from *min_words* words:
-    up to a chunk is lost at either end of what is really repeated (48 bytes on average), so this catches passages from
-    about 50 words.
+    run of chunks that each occur in at least two rows is grown to both sides, by whole words, as far as any other text
+    with its outermost chunk agrees; a passage is a grown run of at least *min_words* words. A repetition of 223 bytes has
+    a shared chunk wherever it stands, so all of about 50 words are found, and most shorter ones. In a stretch that repeats itself, which
+    agrees with itself when shifted too, less than a chunk may be missing at an end.
 
     Returns a row per passage: the id column, ``start`` and ``end`` (code points, end exclusive), ``words``, ``n_rows``
     (rows that share its most shared chunk), ``first_id`` (smallest id with its first chunk; NULL ids last) and
@@ -67,11 +154,11 @@ def repeated_passages(
     rows = docs.select(
         F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").cast("string").alias("text"),
         F.monotonically_increasing_id().alias("rid"),
-    )
+    ).withColumn("t", F.xxhash64("text"))
     schema = T.StructType([rows.schema["id"]])
-    for name in ("rid", "h1", "h2"):
+    for name in ("rid", "t", "h1", "h2"):
         schema = schema.add(name, "long")
-    for name in ("start", "end", "words"):
+    for name in ("start", "end", "before", "words"):
         schema = schema.add(name, "integer")
 
     def chunk(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -83,10 +170,12 @@ def repeated_passages(
             joined = b"".join(raw)
             data, lengths = np.frombuffer(joined, np.uint8), np.fromiter(map(len, raw), np.int64, len(raw))
             ends, counts = cuts(data, lengths)
-            begins = np.concatenate([[0], ends[:-1]]) if len(ends) else ends
-            values = np.frombuffer(b"".join([digest(joined[b:e]) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]), "<i8")
             row = np.repeat(np.arange(len(raw)), counts)
             text_begin = (np.cumsum(lengths) - lengths)[row]
+            # A chunk goes back to the last cut that leaves it SHORTEST bytes, so neighbours may overlap.
+            bounds = np.concatenate([[0], ends])
+            begins = np.maximum(bounds[np.maximum(np.searchsorted(bounds, ends - SHORTEST, "right") - 1, 0)], text_begin)
+            values = np.frombuffer(b"".join([digest(joined[b:e]) for b, e in zip(begins.tolist(), ends.tolist(), strict=True)]), "<i8")
             points = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])
             space = (data == 32) | ((data >= 9) & (data <= 13))
             head = ~space
@@ -94,10 +183,11 @@ def repeated_passages(
             head[(np.cumsum(lengths) - lengths)[lengths > 0]] = ~space[(np.cumsum(lengths) - lengths)[lengths > 0]]
             words = np.concatenate([[0], np.cumsum(head)])
             yield pa.RecordBatch.from_arrays([
-                part.column("id").take(pa.array(row)), part.column("rid").take(pa.array(row)),
+                part.column("id").take(pa.array(row)), part.column("rid").take(pa.array(row)), part.column("t").take(pa.array(row)),
                 pa.array(values[0::2].astype(np.int64)), pa.array(values[1::2].astype(np.int64)),
                 pa.array((points[begins] - points[text_begin]).astype(np.int32)),
-                pa.array((points[ends] - points[text_begin]).astype(np.int32)), pa.array((words[ends] - words[begins]).astype(np.int32)),
+                pa.array((points[ends] - points[text_begin]).astype(np.int32)),
+                pa.array((words[begins] - words[text_begin]).astype(np.int32)), pa.array((words[ends] - words[text_begin]).astype(np.int32)),
             ], schema.names)
 
     chunks = stored(rows.mapInArrow(chunk, schema), "chunks")
@@ -105,14 +195,77 @@ def repeated_passages(
     shared = chunks.groupBy("h1", "h2").agg(
         F.min(owner).alias("first"), F.min("rid").alias("low"), F.max("rid").alias("high"), F.count("*").alias("n")
     ).where("low <> high").select("h1", "h2", "n", F.col("first.id").alias("first_id"), F.col("first.rid").alias("first_rid"))
-    hits = chunks.join(shared, ["h1", "h2"]).select(
-        "id", "rid", "start", "end", "words", "n", "first_id", (F.col("first_rid") == F.col("rid")).alias("original")
-    )
-    in_row = Window.partitionBy("rid").orderBy("start", "end")
-    begins = F.coalesce(F.lag("end").over(in_row) != F.col("start"), F.lit(True)).cast("int")
+    hits = stored(chunks.join(shared, ["h1", "h2"]).select(
+        "id", "rid", "t", "h1", "h2", "start", "end", "before", "words", "n", "first_id", (F.col("first_rid") == F.col("rid")).alias("original")
+    ), "hits")
+    in_row = Window.partitionBy("rid").orderBy("end")
+    begins = F.coalesce(F.lag("end").over(in_row) < F.col("start"), F.lit(True)).cast("int")
     runs = hits.withColumn("begins", begins).withColumn("run", F.sum("begins").over(in_row))
-    passages = runs.groupBy("rid", "run").agg(
-        F.first("id").alias(id_col), F.min("start").alias("start"), F.max("end").alias("end"), F.sum("words").alias("words"),
-        F.max("n").alias("n_rows"), F.min_by("first_id", "start").alias("first_id"), F.bool_and("original").alias("original"),
+    digest = F.struct("h1", "h2")
+    runs = stored(runs.groupBy("rid", "t", "run").agg(
+        F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("words") - F.min("before")).alias("words"), F.max("n").alias("n_rows"),
+        F.min_by("first_id", "end").alias("first_id"), F.bool_and("original").alias("original"),
+        F.min_by(digest, "end").alias("head"), F.max_by(digest, "end").alias("tail"),
+    ), "runs")
+    gains = _gains(rows, hits, runs)
+    side = lambda left, at: gains.where(F.col("left") == left).select(
+        "t", F.col("at").alias(at), F.col("gain").alias(f"gain_{at}"), F.col("words").alias(f"words_{at}")
     )
-    return passages.where(F.col("words") >= min_words).drop("rid", "run")
+    grown = runs.join(side(True, "start"), ["t", "start"], "left").join(side(False, "end"), ["t", "end"], "left")
+    gained = lambda name: F.coalesce(name, F.lit(0))
+    words = (F.col("words") + gained("words_start") + gained("words_end")).cast("long")
+    return grown.select(
+        F.col("id").alias(id_col), (F.col("start") - gained("gain_start")).alias("start"),
+        (F.col("end") + gained("gain_end")).alias("end"), words.alias("words"), "n_rows", "first_id", "original",
+    ).where(F.col("words") >= min_words)
+
+
+def _gains(rows: DataFrame, hits: DataFrame, runs: DataFrame) -> DataFrame:
+    """Code points and words by which runs grow: ``(t, left, at, gain, words)`` by text hash, side and place.
+
+    The outermost chunks of runs are looked up in all texts that have them. Their contexts are sorted over all tasks, so
+    that a chunk of very many rows is shared out; the rows at the edges of partitions are compared at the driver.
+    """
+    ends = runs.select(F.explode(F.array(
+        F.struct(F.lit(True).alias("left"), F.col("head.h1").alias("h1"), F.col("head.h2").alias("h2")),
+        F.struct(F.lit(False).alias("left"), F.col("tail.h1").alias("h1"), F.col("tail.h2").alias("h2")),
+    )).alias("e")).select("e.*").distinct()
+    wanted = hits.join(ends, ["h1", "h2"]).groupBy("t").agg(F.collect_set(F.struct(
+        "left", "h1", "h2", F.when(F.col("left"), F.col("start")).otherwise(F.col("end")).alias("at")
+    )).alias("wanted"))
+    texts = rows.select("t", "text").dropDuplicates(["t"])
+    schema = "t long, left boolean, h1 long, h2 long, at int, beside binary"
+
+    def contexts(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = CONTEXT
+        for part in slices(batches, "text"):
+            out = [[] for _ in names]
+            for t, text, wanted in zip(*(part.column(n).to_pylist() for n in ("t", "text", "wanted")), strict=True):
+                for w in wanted:
+                    at = w["at"]
+                    if w["left"]:
+                        beside = text[max(0, at - BESIDE) : at + 1].encode()[::-1]
+                        lead = len(text[at].encode())
+                    else:
+                        beside = text[at - 1 : at + BESIDE].encode()
+                        lead = len(text[at - 1].encode())
+                    # One byte of the chunk, then at most BESIDE bytes beside it.
+                    beside = beside[lead - 1 : lead + BESIDE]
+                    for values, value in zip(out, (t, w["left"], w["h1"], w["h2"], at, beside), strict=True):
+                        values.append(value)
+            types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
+            yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(out, types, strict=True)], names)
+
+    order = ["left", "h1", "h2", "beside", "t", "at"]
+    found = texts.join(wanted, "t").select("t", "text", "wanted").mapInArrow(contexts, schema)
+    found = found.repartitionByRange(*order).sortWithinPartitions(*order)
+    grown = stored(found.mapInArrow(_grown, f"{schema}, gain int, words int, edge boolean"), "grown")
+    gains = grown.select("t", "left", "at", "gain", "words")
+    edges = grown.where("edge").select(*CONTEXT).orderBy(*order).toArrow()
+    if edges.num_rows > 1:
+        gain, words = _gain(edges, _agreements(edges))
+        columns = [edges.column(n).to_pylist() for n in ("t", "left", "at")]
+        more = list(zip(*columns, gain.tolist(), words.tolist(), strict=True))
+        gains = gains.unionAll(rows.sparkSession.createDataFrame(more, gains.schema))
+    return gains.groupBy("t", "left", "at").agg(F.max("gain").alias("gain"), F.max("words").alias("words"))

@@ -165,6 +165,23 @@ def test_passages(spark):
     assert all(any(by_id[r.doc_id][r.start : r.end].strip() in p or p in by_id[r.doc_id][r.start : r.end] for p in passages) for r in out)
 
 
+def test_short_and_uniform_passages(spark):
+    """Hundreds of passages of just over 50 words, each in two texts, and stretches of one word at shifted places."""
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randrange(2, 9)))
+    fresh = lambda n: " ".join(word() for _ in range(n))
+    passages = [fresh(51 + k % 10) for k in range(400)] + [" ".join([word()] * 120) for _ in range(20)]
+    rows = [(k, f"{fresh(1 + rng.randrange(40))} {passages[k // 2]} {fresh(40)}") for k in range(2 * len(passages))]
+    out = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    by_id = dict(rows)
+    whole = {r.doc_id for r in out if passages[r.doc_id // 2] in by_id[r.doc_id][r.start : r.end]}
+    assert whole >= set(range(800))
+    # Shifted against itself a uniform stretch agrees too, so less than a chunk may be missing at an end.
+    most = {r.doc_id for r in out if passages[r.doc_id // 2][96:-96] in by_id[r.doc_id][r.start : r.end]}
+    assert most == set(by_id)
+    assert all(len(by_id[r.doc_id][r.start : r.end].split()) == r.words for r in out)
+
+
 def shingle_groups(docs, size, percent):
     sets = {}
     for k, text in docs.items():
