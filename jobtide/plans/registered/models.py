@@ -18,8 +18,6 @@ from jobtide.plans.store import stored
 from jobtide.session import scratch_path
 from jobtide.sources.driver_tables import job_skill_sets, job_skills, skill_vectors
 
-#: A registered run fits few trees; the library's defaults are the published parameters.
-QUICK = dm.DemandParams(max_iter=5)
 KNOWN = ["Brand#1", "Brand#7"]
 
 _TABLES: dict[tuple[str, str, str], DataFrame] = {}
@@ -49,7 +47,7 @@ def _forest(spark, sf):
 
 
 def _demand(spark, sf):
-    return dm.train_demand(matrix(spark, sf), QUICK)
+    return dm.train_demand(matrix(spark, sf))
 
 
 def _forecast(spark, sf, top_n=20):
@@ -111,7 +109,7 @@ def _outliers(spark, sf):
 
 
 def _train_all(spark, sf):
-    return training.train_all(matrix(spark, sf), dm.DemandParams(max_iter=2), folds=2, starts=3)
+    return training.train_all(matrix(spark, sf))
 
 
 def _saved(spark, sf):
@@ -137,28 +135,35 @@ def _aligned(spark, sf):
 
 
 def _recommended(spark, sf):
-    found = cl.train_clusters(matrix(spark, sf), starts=3).withColumn("skill", F.lower("skill"))
+    found = cl.train_clusters(matrix(spark, sf)).withColumn("skill", F.lower("skill"))
     forecast = _forecast(spark, sf, 50).withColumn("skill", F.lower("skill"))
     return inference.recommend_skills(found, stored(forecast, "forecast"), KNOWN)
 
 
 def _report(spark, sf):
     forecast = stored(_forecast(spark, sf, 50), "forecast")
-    emerging = inference.detect_emerging(_forest(spark, sf), features.inference_history(job_skills(spark, sf)), 0.7)
-    report = inference.market_report(forecast, emerging)
-    return report["market_summary"].drop("report_date")
+    emerging = inference.detect_emerging(_forest(spark, sf), features.inference_history(job_skills(spark, sf)))
+    return _report_rows(inference.market_report(forecast, emerging))
+
+
+def _report_rows(report: dict[str, DataFrame]) -> DataFrame:
+    """All tables of the report under each other, with the table's name; what a table lacks is NULL."""
+    result = None
+    for name, part in report.items():
+        part = part.drop("report_date").withColumn("report_table", F.lit(name))
+        result = part if result is None else result.unionByName(part, allowMissingColumns=True)
+    return result
 
 
 def _vectors(spark, sf):
-    sets = job_skill_sets(spark, sf)
-    return embeddings.skill2vec(sets, vector_size=16, epochs=2).select("skill", F.size("vector").alias("dimensions"))
+    return embeddings.skill2vec(job_skill_sets(spark, sf))
 
 
 QUERIES = {
     "scale_features": _scaled,
     "encode_skill": lambda spark, sf: rounded(dm.encode_skill(weekly(spark, sf)).select("skill", "week", "skill_encoded")),
     "train_demand": lambda spark, sf: _demand(spark, sf).transform(matrix(spark, sf)).select("skill", "week", "target", "predicted"),
-    "cv_time_series": lambda spark, sf: dm.cv_time_series(matrix(spark, sf), dm.DemandParams(max_iter=2)),
+    "cv_time_series": lambda spark, sf: dm.cv_time_series(matrix(spark, sf)),
     "cv_fold_sizes": lambda spark, sf: _fold_sizes(spark, sf, True),
     "cv_fold_sizes_by_row": lambda spark, sf: _fold_sizes(spark, sf, False),
     "regression_errors": _errors,
@@ -172,7 +177,7 @@ QUERIES = {
     "align_features": _aligned,
     "forecast_demand": _forecast,
     "detect_emerging": lambda spark, sf: inference.detect_emerging(
-        _forest(spark, sf), features.inference_history(job_skills(spark, sf)), threshold=0.5
+        _forest(spark, sf), features.inference_history(job_skills(spark, sf))
     ),
     "detect_emerging_batch": lambda spark, sf: inference.detect_emerging_batch(_forest(spark, sf), matrix(spark, sf)),
     "filter_known_skills": lambda spark, sf: relations.filter_known_skills(_fixed_clusters(spark, sf), KNOWN),

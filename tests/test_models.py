@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from jobtide.ml import clusters, demand, embeddings, inference, isoforest
 from jobtide.operators import features
 from jobtide.plans import training
+from jobtide.plans.registered import models as registered
 
 
 @pytest.fixture(scope="module")
@@ -115,3 +116,39 @@ def test_embeddings(spark):
     expected = sorted(((cosine(rows["a"], v), s) for s, v in rows.items() if s != "a"), reverse=True)[:3]
     assert [r.skill for r in nearest] == [s for _, s in expected]
     assert embeddings.most_similar(vectors, "unknown").collect() == []
+
+
+def test_registered_models_are_not_cut(spark, monkeypatch):
+    """The registered queries train with the library's own parameters and return every table and vector."""
+    calls = []
+
+    def recorder(name, result=None):
+        def record(first, *args, **kwargs):
+            calls.append((name, args, kwargs))
+            return result
+
+        return record
+
+    frame = spark.createDataFrame([("s1", 1)], "skill string, cluster int")
+    monkeypatch.setattr(registered, "matrix", lambda spark, sf: "matrix")
+    for module, name in ((demand, "train_demand"), (demand, "cv_time_series"), (training, "train_all"), (embeddings, "skill2vec")):
+        monkeypatch.setattr(module, name, recorder(name, frame))
+    monkeypatch.setattr(registered, "job_skill_sets", lambda spark, sf: "sets")
+    registered._demand(spark, "sf")
+    registered._train_all(spark, "sf")
+    registered.QUERIES["cv_time_series"](spark, "sf")
+    assert registered.QUERIES["skill2vec"](spark, "sf") is frame
+    assert calls == [(name, (), {}) for name in ("train_demand", "train_all", "cv_time_series", "skill2vec")]
+
+
+def test_report_has_five_tables(spark):
+    forecast = spark.createDataFrame(
+        [("s1", 20, 25, 9e4, 25.0), ("s2", 30, 15, 8e4, -50.0)],
+        "skill string, current_demand long, predicted_demand long, current_salary double, growth_pct double",
+    )
+    emerging = spark.createDataFrame([("s1", 20, 0.9, 12.0, 9e4)], "skill string, current_jobs long, emergence_score double, monthly_growth_pct double, avg_salary double")
+    rows = registered._report_rows(inference.market_report(forecast, emerging)).collect()
+    counts = {name: sum(r.report_table == name for r in rows) for name in {r.report_table for r in rows}}
+    assert counts == {
+        "market_summary": 1, "top_demand_skills": 2, "fastest_growing_skills": 2, "emerging_skills": 1, "highest_paying_skills": 2,
+    }
