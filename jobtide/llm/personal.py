@@ -100,14 +100,35 @@ def _candidate(kind: str, x: Column) -> Column:
         x["start"].alias("start"), F.lit(KINDS.index(kind)).alias("kind"), x["end"].alias("end"), x["match"].alias("match"),
         F.substring("text", begin, x["start"] + 1 - begin).alias("before"),
         F.substring("text", x["end"] + 1, F.lit(CONTEXT)).alias("after"),
-        F.when(is_base, 1).when(inside, None).otherwise(0).alias("label"),
+        F.when(is_base, 1).when(inside, None).otherwise(_other_label(kind, x, F.substring("text", begin, x["start"] + 1 - begin))).alias("label"),
     )
 
 
+def _other_label(kind: str, x: Column, before: Column) -> Column:
+    """Label of a candidate that is no base span. Forms that no base pattern matches are labelled by their normalised form.
+
+    An address with words for its signs is a span if it is an address with the signs. A phone number without a plus is one
+    if a word announces it, none if it has too few or many digits, and has no label otherwise.
+    """
+    if kind == "email":
+        signs = F.regexp_replace(F.regexp_replace(x["match"], r" ?[\[(] ?at ?[\])] ?", "@"), r" ?[\[(] ?dot ?[\])] ?", ".")
+        address = signs.rlike(r"^[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*\.[A-Za-z]{2,}$")
+        return F.when(F.contains(x["match"], F.lit("@")), 0).when(address, 1).otherwise(0)
+    if kind == "phone":
+        taken = lambda y: (y["start"] < x["end"]) & (x["start"] < y["end"])
+        other = F.lit(False)
+        for name in KINDS:
+            other = other | F.exists(f"base_{name}", taken)
+        fits = _valid("phone", x["match"]) & ~other
+        return F.when(F.startswith(x["match"], F.lit("+")) | ~fits, 0).when(F.lower(before).rlike(HINTS["phone"]), 1)
+    return F.lit(0)
+
+
 def propose(docs: DataFrame) -> DataFrame:
     """Base spans and candidates of each row of ``(rid, id, row, text)``; candidates come with their context and label.
 
-    The label says whether a candidate is a base span; a candidate inside a longer match that failed its check has none.
+    The label says whether a candidate is a base span or, in a form that no base pattern matches, a span by its normalised
+    form; a candidate inside a longer match that failed its check has none.
     """
     text = F.col("text")
     none = F.array().cast("array<struct<start:int,end:int,match:string>>")

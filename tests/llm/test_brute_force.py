@@ -22,6 +22,7 @@ from jobtide.llm.language import marginals
 from jobtide.llm.language_model import DEPTH, score_texts
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import calibrated, near_vectors
+from jobtide.llm.personal import personal_spans
 from jobtide.llm.substrings import repeated_passages
 from tests.oracle import compare, connect
 
@@ -259,6 +260,24 @@ def test_personal(spark, sf, tmp_path):
     assert added
 
 
+def test_personal_forms_beyond_the_base(spark):
+    """Addresses with words for signs and announced national numbers are found in a table full of other number runs."""
+    rng = random.Random(4)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows, wanted = [], {}
+    for k in range(400):
+        national = f"{number(3)} {number(3)}-{number(4)}"
+        hidden = f"jo{number(2)} [at] host{number(2)} [dot] org"
+        text = f"write to {hidden} or call {national} and lo{number(2)}@host.org or +1 ({number(3)}) {number(3)}-{number(4)} end"
+        rows.append((k, text))
+        wanted[k] = {(0, text.index(hidden), text.index(hidden) + len(hidden)), (3, text.index(national), text.index(national) + len(national))}
+    rows += [(k, " x ".join(number(14) for _ in range(60))) for k in range(400, 800)]
+    rows += [(k, f"host 10.0.0.{k % 250} and 10.0.{k}.300 x") for k in range(800, 900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: {(s.kind, s.start, s.end) for s in r.spans} for r in personal_spans(docs, carry=["doc_id"]).collect()}
+    assert sum(wanted[k] <= out[k] for k in wanted) >= 0.95 * len(wanted)
+
+
 def test_exact(spark, sf):
     ok, note = compare(spark, connect(sf), "op6", registered.op6_exact_dedup, registered.SQL["op6_exact_dedup"], sf)
     assert ok, note
