@@ -188,24 +188,31 @@ def _scored(trees: GBTClassificationModel, candidates: DataFrame) -> DataFrame:
 
 
 def fit_spans(proposed: DataFrame, max_candidates: int = 20_000, precision: float = 0.99, seed: int = 1) -> SpanModel:
-    """Learn which candidates are spans from a bounded sample: *max_candidates* labelled candidates by hash.
+    """Learn which candidates are spans from a sample by hash, about *max_candidates* labelled candidates, as many of each kind.
 
-    Three quarters fit the trees; on the rest, a kind's threshold is the lowest score, in steps of 0.01 from 0.5 up, from
-    which at least *precision* of the candidates are spans. Without both labels in the sample no candidate is added.
+    At most three quarters of a kind fit the trees. All other labelled candidates are scored: a kind's threshold is the
+    lowest score, in steps of 0.01 from 0.5 up, from which at least *precision* of them are spans. Without both labels in the
+    sample no candidate is added.
     """
+    parts = 1 << 20
     order = F.xxhash64(F.lit(seed), "rid", "c.start", "c.kind", "c.end")
     labelled = proposed.select("rid", F.explode("candidates").alias("c")).where("c.label IS NOT NULL")
-    sample = stored(
-        labelled.withColumn("order", order).orderBy("order", "rid", "c").limit(max_candidates).select("rid", "c"), "spans-sample"
-    )
-    sample = stored(_assembled(sample).withColumn("held", F.pmod(order, 4) == 0).withColumn("label", F.col("c.label").cast("double")), "spans-features")
-    if sample.where("NOT held").agg(F.count_distinct("label").alias("n")).first()["n"] < 2:
+    sizes = {row["kind"]: row["n"] for row in labelled.groupBy(F.col("c.kind").alias("kind")).agg(F.count("*").alias("n")).collect()}
+    if not sizes:
+        return SpanModel(None, {})
+    share = {kind: int(parts * min(0.75, max_candidates / len(KINDS) / n)) for kind, n in sizes.items()}
+    limit = F.element_at(F.create_map(*[F.lit(x) for pair in share.items() for x in pair]), F.col("c.kind"))
+    fits = F.pmod(order, parts) < limit
+    label = F.col("c.label").cast("double").alias("label")
+    sample = stored(_assembled(labelled.where(fits)).select("*", label), "spans-features")
+    if sample.agg(F.count_distinct("label").alias("n")).first()["n"] < 2:
         return SpanModel(None, {})
     booster = GBTClassifier(maxIter=12, maxDepth=4, stepSize=0.3, seed=seed, cacheNodeIds=False)
-    trees = booster.fit(sample.where("NOT held").coalesce(2))
+    trees = booster.fit(sample.coalesce(2))
     step = F.floor(F.col("score") * 100).cast("int")
-    tally = _scored(trees, sample.where("held")).groupBy(F.col("c.kind").alias("kind"), step.alias("step")).agg(
-        F.sum("label").alias("right"), F.count("*").alias("all")
+    rest = _scored(trees, _assembled(labelled.where(~fits)))
+    tally = rest.groupBy(F.col("c.kind").alias("kind"), step.alias("step")).agg(
+        F.sum(label).alias("right"), F.count("*").alias("all")
     ).collect()  # at most 4 kinds times 101 steps
     thresholds = {}
     for kind in range(len(KINDS)):

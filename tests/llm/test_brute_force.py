@@ -22,7 +22,7 @@ from jobtide.llm.language import marginals
 from jobtide.llm.language_model import DEPTH, score_texts
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import calibrated, near_vectors
-from jobtide.llm.personal import personal_spans
+from jobtide.llm.personal import fit_spans, personal_spans, propose
 from jobtide.llm.substrings import repeated_passages
 from tests.oracle import compare, connect
 
@@ -278,6 +278,16 @@ def test_personal_forms_beyond_the_base(spark):
     assert sum(wanted[k] <= out[k] for k in wanted) >= 0.95 * len(wanted)
 
 
+def test_span_thresholds_of_rare_kinds(spark):
+    """A kind of few candidates is in the sample and has a threshold, however many candidates other kinds have."""
+    rng = random.Random(6)
+    number = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    rows = [(k, k, "row", " x ".join(number(14) for _ in range(60))) for k in range(200)]
+    rows += [(k, k, "row", f"server 10.0.0.{k % 250} or 10.0.{k}.300 x") for k in range(200, 260)]
+    proposed = propose(spark.createDataFrame(rows, "rid long, id long, row string, text string")).cache()
+    assert 1 in fit_spans(proposed, max_candidates=400).thresholds
+
+
 def test_exact(spark, sf):
     ok, note = compare(spark, connect(sf), "op6", registered.op6_exact_dedup, registered.SQL["op6_exact_dedup"], sf)
     assert ok, note
