@@ -10,6 +10,7 @@ from jobtide.llm.exact_dedup import exact_duplicates
 from jobtide.llm.jaccard import jaccard_groups
 from jobtide.llm.language import fit_language, predict_language
 from jobtide.llm.language_model import score_texts
+from jobtide.llm.manifest import dataset_manifest
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import near_vectors
 from jobtide.llm.personal import KINDS, counted, listed, personal_spans
@@ -88,6 +89,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), carry=["vec_id"])
 
 
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dataset_manifest(_table(spark, sf_dir, "documents"), carry=["doc_id"])
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_context_tree": op2_context_tree,
@@ -99,11 +104,64 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_near_vectors": op10_near_vectors,
+    "op13_manifest": op13_manifest,
 }
 
 _NORM = r"regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g')"
 
+_LEAF = "sha256(" + " || ".join(
+    f"coalesce(strlen({c}::VARCHAR) || ':' || {c}::VARCHAR, '-')" for c in ("doc_id", "source", "lang", "n_chars", "{text}")
+) + ")"
+_SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
 SQL = {
+    "op13_manifest": f"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, {_LEAF.replace('{text}', 'text')} AS leaf,
+         {_LEAF.replace('{text}', _SMALL)} AS changed,
+         list_reduce(list_prepend(4294967295::BIGINT, list_transform(string_split(doc_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT)),
+           lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x // 2, 3988292384 * (x % 2)))) AS crc
+  FROM documents
+),
+s AS (
+  SELECT doc_id, leaf, CASE WHEN xor(crc, 4294967295) % 5 = 0 THEN changed ELSE leaf END AS tampered,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) - 1 AS tree,
+         row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS rank, count(*) OVER (PARTITION BY source) AS size
+  FROM d
+),
+n AS (
+  SELECT tree, 0 AS level, rank, size, leaf AS digest FROM s
+  UNION ALL
+  SELECT tree, level + 1, rank // 16, any_value((size + 15) // 16), sha256(string_agg(digest, '' ORDER BY rank)) FROM n
+  WHERE size > 1 GROUP BY tree, level, rank // 16
+),
+t AS (
+  SELECT tree AS node, 0 AS level, tree AS rank, count(*) OVER () AS size, digest FROM n WHERE size = 1
+  UNION ALL
+  SELECT any_value(node), level + 1, rank // 16, any_value((size + 15) // 16), sha256(string_agg(digest, '' ORDER BY rank)) FROM t
+  WHERE size > 1 GROUP BY level, rank // 16
+),
+run AS (
+  SELECT tree, level, rank // 16 AS run, list(digest ORDER BY rank) AS children FROM n WHERE size > 1 GROUP BY ALL
+  UNION ALL
+  SELECT -1, level, rank // 16, list(digest ORDER BY rank) FROM t WHERE size > 1 GROUP BY ALL
+),
+f AS (
+  SELECT doc_id, leaf, tree, tree AS home, rank, size, 0 AS level, tampered AS cur, '' AS proof, FALSE AS done FROM s
+  UNION ALL
+  SELECT f.doc_id, f.leaf, CASE WHEN f.size = 1 THEN -1 ELSE f.tree END, f.home, CASE WHEN f.size = 1 THEN f.tree ELSE f.rank // 16 END,
+         CASE WHEN f.size = 1 THEN (SELECT count(*) FROM n WHERE size = 1) ELSE (f.size + 15) // 16 END,
+         CASE WHEN f.size = 1 THEN 0 ELSE f.level + 1 END,
+         CASE WHEN f.size = 1 THEN f.cur ELSE sha256(array_to_string(children[:f.rank % 16], '') || f.cur || array_to_string(children[f.rank % 16 + 2:], '')) END,
+         CASE WHEN f.size = 1 THEN f.proof ELSE f.proof || array_to_string(children[:f.rank % 16], '') || array_to_string(children[f.rank % 16 + 2:], '') END,
+         f.size = 1 AND f.tree = -1
+  FROM f LEFT JOIN run ON f.size > 1 AND run.tree = f.tree AND run.level = f.level AND run.run = f.rank // 16
+  WHERE NOT f.done AND NOT (f.tree = -1 AND f.size = 1)
+)
+SELECT doc_id, leaf, n.digest AS subroot, t.digest AS root, sha256(proof) AS proof_sha256, cur AS folded_root, cur = t.digest AS verified
+FROM f JOIN n ON n.tree = f.home AND n.size = 1 JOIN t ON t.size = 1
+WHERE f.tree = -1 AND f.size = 1
+""",
     "op10_near_vectors": """
 WITH RECURSIVE v AS (
   SELECT vec_id, label, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e FROM embeddings
