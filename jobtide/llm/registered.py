@@ -16,6 +16,7 @@ from jobtide.llm.near_vectors import near_vectors
 from jobtide.llm.personal import KINDS, counted, listed, personal_spans
 from jobtide.llm.quality import fit_quality, score_quality
 from jobtide.llm.substrings import repeated_passages
+from jobtide.llm.vector_codes import vector_codes
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,6 +90,10 @@ def op10_near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), carry=["vec_id"])
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes(_table(spark, sf_dir, "embeddings"), carry=["vec_id"])
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_manifest(_table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -104,6 +109,7 @@ QUERIES = {
     "op8_bpe": op8_bpe,
     "op9_quality": op9_quality,
     "op10_near_vectors": op10_near_vectors,
+    "op11_vector_codes": op11_vector_codes,
     "op13_manifest": op13_manifest,
 }
 
@@ -114,7 +120,46 @@ _LEAF = "sha256(" + " || ".join(
 ) + ")"
 _SMALL = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
+def _codes_sql() -> str:
+    """Four rounds written out; distances as products of doubles, which are exact for integers of this size."""
+    near = """a{0} AS MATERIALIZED (
+  SELECT vec_id, p.part, min([CAST(list_dot_product(p.x, p.x) + list_dot_product(c.x, c.x) - 2 * list_dot_product(p.x, c.x) AS BIGINT), entry]) AS best
+  FROM p JOIN c{0} c ON p.part = c.part GROUP BY ALL
+)"""
+    move = """m{0} AS (
+  SELECT part, entry, pos, CAST(sum(x) AS BIGINT) AS s, count(*) AS n
+  FROM (SELECT p.part, best[2] AS entry, unnest(range(1, len(x) + 1)) AS pos, unnest(x) AS x FROM p JOIN a{0} USING (vec_id, part)) GROUP BY ALL
+),
+c{1} AS MATERIALIZED (
+  SELECT part, entry, coalesce(moved, c.x) AS x FROM c{0} c LEFT JOIN (
+    SELECT part, entry, list(CAST((s - ((s % n) + n) % n) // n AS DOUBLE) ORDER BY pos) AS moved FROM m{0} GROUP BY ALL) USING (part, entry)
+)"""
+    rounds = ",\n".join(near.format(k) + ",\n" + move.format(k, k + 1) for k in range(4))
+    return f"""
+WITH v AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS v FROM embeddings
+  WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+p AS MATERIALIZED (SELECT vec_id, part, v[part * len(v) // 4 + 1 : (part + 1) * len(v) // 4] AS x FROM v, range(4) t(part)),
+c0 AS MATERIALIZED (
+  SELECT part, entry, x FROM p JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM v) USING (vec_id) WHERE entry < 256
+),
+{rounds},
+{near.format(4)},
+f AS (
+  SELECT vec_id, string_agg(printf('%02x', best[2]), '' ORDER BY part) AS code, CAST(sum(best[1]) AS BIGINT) AS error FROM a4 GROUP BY vec_id
+),
+b AS (
+  SELECT sha256(string_agg(CAST(CAST(x AS BIGINT) AS VARCHAR), ',' ORDER BY part, entry, pos)) AS codebooks_sha256
+  FROM (SELECT part, entry, unnest(range(1, len(x) + 1)) AS pos, unnest(x) AS x FROM c4)
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM f JOIN v USING (vec_id), b
+"""
+
+
 SQL = {
+    "op11_vector_codes": _codes_sql(),
     "op13_manifest": f"""
 WITH RECURSIVE d AS (
   SELECT doc_id, source, {_LEAF.replace('{text}', 'text')} AS leaf,
