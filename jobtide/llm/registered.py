@@ -13,6 +13,7 @@ from jobtide.llm.language_model import score_texts
 from jobtide.llm.manifest import dataset_manifest
 from jobtide.llm.mixing import mix_sources
 from jobtide.llm.near_vectors import near_vectors
+from jobtide.llm.neighbours import nearest_neighbours
 from jobtide.llm.personal import KINDS, counted, listed, personal_spans
 from jobtide.llm.quality import fit_quality, score_quality
 from jobtide.llm.substrings import repeated_passages
@@ -94,6 +95,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes(_table(spark, sf_dir, "embeddings"), carry=["vec_id"])
 
 
+def op12_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dataset_manifest(_table(spark, sf_dir, "documents"), carry=["doc_id"])
 
@@ -110,6 +115,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_near_vectors": op10_near_vectors,
     "op11_vector_codes": op11_vector_codes,
+    "op12_neighbours": op12_neighbours,
     "op13_manifest": op13_manifest,
 }
 
