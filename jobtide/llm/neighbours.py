@@ -18,6 +18,8 @@ from jobtide.plans.store import stored
 WIDTH, SLOTS, MOST_HASHES = 1.5, 16, 15
 #: Distinct vectors that a bucket shall hold on average, rows of a block, and queries of a block.
 OCCUPANCY, BLOCK, QUERIES = 256, 2048, 1024
+#: In the place of a bucket's code: all buckets.
+EVERY = -1
 #: Nats that one hash function tells about a vector: the entropy of a normal value in steps of WIDTH.
 NATS = 0.5 * log(2 * np.pi * np.e) - log(WIDTH)
 
@@ -168,7 +170,7 @@ def _fitted(groups: DataFrame, sample: DataFrame, tables: int, n: int, probes: i
 
 def nearest_neighbours(
     vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", query_modulus: int = 20, n: int = 20,
-    tables: int = 2, max_probes: int = 1024, recall: float = 0.96, sample: int = 96, seed: int = 5,
+    tables: int = 2, max_probes: int = 64, recall: float = 0.96, sample: int = 96, seed: int = 5,
 ) -> DataFrame:
     """The *n* rows of the largest inner product for every row whose id *query_modulus* divides.
 
@@ -247,8 +249,7 @@ def nearest_neighbours(
 
     # Blocks are cut by the order of codes; the vectors join them by number, so that the sort moves numbers only.
     placed = stored(groups.select("v", "x", "norm", "band").mapInArrow(hashed, "table int, band int, code long, v long"), "ann-codes")
-    homes = _numbered(placed, ["table", "band"], ["code", "v"], BLOCK, "ann-index")
-    homes = stored(homes, "ann-homes")
+    homes = stored(_numbered(placed, ["table", "band"], ["code", "v"], BLOCK, "ann-index"), "ann-homes")
     buckets = stored(homes.select("table", "band", "code", "block").distinct(), "ann-buckets")
 
     def own(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -280,20 +281,19 @@ def nearest_neighbours(
                         )
 
     visits = queries.select("x", "norm", "set", "q").mapInArrow(probed, "table int, band int, code long, set long, q int")
-    visits = visits.join(buckets, ["table", "band", "code"]).select("table", "set", "block", "q", "code")
-    found = _scored(visits, queries, homes, groups, n)
+    visits = visits.join(buckets, ["table", "band", "code"]).groupBy("table", "band", "set", "block")
+    found = _scored(visits.agg(F.collect_list(F.struct("q", "code")).alias("visits")), queries, homes, groups, n)
 
-    # Whoever found too few rows visits all buckets of one table.
+    # Whoever found too few rows visits every bucket of one table: sets of queries by blocks of rows.
     best = stored(_best(found, groups, n), "ann-best")
     others = rows.count() - 1
     poor = queries.select("v", "set", "q").join(
         best.where(F.size("near") > min(n, others)).select("v"), "v", "left_anti"
     )
     if not poor.isEmpty():
-        everything = buckets.where(F.col("table") == 0).select("table", "block", "code")
-        sets = stored(poor.select("set").distinct().join(everything.select("table", "block").distinct()), "ann-rest")
-        rest = sets.join(poor, "set").join(everything, ["table", "block"]).select("table", "set", "block", "q", "code")
-        again = _best(_scored(rest, queries, homes, groups, n), groups, n)
+        sets = poor.groupBy("set").agg(F.collect_list(F.struct("q", F.lit(EVERY).cast("long").alias("code"))).alias("visits"))
+        blocks = buckets.where(F.col("table") == 0).select("table", "band", "block").distinct()
+        again = _best(_scored(sets.join(blocks), queries, homes, groups, n), groups, n)
         best = best.join(poor.select("v"), "v", "left_anti").unionByName(again)
 
     answers = asked.join(groups.select("digest", "v"), "digest").join(best, "v").select("id", "rid", F.col("near"))
@@ -303,38 +303,25 @@ def nearest_neighbours(
 
 
 def _numbered(rows: DataFrame, within: Sequence[str], order: Sequence[str], size: int, name: str) -> DataFrame:
-    """Deal rows, in order, to blocks of at most *size* rows that agree on *within*: adds ``block`` and ``at``, the place in it.
+    """Deal rows, in order, to blocks of *size* rows that agree on *within*: adds ``block`` and ``at``, the place in it.
 
-    The order is global, by range; blocks do not cross partitions.
+    The order is global, by range; the counts of the partitions give every row its number, so that blocks do not depend on
+    the partitions.
     """
     keys = [*within, *order]
-
-    def cut(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last, at, block = None, 0, -1
-        for batch in batches:
-            same = list(zip(*[batch.column(key).to_pylist() for key in within]))
-            blocks, places = [], []
-            for key in same:
-                if key != last or at == size:
-                    last, at, block = key, 0, block + 1
-                blocks.append(block)
-                places.append(at)
-                at += 1
-            yield pa.RecordBatch.from_arrays(
-                [*[batch.column(key) for key in keys], batch.column("part"), pa.array(blocks, pa.int64()), pa.array(places, pa.int32())],
-                [*keys, "part", "block", "at"],
-            )
-
-    spread = rows.repartitionByRange(*keys).sortWithinPartitions(*keys).withColumn("part", F.spark_partition_id().cast("long"))
-    kinds = dict(rows.dtypes)
-    schema = ", ".join([*[f"`{key}` {kinds[key]}" for key in keys], "part long", "block long", "at int"])
-    done = stored(spread.select(*keys, "part").mapInArrow(cut, schema), name)
-    return done.withColumn("block", F.shiftleft("part", 32) + F.col("block")).drop("part")
+    spread = rows.select(*keys).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    placed = stored(spread.withColumn("n", F.monotonically_increasing_id()), name).withColumn("part", F.shiftright("n", 33))
+    runs = stored(placed.groupBy("part", *within).agg(F.min("n").alias("start"), F.count("*").alias("rows")), f"{name}-runs")
+    earlier = Window.partitionBy(*within).orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # a row per partition
+    shift = runs.select("part", *within, (F.coalesce(F.sum("rows").over(earlier), F.lit(0)) - F.col("start")).alias("shift"))
+    number = F.col("n") + F.col("shift")
+    return placed.join(stored(shift, f"{name}-shifts"), ["part", *within]).select(
+        *keys, F.floor(number / size).alias("block"), (number % size).cast("int").alias("at")
+    )
 
 
-def _scored(visits: DataFrame, queries: DataFrame, homes: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+def _scored(tiles: DataFrame, queries: DataFrame, homes: DataFrame, groups: DataFrame, n: int) -> DataFrame:
     """(q_v, v, score): per pair of a set of queries and a block of rows, the best of each query among the rows it visits."""
-    tiles = visits.groupBy("table", "set", "block").agg(F.collect_list(F.struct("q", "code")).alias("visits"))
     tiles = stored(tiles.withColumn("tile", F.monotonically_increasing_id()), "ann-tiles")
     nothing = F.array().cast("array<struct<q:int,code:bigint>>")
     none = F.lit(None)
@@ -342,7 +329,7 @@ def _scored(visits: DataFrame, queries: DataFrame, homes: DataFrame, groups: Dat
         "tile", F.lit(0).alias("side"), "v", F.col("q").alias("at"), none.cast("long").alias("code"), "x", none.cast("long").alias("least"),
         nothing.alias("visits"),
     )
-    held = tiles.select("tile", "table", "block").join(homes, ["table", "block"]).select("tile", "v", "at", "code")
+    held = tiles.select("tile", "table", "band", "block").join(homes, ["table", "band", "block"]).select("tile", "v", "at", "code")
     rows = held.join(groups.select("v", "x", F.col("least.id").alias("least")), "v").select(
         "tile", F.lit(1).alias("side"), "v", "at", "code", "x", "least", nothing.alias("visits")
     )
@@ -359,7 +346,9 @@ def _scored(visits: DataFrame, queries: DataFrame, homes: DataFrame, groups: Dat
         at = np.full(QUERIES, -1)
         at[q.column("at").to_numpy()] = np.arange(q.num_rows)
         visited = np.zeros((q.num_rows, len(codes)), bool)
-        visited[at[marks.field("q").to_numpy()], np.searchsorted(codes, marks.field("code").to_numpy())] = True
+        asking, code = at[marks.field("q").to_numpy()], marks.field("code").to_numpy()
+        visited[asking[code == EVERY]] = True
+        visited[asking[code != EVERY], np.searchsorted(codes, code[code != EVERY])] = True
         some_q = np.flatnonzero(visited.any(1))
         some_r = np.flatnonzero(visited.any(0)[bucket])
         x, y = (_matrix(side.column("x").combine_chunks()) for side in (q.take(some_q), r.take(some_r)))

@@ -3,6 +3,7 @@
 import numpy as np
 import pytest
 
+from jobtide.llm import neighbours
 from jobtide.llm.neighbours import Index, nearest_neighbours, top_scores
 
 SCHEMA = "vec_id long, embedding array<double>, rank string, score string, rid string"
@@ -95,3 +96,16 @@ def test_top_scores_of_wanted_rows_only():
     for k in range(40):
         want = sorted((-(q[k] * r[j]).sum(), ids[j]) for j in np.flatnonzero(wanted[k]))[:7]
         assert [(-s, ids[j]) for s, j in zip(score[a == k], b[a == k])] == want
+
+
+def test_whoever_finds_too_few_is_compared_with_all(spark, monkeypatch):
+    """Queries far from all rows find few in the buckets around them; all get their number of rows."""
+    calls, scored = [], neighbours._scored
+    monkeypatch.setattr(neighbours, "_scored", lambda *given: calls.append(1) or scored(*given))
+    rng = np.random.default_rng(11)
+    x = np.abs(rng.normal(size=(2_000, 8))) + 2
+    x[::20] = -x[::20]
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    got, want = answers(spark, rows, sample=1, recall=0.05), exact(rows)
+    assert set(got) == set(want) and all(len(found) == 20 for found in got.values())
+    assert len(calls) == 2
