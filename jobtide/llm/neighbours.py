@@ -16,10 +16,10 @@ from jobtide.plans.store import stored
 
 #: Width of a slot in deviations of a projection; the slots of a hash function, four bits of a bucket's code each.
 WIDTH, SLOTS, MOST_HASHES = 1.5, 16, 15
-#: Distinct vectors that a bucket shall hold on average, rows of a block, and queries of a block.
-OCCUPANCY, BLOCK, QUERIES = 256, 2048, 1024
-#: In the place of a bucket's code: all buckets.
-EVERY = -1
+#: Distinct vectors that a bucket shall hold on average, rows of a block, and queries of a set.
+OCCUPANCY, BLOCK, QUERIES = 256, 2048, 4096
+#: A task takes every fourth block of so many blocks.
+DEALT, SLAB = 4, 4096
 #: Nats that one hash function tells about a vector: the entropy of a normal value in steps of WIDTH.
 NATS = 0.5 * log(2 * np.pi * np.e) - log(WIDTH)
 
@@ -91,28 +91,62 @@ def _matrix(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(raw), np.float64).reshape(len(raw), -1)
 
 
-def top_scores(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, wanted: np.ndarray | None, n: int) -> tuple[np.ndarray, ...]:
-    """(query, row, score) of the *n* largest inner products of each query with rows it *wanted*; equal ones by id.
+def top_scores(queries: np.ndarray, rows: np.ndarray, ids: np.ndarray, n: int, floor: np.ndarray | None = None) -> tuple[np.ndarray, ...]:
+    """(query, row, score) of the *n* largest inner products of each query, equal ones by id; none that is below the
+    query's *floor*.
 
     The product of the matrices only selects; what may be among the best is computed again term by term, so that a pair
     has the same score wherever it is met.
     """
     rough = queries @ rows.T
-    if wanted is not None:
-        rough[~wanted] = -np.inf
+    least = np.full(len(queries), -np.inf) if floor is None else floor
     if rough.shape[1] > n:
-        least = np.partition(rough, rough.shape[1] - n, axis=1)[:, rough.shape[1] - n]
-        size = np.abs(queries).max(1, initial=0) * np.abs(rows).max(initial=0) * rows.shape[1]
-        q, r = np.nonzero((rough >= (least - 1e-12 * size)[:, None]) & (rough > -np.inf))
-    else:
-        q, r = np.nonzero(rough > -np.inf)
+        least = np.maximum(least, np.partition(rough, rough.shape[1] - n, axis=1)[:, rough.shape[1] - n])
+    size = np.abs(queries).max(1, initial=0) * np.abs(rows).max(initial=0) * rows.shape[1]
+    q, r = np.nonzero(rough >= (least - 1e-12 * size)[:, None])
     score = np.concatenate([
         (queries[a] * rows[b]).sum(1) for a, b in zip(np.array_split(q, len(q) // 8192 + 1), np.array_split(r, len(q) // 8192 + 1))
     ])
-    order = np.lexsort((ids[r], -score, q))
-    q, r, score = q[order], r[order], score[order]
-    place = np.arange(len(q)) - np.searchsorted(q, q)
-    return q[place < n], r[place < n], score[place < n]
+    kept = _first(q, score, ids[r], n)
+    return q[kept], r[kept], score[kept]
+
+
+def _first(q: np.ndarray, score: np.ndarray, ids: np.ndarray, n: int) -> np.ndarray:
+    """Places of the *n* largest scores of each query, equal ones by id."""
+    order = np.lexsort((ids, -score, q))
+    sorted_q = q[order]
+    return order[np.arange(len(q)) - np.searchsorted(sorted_q, sorted_q) < n]
+
+
+class Best:
+    """The best rows so far of a set of queries that visit buckets; everything is bounded by the size of the set."""
+
+    def __init__(self, v: np.ndarray, x: np.ndarray, probes: list, n: int) -> None:
+        self.v, self.x, self.n = v, x, n
+        self.every = np.array([at for at, codes in enumerate(probes) if codes is None], np.int64)
+        codes = np.concatenate([np.asarray(c or [], np.int64) for c in probes])
+        at = np.repeat(np.arange(len(probes)), [len(c or []) for c in probes])
+        order = np.argsort(codes, kind="stable")
+        self.codes, self.at = codes[order], at[order]
+        self.floor = np.full(len(v), -np.inf)
+        self.found, self.waiting = [np.zeros(0, kind) for kind in (np.int64, np.int64, np.float64, np.int64)], []
+
+    def meet(self, code: int, x: np.ndarray, v: np.ndarray, least: np.ndarray) -> None:
+        """Rows of one bucket."""
+        asking = np.concatenate([self.every, self.at[np.searchsorted(self.codes, code, "left") : np.searchsorted(self.codes, code, "right")]])
+        if len(asking):
+            q, r, score = top_scores(self.x[asking], x, least, self.n, self.floor[asking])
+            self.waiting.append((asking[q], v[r], score, least[r]))
+            if sum(len(w[0]) for w in self.waiting) > 32 * len(self.v):
+                self.settle()
+
+    def settle(self) -> None:
+        q, v, score, least = (np.concatenate(parts) for parts in zip(self.found, *self.waiting))
+        kept = _first(q, score, least, self.n)
+        self.found, self.waiting = [q[kept], v[kept], score[kept], least[kept]], []
+        q, score = self.found[0], self.found[2]
+        full = np.flatnonzero(np.bincount(q, minlength=len(self.v)) == self.n)
+        self.floor[full] = score[np.searchsorted(q, full, "right") - 1]
 
 
 def _band(norms: np.ndarray) -> np.ndarray:
@@ -138,7 +172,7 @@ def _fitted(groups: DataFrame, sample: DataFrame, tables: int, n: int, probes: i
     def scan(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = _matrix(batch.column("x"))
-            q, r, score = top_scores(x, rows, batch.column("v").to_numpy(), None, n + 1)
+            q, r, score = top_scores(x, rows, batch.column("v").to_numpy(), n + 1)
             taken = batch.take(pa.array(r))
             yield pa.RecordBatch.from_arrays(
                 [pa.array(q.astype(np.int32)), pa.array(score), taken.column("x"), taken.column("norm"), taken.column("band"), taken.column("v")],
@@ -179,9 +213,9 @@ def nearest_neighbours(
     are fewer hash functions). What the tables' buckets hold is scored exactly and merged. Vectors are hashed by powers of
     two of their norm, each with buckets of its own, so long vectors do not blur the buckets of short ones.
 
-    Buckets are sorted by code and stored in blocks of bounded size, a large one in many; queries are dealt to blocks in the
-    same way. A pair of blocks is a task's work if a query of the one visits a bucket of the other; a task returns the
-    *n* + 1 best per query. Queries that found fewer than *n* rows are compared with all blocks of the first table. No bucket,
+    Buckets are sorted by code and cut into blocks of bounded size, a large one into many; queries are dealt to sets in the
+    same way. A set meets the blocks that hold a bucket which one of its queries visits, streamed through tasks that keep
+    the *n* + 1 best per query. Queries that found fewer than *n* rows meet all blocks of the first table. No bucket,
     candidate list or group of copies is cut: copies of a vector are hashed and scored once, and of each group as many of
     the smallest ids are kept as can be among the best.
 
@@ -260,9 +294,9 @@ def nearest_neighbours(
 
     ordered = stored(queries.select("v", "x", "norm").mapInArrow(own, "code long, v long"), "ann-asked")
     dealt = _numbered(ordered.withColumn("one", F.lit(0)), ["one"], ["code", "v"], QUERIES, "ann-order").select(
-        "v", F.col("block").alias("set"), F.col("at").alias("q")
+        "v", F.col("block").alias("set")
     )
-    queries = stored(queries.join(dealt, "v").select("v", "x", "norm", "set", "q"), "ann-sets")
+    queries = stored(queries.join(dealt, "v").select("v", "x", "norm", "set"), "ann-sets")
 
     def probed(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -270,30 +304,29 @@ def nearest_neighbours(
                 some = batch.slice(start, 256)
                 x, norms = _matrix(some.column("x")), some.column("norm").to_numpy()
                 for table in range(tables):
-                    codes = index.sequence(table, x, norms)
-                    q, at = np.nonzero(codes >= 0)
-                    picked = some.take(pa.array(q))
-                    for band in index.tops:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(np.full(len(q), table, np.int32)), pa.array(np.full(len(q), band, np.int32)), pa.array(codes[q, at]),
-                             picked.column("set"), picked.column("q")],
-                            ["table", "band", "code", "set", "q"],
-                        )
-
-    visits = queries.select("x", "norm", "set", "q").mapInArrow(probed, "table int, band int, code long, set long, q int")
-    visits = visits.join(buckets, ["table", "band", "code"]).groupBy("table", "band", "set", "block")
-    found = _scored(visits.agg(F.collect_list(F.struct("q", "code")).alias("visits")), queries, homes, groups, n)
+                    probes = [codes[codes >= 0] for codes in index.sequence(table, x, norms)]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(np.full(some.num_rows, table, np.int32)), some.column("set"), some.column("v"), some.column("x"),
+                         pa.array(probes, pa.list_(pa.int64()))],
+                        ["table", "set", "v", "x", "probes"],
+                    )
+
+    probing = stored(
+        queries.select("x", "norm", "set", "v").mapInArrow(probed, "table int, set long, v long, x binary, probes array<long>"), "ann-probes"
+    )
+    wanted = probing.select("set", "table", F.explode("probes").alias("code")).distinct()
+    tiles = wanted.join(buckets, ["table", "code"]).select("set", "table", "band", "block").distinct()
+    found = _scored(tiles, probing, homes, groups, n)
 
     # Whoever found too few rows visits every bucket of one table: sets of queries by blocks of rows.
     best = stored(_best(found, groups, n), "ann-best")
     others = rows.count() - 1
-    poor = queries.select("v", "set", "q").join(
-        best.where(F.size("near") > min(n, others)).select("v"), "v", "left_anti"
-    )
+    rich = best.where(F.size("near") > min(n, others)).select("v")
+    poor = probing.where("table = 0").join(rich, "v", "left_anti").withColumn("probes", F.lit(None).cast("array<long>"))
     if not poor.isEmpty():
-        sets = poor.groupBy("set").agg(F.collect_list(F.struct("q", F.lit(EVERY).cast("long").alias("code"))).alias("visits"))
-        blocks = buckets.where(F.col("table") == 0).select("table", "band", "block").distinct()
-        again = _best(_scored(sets.join(blocks), queries, homes, groups, n), groups, n)
+        blocks = buckets.where("table = 0").select("table", "band", "block").distinct()
+        tiles = poor.select("set", "table").distinct().join(blocks, "table")
+        again = _best(_scored(tiles, poor, homes, groups, n), groups, n)
         best = best.join(poor.select("v"), "v", "left_anti").unionByName(again)
 
     answers = asked.join(groups.select("digest", "v"), "digest").join(best, "v").select("id", "rid", F.col("near"))
@@ -320,46 +353,54 @@ def _numbered(rows: DataFrame, within: Sequence[str], order: Sequence[str], size
     )
 
 
-def _scored(tiles: DataFrame, queries: DataFrame, homes: DataFrame, groups: DataFrame, n: int) -> DataFrame:
-    """(q_v, v, score): per pair of a set of queries and a block of rows, the best of each query among the rows it visits."""
-    tiles = stored(tiles.withColumn("tile", F.monotonically_increasing_id()), "ann-tiles")
-    nothing = F.array().cast("array<struct<q:int,code:bigint>>")
-    none = F.lit(None)
-    asked = tiles.select("tile", "set").join(queries, "set").select(
-        "tile", F.lit(0).alias("side"), "v", F.col("q").alias("at"), none.cast("long").alias("code"), "x", none.cast("long").alias("least"),
-        nothing.alias("visits"),
+def _scored(tiles: DataFrame, probing: DataFrame, homes: DataFrame, groups: DataFrame, n: int) -> DataFrame:
+    """(q_v, v, score): the best of each query among the rows that it visits, per task.
+
+    *tiles* are the blocks of rows (table, band, block) that a set of queries meets. Rows stream through a task behind the
+    queries of their set, sorted by bucket; NULL probes visit all buckets.
+    """
+    keys = ["set", "table", "band", "slab", "deal"]
+    slab = [F.floor(F.col("block") / SLAB).alias("slab"), F.pmod("block", F.lit(DEALT)).alias("deal")]
+    tiles = stored(tiles.select("set", "table", "band", "block", *slab), "ann-tiles")
+    none = F.lit(None).cast("long")
+    asked = tiles.select(*keys).distinct().join(probing, ["set", "table"]).select(
+        *keys, F.lit(0).alias("side"), "v", none.alias("code"), "x", none.alias("least"), "probes"
     )
-    held = tiles.select("tile", "table", "band", "block").join(homes, ["table", "band", "block"]).select("tile", "v", "at", "code")
+    held = tiles.join(homes, ["table", "band", "block"]).select(*keys, "v", "code")
     rows = held.join(groups.select("v", "x", F.col("least.id").alias("least")), "v").select(
-        "tile", F.lit(1).alias("side"), "v", "at", "code", "x", "least", nothing.alias("visits")
-    )
-    marks = tiles.select(
-        "tile", F.lit(2).alias("side"), none.cast("long").alias("v"), none.cast("int").alias("at"), none.cast("long").alias("code"),
-        none.cast("binary").alias("x"), none.cast("long").alias("least"), "visits",
+        *keys, F.lit(1).alias("side"), "v", "code", "x", F.coalesce("least", F.lit((1 << 63) - 1)).alias("least"),
+        F.lit(None).cast("array<long>").alias("probes"),
     )
 
-    def compare(table: pa.Table) -> pa.Table:
-        side = table.column("side").to_numpy()
-        q, r = (table.take(np.flatnonzero(side == k)) for k in (0, 1))
-        marks = table.column("visits").filter(pa.array(side == 2)).combine_chunks().flatten()
-        codes, bucket = np.unique(r.column("code").to_numpy(), return_inverse=True)
-        at = np.full(QUERIES, -1)
-        at[q.column("at").to_numpy()] = np.arange(q.num_rows)
-        visited = np.zeros((q.num_rows, len(codes)), bool)
-        asking, code = at[marks.field("q").to_numpy()], marks.field("code").to_numpy()
-        visited[asking[code == EVERY]] = True
-        visited[asking[code != EVERY], np.searchsorted(codes, code[code != EVERY])] = True
-        some_q = np.flatnonzero(visited.any(1))
-        some_r = np.flatnonzero(visited.any(0)[bucket])
-        x, y = (_matrix(side.column("x").combine_chunks()) for side in (q.take(some_q), r.take(some_r)))
-        least = r.column("least").to_pylist()
-        least = np.array([np.iinfo(np.int64).max if least[i] is None else least[i] for i in some_r], np.int64)
-        # One more than wanted, as the query itself is among them.
-        a, b, score = top_scores(x, y, least, visited[np.ix_(some_q, bucket[some_r])], n + 1)
-        v = q.column("v").to_numpy()
-        return pa.table({"q_v": v[some_q[a]], "v": r.column("v").to_numpy()[some_r[b]], "score": score})
-
-    return asked.unionByName(rows).unionByName(marks).groupBy("tile").applyInArrow(compare, "q_v long, v long, score double")
+    def compare(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finished(best: Best | None) -> Iterator[pa.RecordBatch]:
+            if best:
+                best.settle()
+                q, v, score, _ = best.found
+                yield pa.RecordBatch.from_arrays([pa.array(best.v[q]), pa.array(v), pa.array(score)], ["q_v", "v", "score"])
+
+        now, waiting, best = None, [], None
+        for batch in batches:
+            marks = np.array([batch.column(key).to_numpy() for key in [*keys, "side"]] + [batch.column("code").fill_null(0).to_numpy()])
+            cuts = np.flatnonzero((marks[:, 1:] != marks[:, :-1]).any(0)) + 1
+            for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
+                run = batch.slice(start, end - start)
+                if tuple(marks[:5, start]) != now:
+                    yield from finished(best)
+                    now, waiting, best = tuple(marks[:5, start]), [], None
+                v = run.column("v").to_numpy()
+                if marks[5, start] == 0:
+                    waiting.append((v, _matrix(run.column("x")), run.column("probes").to_pylist()))
+                    continue
+                if best is None:
+                    best = Best(*[np.concatenate(part) for part in list(zip(*waiting))[:2]], [p for w in waiting for p in w[2]], n + 1)
+                for at in range(0, len(v), 1024):
+                    some = run.slice(at, 1024)
+                    best.meet(marks[6, start], _matrix(some.column("x")), v[at : at + 1024], some.column("least").to_numpy())
+        yield from finished(best)
+
+    both = asked.unionByName(rows).repartition(*keys).sortWithinPartitions(*keys, "side", "code")
+    return both.mapInArrow(compare, "q_v long, v long, score double")
 
 
 def _best(found: DataFrame, groups: DataFrame, n: int) -> DataFrame:

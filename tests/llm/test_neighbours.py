@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 
 from jobtide.llm import neighbours
-from jobtide.llm.neighbours import Index, nearest_neighbours, top_scores
+from jobtide.llm.neighbours import Best, Index, nearest_neighbours
 
 SCHEMA = "vec_id long, embedding array<double>, rank string, score string, rid string"
 
@@ -88,24 +88,34 @@ def test_probes_come_in_the_order_of_their_estimate():
     assert first >= 0.7 * counts.max()
 
 
-def test_top_scores_of_wanted_rows_only():
+def test_best_of_the_visited_buckets_only():
     rng = np.random.default_rng(5)
-    q, r = rng.integers(-2, 3, (40, 4)).astype(float), rng.integers(-2, 3, (300, 4)).astype(float)
-    wanted, ids = rng.random((40, 300)) < 0.3, rng.permutation(300)
-    a, b, score = top_scores(q, r, ids, wanted, 7)
+    q, r = rng.integers(-2, 3, (40, 4)).astype(float), rng.integers(-2, 3, (3_000, 4)).astype(float)
+    code, ids = rng.integers(0, 30, 3_000), rng.permutation(3_000)
+    probes = [None if at % 10 == 0 else rng.permutation(30)[:8].tolist() for at in range(40)]
+    best = Best(np.arange(40) + 100, q, probes, 7)
+    for c in rng.permutation(30):
+        of = np.flatnonzero(code == c)
+        for part in np.array_split(of, 3):
+            best.meet(c, r[part], part, ids[part])
+    best.settle()
+    a, v, score, least = best.found
     for k in range(40):
-        want = sorted((-(q[k] * r[j]).sum(), ids[j]) for j in np.flatnonzero(wanted[k]))[:7]
-        assert [(-s, ids[j]) for s, j in zip(score[a == k], b[a == k])] == want
+        visited = [j for j in range(3_000) if probes[k] is None or code[j] in probes[k]]
+        want = sorted((-(q[k] * r[j]).sum(), ids[j], j) for j in visited)[:7]
+        assert [(-s, i, j) for s, i, j in zip(score[a == k], least[a == k], v[a == k])] == want
 
 
 def test_whoever_finds_too_few_is_compared_with_all(spark, monkeypatch):
-    """Queries far from all rows find few in the buckets around them; all get their number of rows."""
+    """One probe of one table with many hash functions finds few rows; still every query gets its number, exactly."""
     calls, scored = [], neighbours._scored
     monkeypatch.setattr(neighbours, "_scored", lambda *given: calls.append(1) or scored(*given))
+    monkeypatch.setattr(neighbours, "_fitted", lambda *given: Index({0: 1.0}, 1, 8, 1, 0.9, 3))
     rng = np.random.default_rng(11)
-    x = np.abs(rng.normal(size=(2_000, 8))) + 2
-    x[::20] = -x[::20]
+    x = rng.normal(size=(2_000, 12))
+    x /= np.linalg.norm(x, axis=1)[:, None] * 1.001
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    got, want = answers(spark, rows, sample=1, recall=0.05), exact(rows)
+    got, want = answers(spark, rows, tables=1), exact(rows)
     assert set(got) == set(want) and all(len(found) == 20 for found in got.values())
     assert len(calls) == 2
+    assert all([v for v, _ in got[i]] == [v for v, _ in want[i][0]] for i in want)
