@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.ml.boosting import BoostedTrees
 from jobtide.ml.isoforest import IsolationForestModel
 from jobtide.operators.dashboard import top_k
 from jobtide.operators.features import FEATURES, latest_per_skill
@@ -22,17 +22,17 @@ def align_features(df: DataFrame, columns: Sequence[str] = FEATURES) -> DataFram
     )
 
 
-def batch_score(demand: PipelineModel, forest: IsolationForestModel, df: DataFrame) -> DataFrame:
+def batch_score(demand: BoostedTrees, forest: IsolationForestModel, df: DataFrame) -> DataFrame:
     """Add ``demand_forecast`` and ``emergence_score_model`` to a feature table."""
     scored = forest.score(demand.transform(align_features(df)))
     return (
         scored.withColumnsRenamed({"predicted": "demand_forecast", "anomaly_score": "emergence_score_model"})
-        .drop("raw_features", "features", "is_outlier")
+        .drop("is_outlier")
     )
 
 
 def forecast_demand(
-    demand: PipelineModel, latest: DataFrame, skills: list[str] | None = None, top_n: int = 20
+    demand: BoostedTrees, latest: DataFrame, skills: list[str] | None = None, top_n: int = 20
 ) -> DataFrame:
     """Forecast for the named skills, or for the *top_n* most wanted. The horizon is that of the training target."""
     chosen = latest.filter(F.col("skill").isin(skills)) if skills else top_k(latest, top_n, "job_count", "skill")

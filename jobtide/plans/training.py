@@ -4,22 +4,23 @@ from __future__ import annotations
 
 from dataclasses import asdict, dataclass
 
-from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from jobtide.ml.clusters import train_clusters
-from jobtide.ml.demand import DemandParams, cv_time_series, feature_importance_top10, train_demand
+from jobtide.ml.boosting import BoostedTrees, DemandParams
+from jobtide.ml.demand import feature_importance_top10, train_and_validate
 from jobtide.ml.isoforest import ForestParams, IsolationForestModel, emergence_metrics, train_emergence
 from jobtide.operators.features import FEATURES
 
 
 @dataclass
 class TrainedModels:
-    demand: PipelineModel
+    demand: BoostedTrees
     forest: IsolationForestModel
     clusters: DataFrame
     metrics: DataFrame
+    fold_errors: DataFrame
     importance: DataFrame
 
 
@@ -46,17 +47,16 @@ def train_all(
     folds: int = 5, starts: int = 10,
 ) -> TrainedModels:
     """Fit the three models on a stored feature matrix with its target."""
-    model = train_demand(matrix, demand)
-    scores = cv_time_series(matrix, demand, folds)
+    model, fold_errors, scores = train_and_validate(matrix, demand, folds)
     outliers = train_emergence(matrix, forest)
     clusters = train_clusters(matrix, k, starts)
     metrics = model_metrics(matrix, scores, emergence_metrics(outliers, matrix), clusters)
-    return TrainedModels(model, outliers, clusters, metrics, feature_importance_top10(model, matrix))
+    return TrainedModels(model, outliers, clusters, metrics, fold_errors, feature_importance_top10(model, matrix))
 
 
 def save_models(models: TrainedModels, folder: str) -> None:
     """Write every part below *folder*, replacing what is there."""
-    models.demand.write().overwrite().save(f"{folder}/demand")
+    models.demand.save(models.clusters.sparkSession, f"{folder}/demand")
     models.forest.nodes.write.mode("overwrite").parquet(f"{folder}/forest_nodes")
     settings = asdict(models.forest.params) | {"threshold": models.forest.threshold}
     spark = models.clusters.sparkSession
@@ -68,6 +68,7 @@ def save_models(models: TrainedModels, folder: str) -> None:
     spark.createDataFrame([row], schema).write.mode("overwrite").parquet(f"{folder}/forest_settings")
     models.clusters.write.mode("overwrite").parquet(f"{folder}/clusters")
     models.metrics.write.mode("overwrite").parquet(f"{folder}/metrics")
+    models.fold_errors.write.mode("overwrite").parquet(f"{folder}/fold_errors")
     models.importance.write.mode("overwrite").parquet(f"{folder}/importance")
 
 
@@ -78,6 +79,7 @@ def load_models(spark: SparkSession, folder: str) -> TrainedModels:
     )
     forest = IsolationForestModel(spark.read.parquet(f"{folder}/forest_nodes"), params, settings["threshold"])
     return TrainedModels(
-        PipelineModel.load(f"{folder}/demand"), forest, spark.read.parquet(f"{folder}/clusters"),
-        spark.read.parquet(f"{folder}/metrics"), spark.read.parquet(f"{folder}/importance"),
+        BoostedTrees.load(spark, f"{folder}/demand"), forest, spark.read.parquet(f"{folder}/clusters"),
+        spark.read.parquet(f"{folder}/metrics"), spark.read.parquet(f"{folder}/fold_errors"),
+        spark.read.parquet(f"{folder}/importance"),
     )
