@@ -32,10 +32,13 @@ def batch_score(demand: BoostedTrees, forest: IsolationForestModel, df: DataFram
 
 
 def forecast_demand(
-    demand: BoostedTrees, latest: DataFrame, skills: list[str] | None = None, top_n: int = 20
+    demand: BoostedTrees, latest: DataFrame, skills: list[str] | None = None, top_n: int | None = 20
 ) -> DataFrame:
-    """Forecast for the named skills, or for the *top_n* most wanted. The horizon is that of the training target."""
-    chosen = latest.filter(F.col("skill").isin(skills)) if skills else top_k(latest, top_n, "job_count", "skill")
+    """Forecast for the named skills, or for the *top_n* most wanted (None: all). The horizon is that of the training target."""
+    if skills:
+        chosen = latest.filter(F.col("skill").isin(skills))
+    else:
+        chosen = latest if top_n is None else top_k(latest, top_n, "job_count", "skill")
     predicted = F.rint("predicted").cast("long")
     return (
         demand.transform(align_features(chosen))

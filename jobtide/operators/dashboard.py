@@ -29,13 +29,13 @@ def dash_filter(
     return df
 
 
-def _skill_totals(top: DataFrame) -> DataFrame:
+def skill_totals(top: DataFrame) -> DataFrame:
     """Sum of counts and mean of the per-country salaries."""
     return top.groupBy("skill").agg(F.sum("job_count").alias("job_count"), F.avg("avg_salary").alias("avg_salary"))
 
 
 def dash_skill_totals(top: DataFrame, n: int = 20, by: str = "job_count", groups: Groups = None) -> DataFrame:
-    return top_k(_skill_totals(top), n, by, "skill").withColumn("category", skill_category(F.col("skill"), groups))
+    return top_k(skill_totals(top), n, by, "skill").withColumn("category", skill_category(F.col("skill"), groups))
 
 
 def dash_category_totals(by_category: DataFrame) -> DataFrame:

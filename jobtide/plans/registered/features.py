@@ -183,13 +183,13 @@ def _finite(expression: str, name: str) -> str:
     return r(f"CASE WHEN {unusable} THEN 0.0 ELSE {expression} END", name)
 
 
-def _matrix_sql() -> str:
+def _matrix_sql(source: str = "wkc", category: str = _MODEL_CATEGORY) -> str:
     lags = {f"job_count_lag_{n}w": _lag("job_count", n) for n in (1, 2, 4)}
     lags |= {f"salary_lag_{n}w": _lag("avg_salary", n) for n in (1, 4)}
     padded = "last_value(avg_salary IGNORE NULLS) OVER (PARTITION BY skill, country ORDER BY week ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)"
     first = {
-        **_growth_columns(), **_rolling(), **lags, **_TIME, "job_count_ema_4w": _ema("wkc"), "market_share": _SHARE,
-        "_pad": padded, "skill_category": _MODEL_CATEGORY, "target": f"lead(job_count, 4) {_W}",
+        **_growth_columns(), **_rolling(), **lags, **_TIME, "job_count_ema_4w": _ema(source), "market_share": _SHARE,
+        "_pad": padded, "skill_category": category, "target": f"lead(job_count, 4) {_W}",
     }
     second = {
         "market_share_change": _pct("market_share", _lag("market_share", 4)),
@@ -200,7 +200,7 @@ def _matrix_sql() -> str:
     final = ", ".join(_finite(f"CAST({c} AS DOUBLE)", c) for c in features.FEATURES if c != "category_share")
     share = "CAST(job_count AS DOUBLE) / (category_job_count + 1)"
     return (
-        f", f1 AS (SELECT *, {_columns(first, False)} FROM wkc), f2 AS (SELECT *, {_columns(second, False)} FROM f1), "
+        f", f1 AS (SELECT *, {_columns(first, False)} FROM {source}), f2 AS (SELECT *, {_columns(second, False)} FROM f1), "
         f"{_trend('f2', 'skill, country')}, {_emergence_ctes('tr', 'skill, country')} "
         f"SELECT skill, week, country, {final}, {_finite(share, 'category_share')}, CAST(target AS DOUBLE) AS target "
         "FROM em WHERE target IS NOT NULL"

@@ -108,7 +108,7 @@ def test_nulls_constant_columns_and_storage(spark, tmp_path):
     model = fit_boosted(df, ["a", "b", "c"], "target", DemandParams(max_iter=30, features_per_tree=1.0))[0]
     out = {r.id: r.predicted for r in model.transform(df).collect()}
     assert len(out) == 60 and all(abs(v - 10 * (i % 2)) < 3 for i, v in out.items())
-    assert max(model.importance(), key=model.importance().get) == "c" and sum(model.importance().values()) == pytest.approx(1)
+    assert model.importance()["c"] > 0 == model.importance()["b"] and sum(model.importance().values()) == pytest.approx(1)
     model.save(spark, str(tmp_path / "m"))
     again = BoostedTrees.load(spark, str(tmp_path / "m"))
     assert again.columns == model.columns and again.base == model.base

@@ -27,7 +27,7 @@ def matrix(spark, tmp_path_factory):
 
 @pytest.fixture(scope="module")
 def models(matrix):
-    return training.train_all(matrix, demand.DemandParams(max_iter=5), k=8, folds=3, starts=2)
+    return training.train_all(matrix, demand.DemandParams(max_iter=5, step_size=0.3), k=8, folds=3, starts=2)
 
 
 def test_metrics_are_complete(models, matrix):
@@ -118,9 +118,11 @@ def test_embeddings(spark):
     assert embeddings.most_similar(vectors, "unknown").collect() == []
 
 
-def test_registered_models_are_not_cut(spark, monkeypatch):
+def test_registered_models_are_not_cut(spark, monkeypatch, tmp_path):
     """The registered queries train with the library's own parameters and return every table and vector."""
     calls = []
+    for table in ("lineitem", "part", "orders", "customer", "nation"):
+        (tmp_path / f"{table}.parquet").mkdir()
 
     def recorder(name, result=None):
         def record(first, *args, **kwargs):
@@ -130,15 +132,18 @@ def test_registered_models_are_not_cut(spark, monkeypatch):
         return record
 
     frame = spark.createDataFrame([("s1", 1)], "skill string, cluster int")
+    trained = training.TrainedModels(None, None, frame, frame, frame, frame)
     monkeypatch.setattr(registered, "matrix", lambda spark, sf: "matrix")
-    for module, name in ((demand, "train_demand"), (demand, "cv_time_series"), (training, "train_all"), (embeddings, "skill2vec")):
-        monkeypatch.setattr(module, name, recorder(name, frame))
+    monkeypatch.setattr(training, "train_all", recorder("train_all", trained))
+    monkeypatch.setattr(embeddings, "skill2vec", recorder("skill2vec", frame))
     monkeypatch.setattr(registered, "job_skill_sets", lambda spark, sf: "sets")
-    registered._demand(spark, "sf")
-    registered._train_all(spark, "sf")
-    registered.QUERIES["cv_time_series"](spark, "sf")
+    assert registered._models(spark, str(tmp_path)) is registered._models(spark, str(tmp_path)) is trained
     assert registered.QUERIES["skill2vec"](spark, "sf") is frame
-    assert calls == [(name, (), {}) for name in ("train_demand", "train_all", "cv_time_series", "skill2vec")]
+    assert calls == [("train_all", (), {}), ("skill2vec", (), {})]
+    part = tmp_path / "lineitem.parquet" / "part-0.parquet"  # changed data are not answered from the old models
+    part.write_bytes(b"changed")
+    registered._models(spark, str(tmp_path))
+    assert [name for name, _, _ in calls].count("train_all") == 2
 
 
 def test_report_has_five_tables(spark):
