@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -75,7 +75,8 @@ def _grow(points: np.ndarray, rng: np.random.Generator, max_depth: int) -> list[
             nodes.append((node, -1, 0.0, depth + average_path(len(part))))
             continue
         feature = int(rng.choice(usable))
-        threshold = float(rng.uniform(low[feature], high[feature]))
+        # Below the largest value, which a draw between close values may round to, so that both sides have rows.
+        threshold = float(min(rng.uniform(low[feature], high[feature]), np.nextafter(high[feature], low[feature])))
         right = part[:, feature] > threshold
         nodes.append((node, feature, threshold, 0.0))
         open_nodes += [(2 * node + 1, part[~right]), (2 * node + 2, part[right])]
@@ -117,7 +118,7 @@ class IsolationForestModel:
         """Add ``isolation``: 2^(-mean path / expected path), near 1 for rows that are easy to isolate."""
         arrays = df.sparkSession.sparkContext.broadcast(self._arrays())
         depth = math.ceil(math.log2(max(self.params.sample, 2)))
-        expected = average_path(self.params.sample)
+        expected = average_path(self.params.sample) or 1.0  # a single row is as deep as expected
 
         @F.pandas_udf(T.DoubleType())
         def score(points: pd.Series) -> pd.Series:
@@ -145,7 +146,11 @@ class IsolationForestModel:
 
 
 def train_emergence(matrix: DataFrame, params: ForestParams = ForestParams()) -> IsolationForestModel:
-    """Fit the forest; the outlier threshold leaves the contamination share of the rows above it."""
+    """Fit the forest; the outlier threshold leaves the contamination share of the rows above it.
+
+    A table of fewer rows than a sample is the sample of every tree, and path lengths are compared with those of its size.
+    """
+    params = replace(params, sample=max(1, min(params.sample, matrix.count())))
     nodes = stored(grow_trees(draw_samples(matrix, params), params), "forest")
     model = IsolationForestModel(nodes, params)
     scores = stored(model.isolation(matrix).select(F.lit(1).alias("_all"), "isolation"), "isolation")

@@ -4,12 +4,28 @@ from __future__ import annotations
 
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from jobtide.plans.store import stored
 
 
+#: The largest finite double.
+_MAX = 1.7976931348623157e308
+
+
+def _part(v: Column, low: Column, high: Column, bins: int) -> Column:
+    """Which of *bins* equal parts of a range holds a value; infinities are parts of their own.
+
+    The least and the greatest value of a range are never in one part, so every pass shrinks it.
+    """
+    low, high = F.greatest(low, F.lit(-_MAX)), F.least(high, F.lit(_MAX))
+    wide = (high - low) > F.lit(_MAX)
+    share = F.when(wide, F.try_divide(v / 2 - low / 2, high / 2 - low / 2)).otherwise(F.try_divide(v - low, high - low))
+    inside = F.least(F.floor(F.coalesce(share, F.lit(0.0)) * F.lit(bins)), F.lit(bins - 1))
+    return F.when(v < -_MAX, F.lit(-1)).when(v > _MAX, F.lit(bins)).otherwise(inside)
+
+
 def quantiles_disc(df: DataFrame, keys: list[str], value: str, fractions: dict[str, str], bins: int = 4096) -> DataFrame:
     """One row per group with a column per fraction: the smallest value whose rank reaches ``ceil(p * n)``.
 
@@ -34,7 +50,7 @@ def quantiles_disc(df: DataFrame, keys: list[str], value: str, fractions: dict[s
     done = ranges.filter("_low = _high")
     place = [*keys, "_name"]
     while not (open_ranges := ranges.filter("_low < _high")).isEmpty():
-        part = F.least(F.floor((F.col("_v") - F.col("_low")) / (F.col("_high") - F.col("_low")) * F.lit(bins)), F.lit(bins - 1))
+        part = _part(F.col("_v"), F.col("_low"), F.col("_high"), bins)
         counted = (
             values.join(open_ranges, keys).filter(F.col("_v").between(F.col("_low"), F.col("_high")))
             .groupBy(*place, "_rank", part.alias("_part"))

@@ -83,7 +83,7 @@ QUERIES = {
     "dash_emerging_table": _emerging(dash.dash_emerging_table),
     "dash_kpi_cards": lambda spark, sf: dash.dash_kpi_cards(demand.vw_dashboard_kpis(job_skills(spark, sf))),
     "dash_cooc_long": _pairs(dash.dash_cooc_long, n=15),
-    "dash_cooc_matrix": _pairs(dash.dash_cooc_matrix, n=15),
+    "dash_cooc_matrix": _pairs(dash.dash_cooc_matrix, n=25),  # all brands, so that SQL can name the columns
     "dash_top_pairs": _pairs(dash.dash_top_pairs, n=25, categories=["Languages"], groups=BRAND_GROUPS),
 }
 
@@ -271,8 +271,9 @@ SELECT CASE WHEN j >= 1000000 THEN printf('%.1fM', j / 1000000.0) WHEN j >= 1000
        format('{:,}', s) AS unique_skills, format('${:,}', CAST(a AS BIGINT)) AS avg_salary, countries
 FROM k""",
     "dash_cooc_long": JOB_SKILLS_SQL + _PAIRS + _CELLS + "SELECT * FROM cells",
-    "dash_cooc_matrix": JOB_SKILLS_SQL + _PAIRS + _CELLS + """
-SELECT * FROM (PIVOT cells ON other USING CAST(sum(cooccurrence_count) AS BIGINT) GROUP BY skill)""",
+    "dash_cooc_matrix": JOB_SKILLS_SQL + _PAIRS + _CELLS.replace("LIMIT 15", "LIMIT 25") + "SELECT skill, " + ", ".join(
+        f"""CAST(sum(cooccurrence_count) FILTER (other = 'Brand#{i}') AS BIGINT) AS "Brand#{i}\"""" for i in range(1, 26)
+    ) + " FROM cells GROUP BY skill",
     "dash_top_pairs": JOB_SKILLS_SQL + _PAIRS + f"""
 SELECT skill_a, skill_b, cooccurrence_count, skill_a || ' + ' || skill_b AS pair FROM pairs
 WHERE {category_sql('skill_a')} = 'Languages' OR {category_sql('skill_b')} = 'Languages'

@@ -262,13 +262,16 @@ def _batch_facts(spark, sf):
 
 
 def _recommended_facts(spark, sf):
-    """Five others of the known skills' clusters, growth of all of them known and not rising."""
+    """Others of the known skills' clusters, five at most, by growth; no forecast counts as no growth."""
     mine = _clusters(spark, sf)
     mates = relations.filter_known_skills(mine, KNOWN).select("skill", F.lit(True).alias("mate"))
-    found = _recommended(spark, sf).withColumn("ordered", _steps_down("growth_pct", F.desc("growth_pct"), "skill")).join(mates, "skill", "left")
-    return found.agg(
-        (F.count(F.lit(1)) <= 5).alias("at_most_5"), _all(F.col("mate")).alias("mates"), _all(F.col("growth_pct").isNotNull()).alias("forecast"),
-        _all(F.col("ordered")).alias("ordered"),
+    found = _recommended(spark, sf).withColumn("growth", F.coalesce("growth_pct", F.lit(0.0)))
+    least = found.agg(F.min("growth")).scalar()
+    better = mates.join(_forecast(spark, sf, None).select(F.lower("skill").alias("skill"), "growth_pct"), "skill")
+    left_out = better.join(found.select("skill"), "skill", "left_anti").agg(F.max("growth_pct")).scalar()
+    return found.join(mates, "skill", "left").agg(
+        (F.count(F.lit(1)) == F.least(F.lit(5), mates.agg(F.count(F.lit(1))).scalar())).alias("five_if_there_are"), _all(F.col("mate")).alias("mates"),
+        _all(F.coalesce(left_out <= least, F.lit(True))).alias("best_growth"),
     )
 
 
@@ -441,7 +444,7 @@ SELECT skill, job_count AS current_demand, avg_salary AS current_salary, TRUE AS
 FROM ({_latest_sql(False)}) ORDER BY job_count DESC, skill LIMIT 20""",
     "detect_emerging_facts": "SELECT TRUE AS at_most_10, TRUE AS score, TRUE AS ordered, TRUE AS growing, TRUE AS known",
     "detect_emerging_batch_facts": "SELECT TRUE AS twenty, TRUE AS growing, TRUE AS ordered, TRUE AS one_row_each",
-    "recommend_skills_facts": "SELECT TRUE AS at_most_5, TRUE AS mates, TRUE AS forecast, TRUE AS ordered",
+    "recommend_skills_facts": "SELECT TRUE AS five_if_there_are, TRUE AS mates, TRUE AS best_growth",
     "market_report_facts": f"""
 WITH l AS (SELECT * FROM ({_latest_sql(False)}) ORDER BY job_count DESC, skill LIMIT 50)
 SELECT * FROM (SELECT 'top_demand_skills' AS report_table, skill, job_count AS current_demand, CAST(NULL AS DOUBLE) AS current_salary

@@ -13,7 +13,7 @@ from jobtide.functions.vocabulary import (
 )
 from jobtide.operators import dedup, demand, extract, normalize as nz, pairs, relations
 from jobtide.plans import etl
-from jobtide.plans.registered.common import JOB_SKILLS_SQL, category_sql, r, rounded
+from jobtide.plans.registered.common import BRAND_GROUPS, JOB_SKILLS_SQL, category_sql, r, rounded
 from jobtide.sources.driver_tables import (
     TEXT_VOCABULARY, as_of, event_postings, job_skill_sets, job_skills, payload, postings, table,
 )
@@ -278,14 +278,19 @@ def _from_raw(spark, sf):
     return rounded(demand.weekly_demand_from_raw(dirty))
 
 
-def _text_categories(function):
-    """Categories of the terms of all vocabularies as found in the texts, plus the terms' identifiers."""
+#: Groups that the data's own words and brands fall into, besides the built-in ones.
+DATA_GROUPS = BRAND_GROUPS | {"English": COMMON[:3], "French": COMMON[3:6], "German": COMMON[6:9]}
+
+
+def _data_categories(function, groups):
+    """Category and mentions of every skill in the data: those extracted from the texts, and the brands of the parts."""
 
     def query(spark, sf):
-        terms = sorted({*ALIAS_TERMS, *FLAT_TERMS, *BULK_TERMS, "machine_learning", "deep_learning", "sql_server"})
-        names = F.array(*[F.lit(t) for t in terms])
-        nations = table(spark, sf, "nation").select("n_name", F.explode(names).alias("skill"))
-        return nations.select("n_name", "skill", function(F.col("skill")).alias("category"))
+        found = extract.extract_skills(postings(spark, sf), "description", VOCABULARIES["extract_skills_alias"])
+        in_texts = found.select(F.explode("extracted_skills").alias("skill"))
+        brands = table(spark, sf, "part").select(F.col("p_brand").alias("skill"))
+        counted = in_texts.unionAll(brands).groupBy("skill").agg(F.count(F.lit(1)).alias("mentions"))
+        return counted.select("skill", "mentions", function(F.col("skill"), groups).alias("category"))
 
     return query
 
@@ -354,8 +359,8 @@ QUERIES = {
     "parse_skill_list": lambda spark, sf: flat(_skill_lists(spark, sf)),
     "explode_skills": _exploded,
     "skill_list_stats": lambda spark, sf: rounded(extract.skill_list_stats(_skill_lists(spark, sf))),
-    "categorize_skill": _text_categories(skill_category),
-    "categorize_skill_ml": _text_categories(model_category),
+    "categorize_skill": _data_categories(skill_category, CATEGORY_SKILLS | DATA_GROUPS),
+    "categorize_skill_ml": _data_categories(model_category, MODEL_CATEGORY_SKILLS | DATA_GROUPS),
     "dedup_latest": _latest_events,
     "dedup_first_seen": _first_events,
     "dedup_pairs": _pairs_once,
@@ -437,12 +442,14 @@ def _documents_sql(select: str) -> str:
 _SETS = JOB_SKILLS_SQL + ", sets AS (SELECT job_id, list_sort(list(DISTINCT skill)) AS skills FROM jsv GROUP BY job_id)"
 
 
-def _terms_sql(groups, default: str, spaced: bool) -> str:
-    terms = sorted({*ALIAS_TERMS, *FLAT_TERMS, *BULK_TERMS, "machine_learning", "deep_learning", "sql_server"})
-    values = ", ".join(f"('{t}')" for t in terms)
+def _categories_sql(groups, default: str, spaced: bool) -> str:
     subject = "replace(skill, '_', ' ')" if spaced else "skill"
-    return f"""SELECT n_name, skill, {category_sql(subject, groups, default)} AS category
-FROM nation CROSS JOIN (VALUES {values}) v(skill)"""
+    found = extraction_sql(VOCABULARIES["extract_skills_alias"])
+    return f"""
+WITH s AS (
+  SELECT unnest(string_split(skills, '|')) AS skill FROM ({_documents_sql(f"{found} AS skills")}) WHERE skills <> ''
+  UNION ALL SELECT p_brand FROM part)
+SELECT skill, count(*) AS mentions, {category_sql(subject, groups, default)} AS category FROM s GROUP BY skill"""
 
 
 SQL = {
@@ -563,8 +570,8 @@ WHERE salary_mid_usd IS NOT NULL AND lower(title || ' ' || description) LIKE '%r
     "skill_list_stats": _SETS + f"""
 SELECT CAST(sum(len(skills)) AS BIGINT) AS total_skills, {r('avg(len(skills))', 'avg_skills')},
        (SELECT count(DISTINCT skill) FROM jsv) AS unique_skills FROM sets""",
-    "categorize_skill": _terms_sql(CATEGORY_SKILLS, "Other", False),
-    "categorize_skill_ml": _terms_sql(MODEL_CATEGORY_SKILLS, "other", True),
+    "categorize_skill": _categories_sql(CATEGORY_SKILLS | DATA_GROUPS, "Other", False),
+    "categorize_skill_ml": _categories_sql(MODEL_CATEGORY_SKILLS | DATA_GROUPS, "other", True),
     "dedup_latest": """
 SELECT CAST(user_id AS VARCHAR) AS job_id, event_id, event_type AS title, json_extract_string(props, '$.k') AS k
 FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC) = 1""",

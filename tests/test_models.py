@@ -157,3 +157,12 @@ def test_report_has_five_tables(spark):
     assert counts == {
         "market_summary": 1, "top_demand_skills": 2, "fastest_growing_skills": 2, "emerging_skills": 1, "highest_paying_skills": 2,
     }
+
+
+def test_forest_of_few_and_of_close_values(spark):
+    close = [(float(np.nextafter(1.0, 2.0)) if i % 2 else 1.0, 5e-324 * (i % 2)) for i in range(40)]
+    df = spark.createDataFrame(close, "a double, b double")
+    model = isoforest.train_emergence(df, isoforest.ForestParams(trees=10, features=("a", "b")))
+    assert model.params.sample == 40 and model.score(df).count() == 40
+    one = spark.createDataFrame([(1.0, 2.0)], "a double, b double")
+    assert isoforest.train_emergence(one, isoforest.ForestParams(trees=2, features=("a", "b"))).score(one).count() == 1
