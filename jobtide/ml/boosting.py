@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 
 from jobtide.session import scratch_path
 
-#: Values of the binned table per task, and trees after which the lineage of the rows' state is cut.
-VALUES_PER_TASK, CUT_EVERY = 16_000_000, 25
+#: Values of the binned table per task: at most, and (while there are idle cores) at least; and the trees after which the
+#: lineage of the rows' state is cut.
+VALUES_PER_TASK, LEAST_VALUES, CUT_EVERY = 16_000_000, 4_000_000, 25
 
 
 @dataclass(frozen=True)
@@ -169,7 +170,7 @@ def fit_boosted(
         F.array(*conditions).alias("fits"),
     )
     # Quantiles as cuts: exact up to the stated accuracy of rows, one pass for all fits and columns.
-    shares = [i / p.max_bins for i in range(1, p.max_bins)]
+    shares = F.array(*[F.lit(i / p.max_bins) for i in range(1, p.max_bins)])
     aggregates = []
     for k in range(len(conditions)):
         member = F.col("fits")[k]
@@ -195,11 +196,9 @@ def fit_boosted(
             block = (bins, y, batch.column("row").to_numpy().view(np.uint64), member, margin)
             yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
 
-    tasks = max(1, math.ceil(summary["n"] * len(columns) * len(conditions) / VALUES_PER_TASK))
-    packed = prepared.mapInArrow(blocks, "block binary")
-    width = packed.rdd.getNumPartitions()
-    packed = packed.coalesce(tasks) if tasks < width else packed
-    context = spark.sparkContext
+    context, size = spark.sparkContext, summary["n"] * len(columns) * len(conditions)
+    tasks = max(math.ceil(size / VALUES_PER_TASK), min(context.defaultParallelism, math.ceil(size / LEAST_VALUES)), 1)
+    packed = prepared.repartition(tasks).mapInArrow(blocks, "block binary")
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(scratch_path(spark, "boosting"))
     state = packed.rdd.map(lambda row: pickle.loads(row["block"])).persist(StorageLevel.MEMORY_AND_DISK)

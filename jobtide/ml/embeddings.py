@@ -2,26 +2,148 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Word2Vec
-from pyspark.ml.functions import vector_to_array
+from collections.abc import Iterable, Iterator
+from math import ceil, log
+
+import numpy as np
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from jobtide.plans.store import stored
+
+#: The usual settings of the method (words drawn against each, power of the frequency for the draw, share
+#: above which words are thinned out, step sizes of the first and the last position).
+NEGATIVE, NOISE_POWER, THIN_ABOVE, FIRST_STEP, LAST_STEP = 5, 0.75, 1e-3, 0.025, 1e-4
+#: Positions whose gradients are taken at the same vectors.
+BATCH = 64
+
+
+def noise_table(counts: np.ndarray) -> np.ndarray:
+    """Cumulated shares of the words by which others are drawn: frequency to the power of 3/4."""
+    weight = counts.astype(np.float64) ** NOISE_POWER
+    return np.cumsum(weight / weight.sum())
+
+
+def windows(words: np.ndarray, sentence: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(context, known): per position the words up to *width* places away in its sentence, and which of the places hold one."""
+    reach = int(width.max(initial=0))
+    shifts = np.array([d for d in range(-reach, reach + 1) if d])
+    at = np.arange(len(words))[:, None] + shifts
+    inside = np.clip(at, 0, len(words) - 1)
+    known = (at == inside) & (sentence[inside] == sentence[:, None]) & (np.abs(shifts) <= width[:, None])
+    return words[inside], known
+
+
+def cbow_step(
+    inner: np.ndarray, outer: np.ndarray, context: np.ndarray, known: np.ndarray, centre: np.ndarray, drawn: np.ndarray, step: float
+) -> None:
+    """One step for a batch of positions: the mean of the context tells the centre from the words drawn."""
+    size = known.sum(1)
+    mean = (inner[context] * known[:, :, None]).sum(1) / size[:, None]
+    words = np.concatenate([centre[:, None], drawn], 1)
+    label = np.zeros(words.shape)
+    label[:, 0] = 1.0
+    real = np.ones(words.shape, bool)
+    real[:, 1:] = drawn != centre[:, None]
+    score = 1.0 / (1.0 + np.exp(-np.clip((outer[words] * mean[:, None, :]).sum(2), -30, 30)))
+    error = (label - score) * real * step
+    back = (error[:, :, None] * outer[words]).sum(1)
+    np.add.at(outer, words, error[:, :, None] * mean[:, None, :])
+    np.add.at(inner, context, np.where(known[:, :, None], back[:, None, :], 0.0))
+
+
+def train_block(
+    words: np.ndarray, sentence: np.ndarray, inner: np.ndarray, outer: np.ndarray, counts: np.ndarray, window: int, thin: float,
+    steps: tuple[float, float], rng: np.random.Generator,
+) -> None:
+    """One pass over the positions of a block, in place."""
+    share = counts / counts.sum()
+    keep = np.minimum(1.0, np.sqrt(thin / share) + thin / share) if thin else np.ones(len(counts))
+    kept = rng.random(len(words)) < keep[words]
+    words, sentence = words[kept], sentence[kept]
+    context, known = windows(words, sentence, rng.integers(1, window + 1, len(words)))
+    noise = noise_table(counts)
+    some = np.flatnonzero(known.any(1))
+    some = some[rng.permutation(len(some))]
+    for at in range(0, len(some), BATCH):
+        of = some[at : at + BATCH]
+        drawn = np.minimum(np.searchsorted(noise, rng.random((len(of), NEGATIVE)), "right"), len(counts) - 1)
+        step = steps[0] + (steps[1] - steps[0]) * at / len(some)
+        cbow_step(inner, outer, context[of], known[of], words[of], drawn, step)
+
 
 def skill2vec(
     sequences: DataFrame, column: str = "skills", vector_size: int = 64, window: int = 5, min_count: int = 2,
-    epochs: int = 30, partitions: int = 8, seed: int = 42,
+    epochs: int = 30, thin: float = THIN_ABOVE, block_positions: int = 50_000, seed: int = 42,
 ) -> DataFrame:
-    """(skill, vector) learnt from the skills that stand together in postings (skip-gram).
+    """(skill, vector) learnt from the skills that stand together in postings: continuous bag of words with negative sampling.
 
-    The postings are trained on in *partitions* parts at once and averaged after every epoch, so the vectors depend on
-    this number and not on the machine.
+    Equal sequences are counted and dealt, in shares, to blocks of about *block_positions* positions, by their hash. In each
+    epoch every block takes its steps from the same vectors, and the blocks' changes are averaged by their positions; tasks
+    add up what their blocks changed. So the vectors depend on the data and the parameters, not on the machine. The
+    vectors (a row of 2 * *vector_size* numbers per skill) are with the driver and every task. Skills that stand in fewer
+    than *min_count* sequences are left out, also of the windows; without any the result is empty.
     """
-    model = Word2Vec(
-        vectorSize=vector_size, windowSize=window, minCount=min_count, maxIter=epochs, numPartitions=partitions,
-        seed=seed, inputCol=column, outputCol="_vector",
-    ).fit(sequences)
-    return model.getVectors().select(F.col("word").alias("skill"), vector_to_array("vector").alias("vector"))
+    spark = sequences.sparkSession
+    known = sequences.select(F.filter(F.col(column), lambda s: s.isNotNull()).alias("skills")).where(F.size("skills") > 0)
+    counted = stored(known.groupBy("skills").agg(F.count(F.lit(1)).alias("copies")), "sequences")
+    each = counted.select("copies", F.explode("skills").alias("skill"))
+    frequent = each.groupBy("skill").agg(F.sum("copies").alias("n")).where(F.col("n") >= min_count)
+    vocabulary = [(r["skill"], r["n"]) for r in frequent.orderBy("skill").collect()]  # the model's rows
+    if not vocabulary:
+        return spark.createDataFrame([], "skill string, vector array<double>")
+    names, counts = [name for name, _ in vocabulary], np.array([n for _, n in vocabulary], np.int64)
+    blocks = max(1, ceil(int(counts.sum()) / block_positions))
+
+    # A sequence goes to as many blocks as it has copies, at most to all; each gets its share of them.
+    first = F.pmod(F.xxhash64("skills"), F.lit(blocks))
+    shares = F.explode(F.sequence(F.lit(0), F.least(F.col("copies"), F.lit(blocks)).cast("int") - 1)).alias("k")
+    dealt = counted.select("skills", "copies", first.alias("first"), shares).select(
+        "skills", F.pmod(F.col("first") + F.col("k"), F.lit(blocks)).alias("block"),
+        (F.floor(F.col("copies") / F.least(F.col("copies"), F.lit(blocks))) + F.when(F.col("k") < F.col("copies") % F.least(F.col("copies"), F.lit(blocks)), 1).otherwise(0)).alias("copies"),
+    )
+    number = spark.sparkContext.broadcast({name: at for at, name in enumerate(names)})
+
+    def packed(table: pa.Table) -> pa.Table:
+        rows = sorted(zip(table.column("skills").to_pylist(), table.column("copies").to_pylist()))
+        words, sentence, at = [], [], 0
+        for skills, copies in rows:
+            of = [number.value[s] for s in skills if s in number.value]
+            words += of * copies
+            sentence += np.repeat(np.arange(at, at + copies), len(of)).tolist()
+            at += copies
+        return pa.table({
+            "block": table.column("block")[:1], "words": pa.array([np.array(words, np.int32).tobytes()], pa.binary()),
+            "sentence": pa.array([np.array(sentence, np.int64).tobytes()], pa.binary()),
+        })
+
+    corpus = stored(dealt.groupBy("block").applyInArrow(packed, "block long, words binary, sentence binary"), "corpus")
+    positions = int(counts.sum())
+    rng = np.random.default_rng(seed)
+    inner = (rng.random((len(names), vector_size)) - 0.5) / vector_size
+    outer = np.zeros((len(names), vector_size))
+    parts = corpus.rdd
+    depth = max(1, ceil(log(max(parts.getNumPartitions(), 2), 16)))
+    for epoch in range(epochs):
+        steps = tuple(FIRST_STEP + (LAST_STEP - FIRST_STEP) * (epoch + e) / epochs for e in (0, 1))
+        model = spark.sparkContext.broadcast((inner, outer))
+
+        def trained(rows: Iterable, model=model, steps=steps, epoch=epoch) -> Iterator[np.ndarray]:
+            before, change = model.value, np.zeros((2, len(names), vector_size))
+            for row in rows:
+                a, b = before[0].copy(), before[1].copy()
+                words, sentence = np.frombuffer(row["words"], np.int32).astype(np.int64), np.frombuffer(row["sentence"], np.int64)
+                train_block(words, sentence, a, b, counts, window, thin, steps, np.random.default_rng([seed, epoch, row["block"]]))
+                change += np.stack([a - before[0], b - before[1]]) * (len(words) / positions)
+            yield change
+
+        change = parts.mapPartitions(trained).treeReduce(np.add, depth)
+        inner, outer = inner + change[0], outer + change[1]
+        model.destroy()
+    frame = pd.DataFrame({"skill": names, "vector": list(inner)})
+    return spark.createDataFrame(frame, "skill string, vector array<double>")
 
 
 def _dot(a: Column, b: Column) -> Column:
