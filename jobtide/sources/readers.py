@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from jobtide.operators.normalize import canonical_postings
 from jobtide.schema import RAW_LINE, RAW_POSTING
+from jobtide.sources.csv_records import read_csv_records
 
 #: Names a bulk posting file may carry, in order of preference.
 POSTING_FILES = ("linkedin_job_postings.csv", "postings.csv", "job_postings.csv")
@@ -146,10 +147,11 @@ def read_postings_csv(
 ) -> DataFrame:
     """Bulk postings; columns stay text until :func:`coerce_numeric` and friends type them.
 
-    Descriptions may hold line breaks, which ties a file to one task; deliver large sets as many files, or turn
-    *multi_line* off where no field has breaks.
+    Descriptions may hold line breaks; a file is read by many tasks all the same. *multi_line* off saves a pass where no
+    field has breaks.
     """
-    return _read_csv(spark, _first_existing(spark, folder, POSTING_FILES), schema, multi_line)
+    path = _first_existing(spark, folder, POSTING_FILES)
+    return read_csv_records(spark, path, schema) if multi_line else _read_csv(spark, path, schema, False)
 
 
 def read_skills_csv(
