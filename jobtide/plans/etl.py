@@ -19,19 +19,20 @@ from jobtide.sources.sinks import WriteResult, write_job_skills, write_jobs, wri
 
 def etl_jobs(
     raw: DataFrame, vocabulary: Vocabulary = ETL_VOCABULARY, as_of: Column | dt.date | str | None = None,
-    versions: bool = False,
+    versions: bool = False, every: bool = False,
 ) -> DataFrame:
     """Raw postings of either shape (nested or flat) to the jobs table.
 
     The schema decides the branches once, on the driver; the plan itself is one scan, one shuffle for the newest
     row per job, and a projection. With *versions*, rows without a description stay, and ``ingested_at`` and
-    ``row_version`` tell which row of a job is the newest, so that batches can be put together later.
+    ``row_version`` tell which row of a job is the newest, so that batches can be put together later; with *every* too, all
+    rows of a job stay, as a stream needs it.
     """
     own = nz.job_id_rowhash(raw)
     df = raw.withColumn("job_id", F.coalesce(F.col("job_id").cast("string"), own) if "job_id" in raw.columns else own)
     if versions:
         df = df.withColumn("row_version", F.xxhash64(*[F.col(c) for c in df.columns]))
-    df = nz.flatten_location(dedup_latest(df))
+    df = nz.flatten_location(df if every else dedup_latest(df))
     if "description" in df.columns:
         df = fill_skills(df if versions else nz.filter_has_description(df), vocabulary)
     else:
@@ -44,12 +45,6 @@ def etl_jobs(
     return nz.project_jobs(df, "ingested_at", "row_version")
 
 
-def newest_jobs(versions: DataFrame) -> DataFrame:
-    """The jobs table out of batches made with *versions*: what :func:`etl_jobs` gives for all their rows at once."""
-    newest = dedup_latest(versions, tie="row_version")
-    return nz.filter_has_description(newest).drop("ingested_at", "row_version")
-
-
 def fill_skills(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:
     """Delivered skills where a row has them, otherwise those found in its description."""
     if "extracted_skills" not in df.columns:

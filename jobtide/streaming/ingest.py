@@ -3,20 +3,27 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
+from collections.abc import Iterable, Iterator
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from jobtide.functions.vocabulary import ETL_VOCABULARY, Vocabulary
+from jobtide.operators import normalize as nz
 from jobtide.operators.extract import explode_skills
-from jobtide.plans.etl import etl_jobs, newest_jobs
-from jobtide.schema import JOBS, RAW_POSTING
+from jobtide.plans.etl import etl_jobs
+from jobtide.schema import JOBS, PARTITIONS, RAW_POSTING
 
-#: Fixed value: postings are delivered for up to a week.
-LATENESS = "7 days"
-BATCH = "batch_id"
+#: Fixed value: the folder name of rows without a date.
+UNDATED = "__HIVE_DEFAULT_PARTITION__"
+VERSION, MANIFESTS, INCOMING = "v", "_manifests", "_incoming"
+_STATE = "ingested_at string, row_version long, place string"
+_NEWER = "job_id string, place string, earlier string, payload string"
 
 
 def read_raw_stream(
@@ -29,30 +36,137 @@ def read_raw_stream(
     return reader.json(path)
 
 
+def _newer(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+    """The newest of a job's rows, if it is newer than what was seen before: by time, missing ones last, then by version."""
+
+    def rank(ingested: str | None, version: int) -> tuple:
+        return (ingested is not None, ingested or "", -version)
+
+    known = state.get if state.exists else None
+    best, held, place, payload = None if known is None else rank(known[0], known[1]), None, None, None
+    for frame in frames:
+        for ingested, version, where, row in zip(frame["ingested_at"], frame["row_version"], frame["place"], frame["payload"]):
+            ingested = ingested if isinstance(ingested, str) else None
+            if best is None or rank(ingested, int(version)) > best:
+                best, held, place, payload = rank(ingested, int(version)), (ingested, int(version)), where, row
+    if held is not None:
+        state.update((*held, place))
+        yield pd.DataFrame({"job_id": [key[0]], "place": [place], "earlier": [known[2] if known else None], "payload": [payload]})
+
+
+def _files(spark: SparkSession, path: str):
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
+
+
+def read_manifest(spark: SparkSession, jobs_path: str, before: int | None = None) -> dict[str, int]:
+    """Month folder to the version that holds it, from the newest manifest (of a batch *before* the given one)."""
+    fs, folder = _files(spark, f"{jobs_path}/{MANIFESTS}")
+    if not fs.exists(folder):
+        return {}
+    batches = [int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit()]
+    batches = [b for b in batches if before is None or b < before]
+    if not batches:
+        return {}
+    lines = spark.read.text(f"{jobs_path}/{MANIFESTS}/{max(batches)}").collect()  # one line
+    return json.loads(lines[0]["value"])
+
+
+def _write_manifest(spark: SparkSession, jobs_path: str, batch: int, months: dict[str, int]) -> None:
+    """Put a manifest in place by a rename, so that readers see the one before or all of this one."""
+    fs, temporary = _files(spark, f"{jobs_path}/{MANIFESTS}/.{batch}")
+    _, final = _files(spark, f"{jobs_path}/{MANIFESTS}/{batch}")
+    out = fs.create(temporary, True)
+    out.write(bytearray(json.dumps(months, sort_keys=True).encode()))
+    out.close()
+    if fs.exists(final):  # left by a run of the same batch that did not end
+        fs.delete(final, False)
+    if not fs.rename(temporary, final):
+        raise OSError(f"no manifest for batch {batch} in {jobs_path}")
+
+
+def _months(spark: SparkSession, jobs_path: str, months: dict[str, int]) -> DataFrame:
+    """The rows of some month folders."""
+    if not months:
+        return spark.createDataFrame([], JOBS)
+    paths = [f"{jobs_path}/{VERSION}={version}/{place}" for place, version in sorted(months.items())]
+    rows = spark.read.option("basePath", jobs_path).schema(T.StructType([*JOBS.fields, T.StructField(VERSION, T.LongType())])).parquet(*paths)
+    return rows.select(*JOBS.fieldNames())
+
+
+def merge_batch(spark: SparkSession, jobs_path: str, batch_id: int, newer: DataFrame) -> None:
+    """Put the newest versions of some jobs in the place of their earlier ones.
+
+    Months that gain or lose a row are written anew, without the earlier versions, into a folder of this batch; then a new
+    manifest names it for these months. A batch that is run again starts from the manifest before it and overwrites its own
+    folder, so nothing is lost or doubled; readers go on with the folders of the manifest they have read.
+    """
+    incoming = f"{jobs_path}/{INCOMING}/{batch_id}"
+    newer.write.mode("overwrite").parquet(incoming)  # the stateful plan runs once
+    rows = spark.read.parquet(incoming)
+    jobs = nz.filter_has_description(rows.select(F.from_json("payload", JOBS).alias("r")).select("r.*"))
+    places = rows.select(F.explode(F.array("place", "earlier")).alias("place")).where("place IS NOT NULL").distinct()
+    touched = {r["place"] for r in places.collect()}  # months
+    months = read_manifest(spark, jobs_path, before=batch_id)
+    kept = _months(spark, jobs_path, {p: v for p, v in months.items() if p in touched}).join(rows.select("job_id"), "job_id", "left_anti")
+    target = f"{jobs_path}/{VERSION}={batch_id}"
+    merged = kept.select(*JOBS.fieldNames()).unionByName(jobs)
+    merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*PARTITIONS).parquet(target)
+    months = {p: v for p, v in months.items() if p not in touched}
+    fs, folder = _files(spark, target)
+    for year in fs.listStatus(folder):
+        if year.isDirectory():
+            months |= {f"{year.getPath().getName()}/{m.getPath().getName()}": batch_id for m in fs.listStatus(year.getPath()) if m.isDirectory()}
+    _write_manifest(spark, jobs_path, batch_id, months)
+    fs, path = _files(spark, incoming)
+    fs.delete(path, True)
+
+
 def stream_ingest(
     stream: DataFrame, jobs_path: str, checkpoint: str, vocabulary: Vocabulary = ETL_VOCABULARY,
     as_of: Column | dt.date | str | None = None, once: bool = True,
 ) -> StreamingQuery:
-    """Clean each micro-batch like the batch job and write its newest row per job below its own batch folder.
+    """Keep the jobs table up to date: one row per job, the newest by ``ingested_at``, however late rows arrive.
 
-    No row is too late: which row of a job counts is decided by ``ingested_at`` over all batches when they are read, as
-    the batch job does. A batch that is retried after a failure overwrites exactly its folder, so nothing is lost or
-    doubled, and months written by earlier batches are never touched. Months are folders within a batch.
+    The state of the stream holds time and version of each job's newest row and the month it stands in, so rows that are
+    not newer go no further, and a row that moves to another month is found. Each micro-batch is merged into the months it
+    touches (:func:`merge_batch`). The result equals the batch job over the same files. For many jobs set
+    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.
     """
+    rows = etl_jobs(stream, vocabulary, as_of, versions=True, every=True)
+    folder = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(UNDATED))) for c in PARTITIONS]
+    slim = rows.select(
+        "job_id", "ingested_at", "row_version", F.concat_ws("/", *folder).alias("place"), F.to_json(F.struct(*JOBS.fieldNames())).alias("payload")
+    )
+    newer = slim.groupBy("job_id").applyInPandasWithState(_newer, _NEWER, _STATE, "update", GroupStateTimeout.NoTimeout)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        versions = etl_jobs(batch, vocabulary, as_of, versions=True)
-        options = {"partitionOverwriteMode": "static"}
-        versions.write.mode("overwrite").options(**options).partitionBy("year", "month").parquet(f"{jobs_path}/{BATCH}={batch_id}")
+        merge_batch(batch.sparkSession, jobs_path, batch_id, batch)
 
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = newer.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 
 
+def remove_old_versions(spark: SparkSession, jobs_path: str, keep: int = 2) -> list[int]:
+    """Remove the folders that none of the last *keep* manifests names, and all manifests before them."""
+    fs, folder = _files(spark, f"{jobs_path}/{MANIFESTS}")
+    batches = sorted(int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit())
+    kept = batches[-keep:]
+    used = {version for batch in kept for version in read_manifest(spark, jobs_path, before=batch + 1).values()}
+    gone = []
+    for status in fs.listStatus(_files(spark, jobs_path)[1]):
+        name = status.getPath().getName()
+        if name.startswith(f"{VERSION}=") and int(name[2:]) not in used and int(name[2:]) <= max(kept, default=-1):
+            fs.delete(status.getPath(), True)
+            gone.append(int(name[2:]))
+    for batch in batches[:-keep]:
+        fs.delete(_files(spark, f"{jobs_path}/{MANIFESTS}/{batch}")[1], False)
+    return sorted(gone)
+
+
 def ingested_jobs(spark: SparkSession, jobs_path: str) -> DataFrame:
-    """The jobs table over all batches; equal to the batch job over the same files."""
-    batches = spark.read.option("basePath", jobs_path).parquet(jobs_path).drop(BATCH)
-    return newest_jobs(batches).select(*JOBS.fieldNames())
+    """The jobs table as of the last merged batch: one version per job is all that is stored in what is read."""
+    return _months(spark, jobs_path, read_manifest(spark, jobs_path))
 
 
 def ingested_job_skills(spark: SparkSession, jobs_path: str) -> DataFrame:

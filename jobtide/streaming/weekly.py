@@ -6,12 +6,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from jobtide.streaming.ingest import BATCH, LATENESS
 
 #: Windows count from 1970-01-01, a Thursday; four days later is a Monday.
 MONDAY = "4 days"
 
 
+#: Fixed value: postings are delivered for up to a week.
+LATENESS = "7 days"
+BATCH = "batch_id"
+
+
 def stream_weekly_demand(stream: DataFrame, time: str = "posted_ts", skill: str = "skill", lateness: str = LATENESS) -> DataFrame:
     """Rows per skill and Monday week; weeks older than the lateness are final and leave the state."""
     counted = (

@@ -239,3 +239,50 @@ def test_stream_ingest_resumes(spark, tmp_path):
     assert sorted(jobs, key=str) == sorted(whole, key=str) and "Senior Analyst" in {r.title for r in jobs}
     assert sorted(r.job_id for r in jobs) == ["p-17", "p-18"]
     assert ingest.ingested_job_skills(spark, out).count() == 6
+    # A read opens one version per job, and only the months' current folders.
+    opened = spark.read.parquet(*{f.rsplit("/", 1)[0] for f in ingest.ingested_jobs(spark, out).inputFiles()})
+    assert opened.count() == len(jobs)
+
+
+def test_stream_ingest_moves_retries_and_cleans_up(spark, tmp_path):
+    source, out, state = (str(tmp_path / n) for n in ("raw", "jobs", "state"))
+    (tmp_path / "raw").mkdir()
+
+    def deliver(name, *records):
+        (tmp_path / "raw" / f"{name}.json").write_text("\n".join(json.dumps(r) for r in records))
+        ingest.stream_ingest(ingest.read_raw_stream(spark, source), out, state).awaitTermination()
+        got = sorted(ingest.ingested_jobs(spark, out).collect(), key=str)
+        assert got == sorted(etl.etl_jobs(spark.read.schema(RAW_POSTING).json(source)).collect(), key=str)
+        return got
+
+    def row(job, day, at, title="t", text="python"):
+        return {"job_id": job, "title": title, "description": text, "posted_date": f"{day}T00:00:00Z", "ingested_at": f"2025-11-{at:02d}T00:00:00Z"}
+
+    assert len(deliver("one", row("a", "2025-01-05", 1), row("b", "2025-01-06", 1), row("c", "2025-02-01", 5))) == 3
+    first = ingest.read_manifest(spark, out)
+    moved = deliver("two", row("a", "2025-03-09", 2), row("c", "2025-02-01", 4, "older"), row("d", "2025-02-02", 1))
+    assert [(r.job_id, r.month) for r in moved] == [("a", 3), ("b", 1), ("c", 2), ("d", 2)]
+    second = ingest.read_manifest(spark, out)
+    assert set(first) == {"year=2025/month=1", "year=2025/month=2"} and set(second) == set(first) | {"year=2025/month=3"}
+    # A late row that is not newer touches nothing.
+    deliver("three", row("a", "2025-05-01", 1, "late"))
+    assert ingest.read_manifest(spark, out) == second
+    # The last batch again, as after a failure between the folder and the manifest.
+    batch = max(second.values())
+    again = spark.createDataFrame(
+        [(r.job_id, f"year={r.year}/month={r.month}", "year=2025/month=1" if r.job_id == "a" else None, json.dumps(r.asDict(), default=str)) for r in moved if r.job_id in "ad"],
+        "job_id string, place string, earlier string, payload string",
+    )
+    ingest.merge_batch(spark, out, batch, again)
+    assert ingest.read_manifest(spark, out, before=batch + 1) == second
+    assert sorted(ingest.ingested_jobs(spark, out).collect(), key=str) == moved
+    withdrawn = deliver("four", row("b", "2025-01-06", 9, text=None))
+    assert "b" not in {r.job_id for r in withdrawn} and "year=2025/month=1" not in ingest.read_manifest(spark, out)
+    ingest.remove_old_versions(spark, out, keep=1)
+    assert sorted(ingest.ingested_jobs(spark, out).collect(), key=str) == withdrawn
+    left = {p.name for p in (tmp_path / "jobs").iterdir() if p.name.startswith("v=")}
+    assert left == {f"v={v}" for v in ingest.read_manifest(spark, out).values()}
+
+
+def test_ingested_jobs_before_the_first_batch(spark, tmp_path):
+    assert ingest.ingested_jobs(spark, str(tmp_path / "none")).collect() == []
