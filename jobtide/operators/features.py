@@ -101,16 +101,20 @@ def feat_rolling(df: DataFrame, keys: Keys = SERIES, spans: Sequence[int] = SPAN
 def feat_ema4(df: DataFrame, keys: Keys = SERIES, span: int = 4) -> DataFrame:
     """Exponentially weighted mean: y0 = x0, then y = a*x + (1-a)*y with a = 2/(span+1).
 
-    A row's value is folded over a bounded frame of rows before it, so long that what lies farther back weighs less
-    than a double can tell. So no series is gathered, and the frame shares the order of the other windows.
+    The distance e = x - y follows e = (1-a) * (e before + change of x), so it is a scan with affine maps, and maps compose:
+    a row that holds the distance over its last n rows takes that of the row n before, times (1-a)^n, and then holds it over
+    2n. A few such steps reach back until the weight is less than a double can tell. All lags share one order, and no row
+    holds more than a number.
     """
-    alpha = 2.0 / (span + 1)
-    frame = _span(series_window(df, keys), math.ceil(60 / -math.log2(1.0 - alpha)))
-    # In structs, since a collected list leaves out NULLs.
-    rows = F.transform(F.collect_list(F.struct(F.col("job_count").cast("double").alias("x"))).over(frame), lambda r: r["x"])
-    later = F.slice("_frame", F.lit(2), F.greatest(F.size("_frame") - 1, F.lit(0)))
-    smoothed = F.aggregate(later, F.get("_frame", F.lit(0)), lambda y, x: x * F.lit(alpha) + y * F.lit(1.0 - alpha))
-    return df.withColumn("_frame", rows).withColumn("job_count_ema_4w", smoothed).drop("_frame")
+    keep = 1.0 - 2.0 / (span + 1)
+    window = series_window(df, keys)
+    x = F.col("job_count").cast("double")
+    df = df.withColumn("_e", F.when(F.row_number().over(window) == 1, x * 0.0).otherwise((x - F.lag(x, 1).over(window)) * F.lit(keep)))
+    back = 1
+    while keep**back > 2.0**-60:
+        df = df.withColumn("_e", F.col("_e") + F.lag("_e", back, 0.0).over(window) * F.lit(keep**back))
+        back *= 2
+    return df.withColumn("job_count_ema_4w", x - F.col("_e")).drop("_e")
 
 
 def feat_growth(df: DataFrame, keys: Keys = SERIES) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from jobtide.operators.normalize import impute_posted_date
+from jobtide.plans.store import stored
 
 JUNCTION = ("job_id", "posted_date", "salary_mid", "skill", "country", "year", "month")
 
@@ -53,21 +54,38 @@ def key_overlap(left: DataFrame, right: DataFrame, key: str = "job_id") -> DataF
     )
 
 
-def key_partial_match(left: DataFrame, right: DataFrame, key: str = "job_id") -> DataFrame:
+def _grams(column: str, sizes: Column) -> Column:
+    """The distinct substrings of the given sizes."""
+    def of_size(n: Column) -> Column:
+        begins = F.when(F.length(column) >= n, F.sequence(F.lit(1), F.length(column) - n + 1)).otherwise(F.array().cast("array<int>"))
+        return F.transform(begins, lambda begin: F.substring(F.col(column), begin, n))
+
+    return F.array_distinct(F.flatten(F.transform(sizes, of_size)))
+
+
+def key_partial_match(left: DataFrame, right: DataFrame, key: str = "job_id", size: int = 3, rows_per_block: int = 10_000) -> DataFrame:
     """All pairs of a left and a right key of which one contains the other.
 
-    A key is cut into its substrings, a number bounded by its own length, and these are joined to the keys of the other
-    side, so the answer is complete without comparing all keys with each other. Take a top-k of it to show some.
+    A key that another one contains shares with it every substring of *size* characters (a shorter key: itself). The one
+    that the fewest other keys have is its seed; keys with that seed are candidates, and containment decides. So the
+    work grows with the length of a key, not with its square. The keys that have a frequent seed are dealt to blocks of
+    about *rows_per_block*, and a key with that seed meets each block. Take a top-k of the result to show some.
     """
 
     def keys(df: DataFrame, name: str) -> DataFrame:
         return df.select(F.col(key).cast("string").alias(name)).filter(F.length(name) > 0).distinct()
 
     def within(outer: DataFrame, inner: DataFrame, whole: str, piece: str) -> DataFrame:
-        begins = outer.select(whole, F.explode(F.sequence(F.lit(1), F.length(whole))).alias("_begin"))
-        sizes = F.sequence(F.lit(1), F.length(whole) - F.col("_begin") + 1)
-        pieces = begins.select(whole, F.explode(F.transform(sizes, lambda n: F.substring(F.col(whole), F.col("_begin"), n))).alias(piece))
-        return pieces.join(inner, piece).select("left_key", "right_key")
+        had = outer.select(whole, F.explode(_grams(whole, F.sequence(F.lit(1), F.lit(size)))).alias("gram"))
+        counts = stored(had.groupBy("gram").agg(F.count(F.lit(1)).alias("n")), "gram_counts")
+        own = inner.select(piece, F.explode(_grams(piece, F.array(F.least(F.lit(size), F.length(piece))))).alias("gram"))
+        ranked = own.join(counts, "gram", "left").select(piece, F.struct(F.coalesce("n", F.lit(0)).alias("n"), "gram").alias("seed"))
+        seeds = ranked.groupBy(piece).agg(F.min("seed").alias("seed")).select(piece, "seed.n", "seed.gram").filter("n > 0")
+        seeds = stored(seeds.withColumn("blocks", F.ceil(F.col("n") / rows_per_block)), "seeds")
+        wanted = had.join(seeds.select("gram", "blocks").distinct(), "gram")
+        wanted = wanted.select(whole, "gram", F.pmod(F.xxhash64(whole), "blocks").alias("block"))
+        asked = seeds.select(piece, "gram", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"))
+        return wanted.join(asked, ["gram", "block"]).filter(F.contains(whole, piece)).select("left_key", "right_key")
 
     lefts, rights = keys(left, "left_key"), keys(right, "right_key")
     both = within(rights, lefts, "right_key", "left_key").unionAll(within(lefts, rights, "left_key", "right_key"))

@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import hashlib
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
@@ -286,3 +287,14 @@ def test_stream_ingest_moves_retries_and_cleans_up(spark, tmp_path):
 
 def test_ingested_jobs_before_the_first_batch(spark, tmp_path):
     assert ingest.ingested_jobs(spark, str(tmp_path / "none")).collect() == []
+
+
+def test_partial_match_equals_brute_force(spark):
+    rng = random.Random(8)
+    letters = "ab-é🙂"
+    lefts = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 7))) for _ in range(150)] + ["hot-" + str(i) for i in range(60)] + [None]
+    rights = ["".join(rng.choice(letters) for _ in range(rng.randrange(0, 12))) for _ in range(150)] + [f"x hot-{i} y" for i in range(60)] + ["hot"]
+    frames = [spark.createDataFrame([(k,) for k in keys], "job_id string") for keys in (lefts, rights)]
+    want = sorted({(a, b) for a in lefts for b in rights if a and b and (a in b or b in a)})
+    for block in (10_000, 7):
+        assert sorted(map(tuple, relations.key_partial_match(*frames, rows_per_block=block).collect())) == want
