@@ -183,6 +183,16 @@ def _extracted(key):
     return query
 
 
+def _extracted_from_table(spark, sf):
+    """Terms of the data: the first one, two and three words of the benchmark's texts, searched for in all documents."""
+    begins = F.split(F.lower("text"), " ")
+    phrases = F.transform(F.sequence(F.lit(1), F.lit(3)), lambda n: F.array_join(F.slice(begins, 1, n), " "))
+    terms = table(spark, sf, "benchmark").select(F.explode(phrases).alias("spelling")).where(F.length("spelling") > 0).distinct()
+    vocabulary = terms.select(F.replace("spelling", F.lit(" "), F.lit("_")).alias("name"), "spelling")
+    found = extract.extract_skills_from(postings(spark, sf), vocabulary, "description")
+    return found.select("job_id", F.concat_ws("|", "extracted_skills").alias("skills"))
+
+
 def _skill_lists(spark, sf):
     """Skill sets written in each of the accepted text forms, by the size of the set."""
     sets = job_skill_sets(spark, sf)
@@ -354,6 +364,7 @@ QUERIES = {
     "list_categories": lambda spark, sf: nz.list_categories(_jobs(spark, sf)),
     "salary_histogram": lambda spark, sf: rounded(nz.salary_histogram(_jobs(spark, sf), 25_000.0, what="rest")),
     **{key: _extracted(key) for key in VOCABULARIES},
+    "extract_skills_from": _extracted_from_table,
     "skill_count": _counted,
     "skills_passthrough": _passed,
     "parse_skill_list": lambda spark, sf: flat(_skill_lists(spark, sf)),
@@ -560,6 +571,17 @@ ORDER BY posted_date DESC, job_id LIMIT 20 OFFSET 20""",
 SELECT floor(salary_mid_usd / 25000) * 25000 AS salary_from, count(*) AS job_count FROM jobs
 WHERE salary_mid_usd IS NOT NULL AND lower(title || ' ' || description) LIKE '%rest%' GROUP BY 1""",
     **{key: _documents_sql(f"{extraction_sql(vocabulary)} AS skills") for key, vocabulary in VOCABULARIES.items()},
+    "extract_skills_from": r"""
+WITH w AS (SELECT string_split(lower(text), ' ') AS w FROM benchmark),
+t AS (SELECT DISTINCT array_to_string(w[:n], ' ') AS s FROM w, range(1, 4) r(n)),
+v AS (
+  SELECT s, CASE WHEN regexp_matches(s, '^[\p{L}\p{N}_]') THEN '(^|[^\p{L}\p{N}_])' ELSE '[\p{L}\p{N}_]' END
+    || regexp_escape(s) || CASE WHEN regexp_matches(s, '[\p{L}\p{N}_]$') THEN '([^\p{L}\p{N}_]|$)' ELSE '[\p{L}\p{N}_]' END AS p
+  FROM t WHERE s <> ''),
+d AS (SELECT doc_id, lower(text) AS t FROM documents),
+f AS (SELECT doc_id, string_agg(replace(s, ' ', '_'), '|' ORDER BY encode(replace(s, ' ', '_'))) AS skills
+  FROM d JOIN v ON contains(t, s) AND regexp_matches(t, p) GROUP BY doc_id)
+SELECT CAST(doc_id AS VARCHAR) AS job_id, coalesce(skills, '') AS skills FROM documents LEFT JOIN f USING (doc_id)""",
     "skill_count": _documents_sql(
         f"CAST(CASE WHEN {extraction_sql(TEXT_VOCABULARY)} = '' THEN 0 "
         f"ELSE len(string_split({extraction_sql(TEXT_VOCABULARY)}, '|')) END AS INTEGER) AS skill_count"

@@ -1,6 +1,8 @@
+import random
 import re
 
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from jobtide.functions.vocabulary import (
@@ -95,3 +97,32 @@ def test_categories(spark):
         "python": ("Languages", "languages"), "machine_learning": ("ML & AI", "ml"), "machine learning": ("Other", "ml"),
         "cobol": ("Other", "other"),
     }
+
+
+def test_vocabulary_of_thousands_equals_a_search_per_term(spark):
+    rng = random.Random(4)
+    parts = ["java", "c++", "c#", ".net", "node", "é", "ß1", "go", "-", "x_y", "r&d", "\\E", "a.b", "(", "js"]
+    words = parts + [f"w{i}" for i in range(3_000)]
+    terms = {" ".join(rng.choice(words) for _ in range(rng.choice((1, 1, 2, 3)))) for _ in range(5_500)}
+    terms |= {"c++", ".net", "++", "-", "java", "java script", "\\E"}
+    text_words = words[:15] * 20 + words
+    texts = ["".join(rng.choice(text_words) + rng.choice((" ", " ", ", ", "", "\n")) for _ in range(rng.randrange(0, 120))).upper() for _ in range(60)]
+    texts += [None, "", "Java", "C++11 c++ .NET asp.net", " - "]
+    vocabulary = spark.createDataFrame([(f"n:{t}", t) for t in sorted(terms)], "name string, spelling string")
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, description string")
+    out = extract.extract_skills_from(df, vocabulary)
+    patterns = {t: regex.compile(python_pattern(t.lower())) for t in terms}
+    for row in out.collect():
+        lowered = (texts[row.id] or "").lower()
+        want = sorted((f"n:{t}" for t in terms if t.lower() in lowered and patterns[t].search(lowered)), key=str.encode)
+        assert row.extracted_skills == want, row.id
+    small = extract.extract_skills_from(df, vocabulary.limit(3))
+    length = lambda frame: len(frame._jdf.queryExecution().analyzed().toString())
+    assert length(out) < 2 * length(small)
+    assert extract.extract_skills_from(df, vocabulary.limit(0)).select(F.max(F.size("extracted_skills"))).first()[0] == 0
+
+
+def python_pattern(term):
+    word = r"[\p{L}\p{N}_]"
+    before = f"(?<!{word})" if regex.match(word, term[0]) else f"(?<={word})"
+    return before + regex.escape(term) + (f"(?!{word})" if regex.match(word, term[-1]) else f"(?={word})")
