@@ -6,6 +6,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -61,32 +62,74 @@ def cuts(data: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 
 CONTEXT = ["t", "left", "h1", "h2", "at", "beside"]
+#: More than any agreement.
+FAR = BESIDE + 2
 
 
 def _grown(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How far each of the sorted contexts of a partition agrees with that of another text, and which rows are at its edges.
+    """How far each of the sorted contexts of a partition agrees with that of another text.
 
-    Edges are the rows of the first and the last text and the rows next to them: what rows of other partitions are compared to.
+    Rows of the first and the last text of a partition may agree more with rows of its neighbours. They are returned with
+    their contexts, what is known so far (``forward``, ``backward``) and what a value from before the partition, or from
+    behind it, is limited to on its way to them (``from_first``, ``from_last``); all other rows with their gain.
     """
-    parts = [batch.select(CONTEXT) for batch in batches if batch.num_rows]
+    parts = [batch.select([*CONTEXT, "part"]) for batch in batches if batch.num_rows]
     if not parts:
         return
     rows = pa.Table.from_batches(parts).combine_chunks()
-    found = _agreements(rows)
-    text = rows.column("t").to_numpy()
-    changes = np.flatnonzero(text[1:] != text[:-1])
-    edges = np.ones(len(text), bool)
-    if len(changes):
-        edges[changes[0] + 2 : changes[-1]] = False
-    for begin in range(0, len(text), PIECE):
+    text, agree = rows.column("t").to_numpy(), _agreements(rows)
+    n = len(text)
+    forward, backward = _passed_on(text, agree), _passed_on(text[::-1], agree[::-1])[::-1]
+    first, last = text == text[0], text == text[-1]
+    first[np.argmin(first) if not first.all() else n :] = False
+    last[: n - np.argmin(last[::-1]) if not last.all() else 0] = False
+    limits = np.concatenate([[FAR], agree])
+    from_first = np.where(first, np.minimum.accumulate(limits), 0)
+    limits = np.concatenate([agree, [FAR]])
+    from_last = np.where(last, np.minimum.accumulate(limits[::-1])[::-1], 0)
+    edge = first | last
+    for begin in range(0, n, PIECE):
         piece = rows.slice(begin, PIECE).combine_chunks()
-        gain, words = _gain(piece, found[begin : begin + PIECE])
+        at = slice(begin, begin + PIECE)
+        gain, words = _gain(piece, np.maximum(forward[at], backward[at]))
+        shown = pa.array(edge[at])
+        beside = pc.if_else(shown, piece.column("beside").combine_chunks(), pa.scalar(None, pa.binary()))
+        numbers = [pa.array(values[at].astype(np.int32)) for values in (forward, backward, from_first, from_last)]
+        known = [pc.if_else(shown, pa.scalar(None, pa.int32()), pa.array(values)) for values in (gain, words)]
+        place = pa.array(np.arange(begin, begin + piece.num_rows))
+        columns = [piece.column(name).combine_chunks() for name in CONTEXT[:-1]]
         yield pa.RecordBatch.from_arrays(
-            [*piece.to_batches()[0].columns, pa.array(gain), pa.array(words), pa.array(edges[begin : begin + PIECE])],
-            [*CONTEXT, "gain", "words", "edge"],
+            [*columns, beside, piece.column("part").combine_chunks(), place, *numbers, *known],
+            [*CONTEXT, "part", "place", "forward", "backward", "from_first", "from_last", "gain", "words"],
         )
 
 
+def _passed_on(text: np.ndarray, agree: np.ndarray) -> np.ndarray:
+    """Agreement of each row with the rows of other texts before it: that of its neighbour, or what the rows of its own text
+    in between let through."""
+    found, known = [0] * len(text), 0
+    for i, (other, a) in enumerate(zip((text[1:] != text[:-1]).tolist(), agree.tolist()), 1):
+        known = a if other else min(known, a)
+        found[i] = known
+    return np.array(found, np.int64)
+
+
+def _across(ends: list, backwards: bool) -> dict[int, int]:
+    """What comes into each partition from those before it, or behind it: *ends* holds its first and its last row, in order."""
+    near, far = ("forward", "from_first") if not backwards else ("backward", "from_last")
+    known, out = None, {}
+    for first, last in reversed(ends) if backwards else ends:
+        inner, outer = (last, first) if backwards else (first, last)
+        if known is not None:
+            before, value = known
+            pair = pa.Table.from_pylist([{name: row[name] for name in CONTEXT} for row in ((inner, before) if backwards else (before, inner))])
+            agree = int(_agreements(pair)[0])
+            out[inner["part"]] = agree if before["t"] != inner["t"] else min(value, agree)
+        # The row at the other end passes on what it has, or what came in through rows of one text only.
+        known = outer, max(outer[near], min(out.get(inner["part"], 0), outer[far]))
+    return out
+
+
 def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     values = rows.column("beside").to_pylist()
     joined = b"".join(value.ljust(BESIDE + 2, b" ") for value in values)
@@ -94,8 +137,8 @@ def _matrix(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _agreements(rows: pa.Table) -> np.ndarray:
-    """Bytes in which each of the sorted contexts agrees with the nearest ones of other texts with the same chunk at most."""
-    agree = []
+    """Bytes in which each of the sorted contexts agrees with the next one, if that is beside the same chunk."""
+    agree = [np.zeros(0, np.int64)]
     for begin in range(0, rows.num_rows, PIECE):
         piece = rows.slice(begin, PIECE + 1)
         matrix, size = _matrix(piece)
@@ -105,20 +148,14 @@ def _agreements(rows: pa.Table) -> np.ndarray:
             same &= column[1:] == column[:-1]
         differ = matrix[1:] != matrix[:-1]
         common = np.where(differ.any(1), differ.argmax(1), BESIDE + 2)
-        agree += np.where(same, np.minimum(common, np.minimum(size[1:], size[:-1])), 0).tolist()
-    text = rows.column("t").to_pylist()
-    forward, backward = [0] * len(text), [0] * len(text)
-    for i in range(1, len(text)):
-        forward[i] = agree[i - 1] if text[i] != text[i - 1] else min(forward[i - 1], agree[i - 1])
-    for i in range(len(text) - 2, -1, -1):
-        backward[i] = agree[i] if text[i] != text[i + 1] else min(backward[i + 1], agree[i])
-    return np.clip(np.maximum(forward, backward), 1, BESIDE + 1)
+        agree.append(np.where(same, np.minimum(common, np.minimum(size[1:], size[:-1])), 0))
+    return np.concatenate(agree)
 
 
 def _gain(rows: pa.Table, found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Code points and words in agreements of *found* bytes; contexts begin with the byte of the chunk beside them."""
     matrix, size = _matrix(rows)
-    wide = BESIDE + 2
+    found, wide = np.clip(found, 1, BESIDE + 1), BESIDE + 2
     # Back to a whole word: the context has a blank, or ends, behind the agreement.
     blank = BLANK[matrix]
     at = np.arange(wide)
@@ -142,7 +179,7 @@ def repeated_passages(
 
     Whole texts are cut into chunks where their content says so, and chunks with equal 128-bit digests are duplicates. A
     run of chunks that each occur in at least two rows is grown to both sides, by whole words, as far as any other text
-    with its outermost chunk agrees; a passage is a grown run of at least *min_words* words. A repetition of 223 bytes has
+    with its outermost chunk agrees; grown runs that overlap are one passage, if it has at least *min_words* words. A repetition of 223 bytes has
     a shared chunk wherever it stands, so all of about 50 words are found, and most shorter ones. In a stretch that repeats itself, which
     agrees with itself when shifted too, less than a chunk may be missing at an end.
 
@@ -204,7 +241,7 @@ def repeated_passages(
     digest = F.struct("h1", "h2")
     runs = stored(runs.groupBy("rid", "t", "run").agg(
         F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"),
-        (F.max("words") - F.min("before")).alias("words"), F.max("n").alias("n_rows"),
+        F.min("before").alias("before"), F.max("words").alias("words"), F.max("n").alias("n_rows"),
         F.min_by("first_id", "end").alias("first_id"), F.bool_and("original").alias("original"),
         F.min_by(digest, "end").alias("head"), F.max_by(digest, "end").alias("tail"),
     ), "runs")
@@ -214,18 +251,30 @@ def repeated_passages(
     )
     grown = runs.join(side(True, "start"), ["t", "start"], "left").join(side(False, "end"), ["t", "end"], "left")
     gained = lambda name: F.coalesce(name, F.lit(0))
-    words = (F.col("words") + gained("words_start") + gained("words_end")).cast("long")
-    return grown.select(
-        F.col("id").alias(id_col), (F.col("start") - gained("gain_start")).alias("start"),
-        (F.col("end") + gained("gain_end")).alias("end"), words.alias("words"), "n_rows", "first_id", "original",
-    ).where(F.col("words") >= min_words)
+    grown = grown.select(
+        "rid", "id", (F.col("start") - gained("gain_start")).alias("start"), (F.col("end") + gained("gain_end")).alias("end"),
+        (F.col("before") - gained("words_start")).alias("before"), (F.col("words") + gained("words_end")).alias("words"),
+        "n_rows", "first_id", "original",
+    )
+    # Grown runs that overlap are one passage.
+    earlier = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    begins = F.coalesce(F.max("end").over(earlier) <= F.col("start"), F.lit(True)).cast("int")
+    joined = Window.partitionBy("rid").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    passages = grown.withColumn("begins", begins).withColumn("passage", F.sum("begins").over(joined)).groupBy("rid", "passage").agg(
+        F.first("id").alias("id"), F.min("start").alias("start"), F.max("end").alias("end"),
+        (F.max("words") - F.min("before")).cast("long").alias("words"), F.max("n_rows").alias("n_rows"),
+        F.min_by("first_id", F.struct("start", "end")).alias("first_id"), F.bool_and("original").alias("original"),
+    )
+    return passages.where(F.col("words") >= min_words).select(
+        F.col("id").alias(id_col), "start", "end", "words", "n_rows", "first_id", "original"
+    )
 
 
 def _gains(rows: DataFrame, hits: DataFrame, runs: DataFrame) -> DataFrame:
     """Code points and words by which runs grow: ``(t, left, at, gain, words)`` by text hash, side and place.
 
     The outermost chunks of runs are looked up in all texts that have them. Their contexts are sorted over all tasks, so
-    that a chunk of very many rows is shared out; the rows at the edges of partitions are compared at the driver.
+    that a chunk of very many rows is shared out; of each partition, its first and its last row go to the driver.
     """
     ends = runs.select(F.explode(F.array(
         F.struct(F.lit(True).alias("left"), F.col("head.h1").alias("h1"), F.col("head.h2").alias("h2")),
@@ -259,13 +308,32 @@ def _gains(rows: DataFrame, hits: DataFrame, runs: DataFrame) -> DataFrame:
 
     order = ["left", "h1", "h2", "beside", "t", "at"]
     found = texts.join(wanted, "t").select("t", "text", "wanted").mapInArrow(contexts, schema)
-    found = found.repartitionByRange(*order).sortWithinPartitions(*order)
-    grown = stored(found.mapInArrow(_grown, f"{schema}, gain int, words int, edge boolean"), "grown")
-    gains = grown.select("t", "left", "at", "gain", "words")
-    edges = grown.where("edge").select(*CONTEXT).orderBy(*order).toArrow()
-    if edges.num_rows > 1:
-        gain, words = _gain(edges, _agreements(edges))
-        columns = [edges.column(n).to_pylist() for n in ("t", "left", "at")]
-        more = list(zip(*columns, gain.tolist(), words.tolist(), strict=True))
-        gains = gains.unionAll(rows.sparkSession.createDataFrame(more, gains.schema))
+    found = found.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("part", F.spark_partition_id())
+    kinds = "part int, place long, forward int, backward int, from_first int, from_last int, gain int, words int"
+    grown = stored(found.mapInArrow(_grown, f"{schema}, {kinds}"), "grown")
+    # Two rows of each partition: the agreements across partitions follow from them.
+    edges = grown.where("beside IS NOT NULL")
+    bounds = edges.groupBy("part").agg(F.min("place").alias("low"), F.max("place").alias("high")).withColumnRenamed("part", "of")
+    outer = edges.join(bounds, (F.col("part") == F.col("of")) & ((F.col("place") == F.col("low")) | (F.col("place") == F.col("high"))))
+    ends: dict[int, list] = {}
+    for row in sorted(outer.drop("of", "low", "high").collect(), key=lambda r: (r["part"], r["place"])):
+        ends.setdefault(row["part"], []).append(row)
+    pairs = [(rows[0], rows[-1]) for _, rows in sorted(ends.items())]
+    before, behind = _across(pairs, False), _across(pairs, True)
+
+    def settled(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known = {name: batch.column(name).to_numpy() for name in ("part", "forward", "backward", "from_first", "from_last")}
+            far = [np.array([values.get(part, 0) for part in known["part"].tolist()], np.int64) for values in (before, behind)]
+            best = np.maximum(
+                np.maximum(known["forward"], np.minimum(far[0], known["from_first"])), np.maximum(known["backward"], np.minimum(far[1], known["from_last"]))
+            )
+            gain, words = _gain(pa.Table.from_batches([batch]), best)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("t"), batch.column("left"), batch.column("at"), pa.array(gain), pa.array(words)], ["t", "left", "at", "gain", "words"]
+            )
+
+    gains = grown.where("beside IS NULL").select("t", "left", "at", "gain", "words").unionAll(
+        edges.drop("gain", "words").mapInArrow(settled, "t long, left boolean, at int, gain int, words int")
+    )
     return gains.groupBy("t", "left", "at").agg(F.max("gain").alias("gain"), F.max("words").alias("words"))
