@@ -11,9 +11,10 @@ from jobtide.functions.vocabulary import (
     ALIASES, ALIAS_TERMS, BULK_TERMS, CATEGORY_SKILLS, ETL_TERMS, FLAT_TERMS, MODEL_CATEGORY_SKILLS, Vocabulary,
     model_category, skill_category,
 )
-from jobtide.operators import dedup, demand, extract, normalize as nz, pairs, relations
+from jobtide.operators import dedup, demand, extract, normalize as nz, pairs, relations, search
 from jobtide.plans import etl
 from jobtide.plans.registered.common import BRAND_GROUPS, JOB_SKILLS_SQL, category_sql, r, rounded
+from jobtide.session import scratch_path
 from jobtide.sources.driver_tables import (
     TEXT_VOCABULARY, as_of, event_postings, job_skill_sets, job_skills, payload, postings, table,
 )
@@ -175,6 +176,17 @@ def _search(spark, sf):
     return rounded(page.select("job_id", "title", "posted_date", "salary_min_usd"))
 
 
+def _indexed_search(spark, sf):
+    """The second page of the same search, behind the last row of the first one."""
+    path = scratch_path(spark, "index")
+    search.write_search_index(_jobs(spark, sf), path)
+    options = dict(what="rest building", where="nation_1", max_days_old=1000, salary_min=20_000, results_per_page=20, as_of=as_of(spark, sf))
+    first = search.search_index(spark, path, **options).collect()
+    after = (first[-1]["posted_date"], first[-1]["job_id"]) if first else None
+    page = search.search_index(spark, path, after=after, **options)
+    return rounded(page.select("job_id", "title", "posted_date", "salary_min_usd"))
+
+
 def _extracted(key):
     def query(spark, sf):
         found = extract.extract_skills(postings(spark, sf), "description", VOCABULARIES[key])
@@ -361,6 +373,7 @@ QUERIES = {
     "project_bulk_jobs": _project_bulk,
     "clean_skill": lambda spark, sf: nz.clean_skill(_dirty_skills(spark, sf)),
     "search_postings": _search,
+    "search_index": _indexed_search,
     "list_categories": lambda spark, sf: nz.list_categories(_jobs(spark, sf)),
     "salary_histogram": lambda spark, sf: rounded(nz.salary_histogram(_jobs(spark, sf), 25_000.0, what="rest")),
     **{key: _extracted(key) for key in VOCABULARIES},
@@ -565,6 +578,12 @@ SELECT job_id, title, posted_date, {r('salary_min_usd')} FROM jobs
 WHERE lower(title || ' ' || description) LIKE '%rest%' AND lower(title || ' ' || description) LIKE '%building%'
   AND lower(location) LIKE '%nation_1%' AND salary_min_usd >= 20000
   AND posted_date >= (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 1000
+ORDER BY posted_date DESC, job_id LIMIT 20 OFFSET 20""",
+    "search_index": JOBS_SQL + f"""
+SELECT job_id, title, posted_date, {r('salary_min_usd')} FROM jobs
+WHERE list_has_all(regexp_split_to_array(lower(title || ' ' || description), '[^a-z0-9_]+'), ['rest', 'building'])
+  AND lower(location) LIKE '%nation_1%' AND salary_min_usd >= 20000
+  AND posted_date >= (SELECT max(CAST(o_orderdate AS DATE)) FROM orders) - 1000
 ORDER BY posted_date DESC, job_id LIMIT 20 OFFSET 20""",
     "list_categories": JOBS_SQL + "SELECT country, category, count(*) AS job_count FROM jobs GROUP BY country, category",
     "salary_histogram": JOBS_SQL + """
