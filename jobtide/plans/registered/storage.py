@@ -120,6 +120,20 @@ def _repair_partitions(spark, sf):
     return rounded(spark.sql(f"SELECT * FROM {database}.job_skills"))
 
 
+def _united_view(spark, sf):
+    """The catalog view over the scraped and the bulk junction."""
+    root, database = scratch_path(spark, "db"), f"market_{uuid.uuid4().hex[:8]}"
+    js = job_skills(spark, sf)
+    sinks.write_job_skills(js.filter(F.col("year") < 1998), f"{root}/scraped")
+    bulk = js.filter(F.col("year") >= 1998).withColumnRenamed("salary_mid_usd", "salary_mid")
+    sinks.write_job_skills(bulk.withColumn("posted_date", F.col("posted_date").cast("timestamp")), f"{root}/bulk")
+    sinks.register_tables(
+        spark, database, job_skills=f"{root}/scraped", bulk_job_skills=f"{root}/bulk", database_location=f"{root}/database"
+    )
+    sinks.repair_partitions(spark, f"{database}.job_skills", f"{database}.job_skills_bulk")
+    return rounded(readers.read_view(spark, f"{database}.job_skills_all"))
+
+
 def _created_view(spark, sf):
     views.create_views(spark, job_skills(spark, sf))
     return rounded(spark.sql("SELECT * FROM vw_top_skills"))
@@ -175,6 +189,7 @@ QUERIES = {
     "read_training_table": _training_table,
     "read_view": _read_view,
     "register_tables": _register_tables,
+    "job_skills_all": _united_view,
     "repair_partitions": _repair_partitions,
     "create_views": _created_view,
     "etl_jobs": _etl_from_files,
@@ -206,6 +221,8 @@ SELECT job_id, posted_date, country, {r('salary_mid_usd')}, skill, year,
 SELECT {_ALL}, 'parquet' AS source FROM jsv UNION ALL SELECT {_ALL}, 'csv' FROM jsv""",
     "read_view": DEMAND_SQL["vw_salary_by_country"],
     "register_tables": POSTING_SQL["project_jobs"],
+    "job_skills_all": JOB_SKILLS_SQL + f"""
+SELECT job_id, posted_date, country, {r('salary_mid_usd')}, skill, year, month FROM jsv""",
     "repair_partitions": JOB_SKILLS_SQL + f"SELECT {_ALL} FROM jsv",
     "create_views": DEMAND_SQL["vw_top_skills"],
     "etl_jobs": JOBS_SQL + f"""

@@ -78,7 +78,7 @@ def register_tables(
     spark: SparkSession, database: str, jobs: str | None = None, job_skills: str | None = None,
     bulk_jobs: str | None = None, bulk_job_skills: str | None = None, database_location: str | None = None,
 ) -> None:
-    """External tables over the given folders, plus the united view when both junctions are there."""
+    """External tables over the given folders, plus the united view ``job_skills_all`` when both junctions are there."""
     where = f" LOCATION '{database_location}'" if database_location else ""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}{where}")
     for name, schema, location in (
@@ -87,6 +87,13 @@ def register_tables(
     ):
         if location:
             _create_table(spark, f"{database}.{name}", schema, location)
+    if job_skills and bulk_job_skills:
+        columns = JOB_SKILLS.fieldNames()
+        bulk = {"posted_date": "CAST(posted_date AS DATE) AS posted_date", "salary_mid_usd": "salary_mid AS salary_mid_usd"}
+        spark.sql(
+            f"CREATE OR REPLACE VIEW {database}.job_skills_all AS SELECT {', '.join(columns)} FROM {database}.job_skills "
+            f"UNION ALL SELECT {', '.join(bulk.get(c, c) for c in columns)} FROM {database}.job_skills_bulk"
+        )
 
 
 def repair_partitions(spark: SparkSession, *tables: str) -> None:
