@@ -22,8 +22,8 @@ def exact_duplicates(
     """Mark, per group of equal texts, the row that stays.
 
     Texts are equal when identical without whitespace. One pass counts lengths and prefix hashes: a row that is alone
-    with its length or, within its length, with its prefix hash is settled. Only the others are hashed in full and
-    grouped by that hash. Of a group the row with the most code points stays, then the one with the smallest id.
+    with its length or, within its length, with its prefix hash is settled. Only the others are grouped by their full hash,
+    and, unless *digest_all* wants it for every row, only they are hashed in full. Of a group the row with the most code points stays, then the one with the smallest id.
 
     Returns one row per input row: the columns *carry* (default: all), then ``keep_id``, ``group_size``, ``kept`` and
     ``text_sha256`` (NULL for settled rows unless *digest_all*). Input columns of these names are replaced.
@@ -38,17 +38,16 @@ def exact_duplicates(
         packed(docs, columns).alias("row"),
     ).withColumns({"len": F.length(norm), "prefix": F.xxhash64(F.substring(norm, 1, prefix_chars))})
 
+    digest, chars, rid = F.sha2(norm, 256), F.length("text").alias("chars"), F.monotonically_increasing_id().alias("rid")
+    if digest_all:  # every text is hashed in full anyway: in the one scan, so that no text is shuffled
+        rows = stored(rows.select("id", "row", "len", "prefix", chars, rid, digest.alias("digest")), "exact-keys")
     by_prefix = rows.groupBy("len", "prefix").agg(F.count("*").alias("n"))
     open_groups = by_prefix.where("n > 1").select("len", "prefix", F.lit(True).alias("open"))
-
-    digest = F.sha2(norm, 256)
-    refined = stored(
-        rows.join(open_groups, ["len", "prefix"], "left").select(
-            "id", "row", "open", F.length("text").alias("chars"), F.monotonically_increasing_id().alias("rid"),
-            (digest if digest_all else F.when(F.col("open"), digest)).alias("digest"),
-        ),
-        "exact-rows",
-    )
+    marked = rows.join(open_groups, ["len", "prefix"], "left")
+    if digest_all:
+        refined = marked.select("id", "row", "open", "chars", "rid", "digest")
+    else:
+        refined = stored(marked.select("id", "row", "open", chars, rid, F.when(F.col("open"), digest).alias("digest")), "exact-rows")
     candidates = refined.where("open")
     best = F.min(F.struct((-F.col("chars")).alias("shorter"), F.col("id").isNull().alias("unknown"), "id", "rid"))
     groups = candidates.groupBy("digest").agg(best.alias("best"), F.count("*").alias("n"))
