@@ -19,9 +19,9 @@ from jobtide.plans.store import stored
 #: Bytes of context. Six bytes, the next one included, make a key.
 DEPTH = 5
 #: Bytes of text in a block and in a step of work on a block; bytes of input per part of the model.
-BLOCK_BYTES, STEP_BYTES, PART_BYTES = 16 << 20, 2 << 20, 8 << 20
+BLOCK_BYTES, STEP_BYTES, PART_BYTES = 16 << 20, 1 << 20, 8 << 20
 #: Keys that a block gathers before it merges them.
-MERGE_KEYS = 1 << 20
+MERGE_KEYS = 1 << 18
 #: Tables of a block: byte strings of the context tree, and words.
 GRAMS, WORDS = 0, 1
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -105,8 +105,14 @@ class Block:
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    distinct, inverse = np.unique(np.concatenate(keys), return_inverse=True)
-    return [distinct], [np.bincount(inverse, np.concatenate(counts), len(distinct))]
+    """Distinct keys in order and their summed counts; by one sort, with as few copies as that needs."""
+    joined = np.concatenate(keys)
+    order = np.argsort(joined, kind="stable")
+    joined = joined[order]
+    weight = np.concatenate(counts)[order]
+    del order
+    first = np.flatnonzero(np.concatenate([joined[:1] == joined[:1], joined[1:] != joined[:-1]]))
+    return [joined[first]], [np.add.reduceat(weight, first) if len(first) else weight]
 
 
 def parts(kind: int, keys: np.ndarray, count: int) -> np.ndarray:
@@ -153,9 +159,8 @@ def _gathered(table: pa.Table) -> tuple[int, list[np.ndarray], np.ndarray, np.nd
     """Kind, each block's keys, and all distinct keys of a part with their counts over all blocks."""
     own = [np.cumsum(_unpack(raw, np.uint64), dtype=np.uint64) for raw in table.column("keys").to_pylist()]
     counts = [_unpack(raw, np.int64) for raw in table.column("counts").to_pylist()]
-    keys, inverse = np.unique(np.concatenate(own), return_inverse=True)
-    total = np.rint(np.bincount(inverse, np.concatenate(counts), len(keys))).astype(np.int64)
-    return table.column("kind")[0].as_py(), own, keys, total
+    (keys,), (total,) = _merged(own, counts)
+    return table.column("kind")[0].as_py(), own, keys, np.rint(total).astype(np.int64)
 
 
 def score_texts(
