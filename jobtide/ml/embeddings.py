@@ -6,7 +6,6 @@ from collections.abc import Iterable, Iterator
 from math import ceil, log
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ def noise_table(counts: np.ndarray) -> np.ndarray:
 def windows(words: np.ndarray, sentence: np.ndarray, width: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(context, known): per position the words up to *width* places away in its sentence, and which of the places hold one."""
     reach = int(width.max(initial=0))
-    shifts = np.array([d for d in range(-reach, reach + 1) if d])
+    shifts = np.array([d for d in range(-reach, reach + 1) if d], np.int64)  # none, if all of a block is thinned out
     at = np.arange(len(words))[:, None] + shifts
     inside = np.clip(at, 0, len(words) - 1)
     known = (at == inside) & (sentence[inside] == sentence[:, None]) & (np.abs(shifts) <= width[:, None])
@@ -142,8 +141,8 @@ def skill2vec(
         change = parts.mapPartitions(trained).treeReduce(np.add, depth)
         inner, outer = inner + change[0], outer + change[1]
         model.destroy()
-    frame = pd.DataFrame({"skill": names, "vector": list(inner)})
-    return spark.createDataFrame(frame, "skill string, vector array<double>")
+    # Plain numbers, which a session takes with and without Arrow.
+    return spark.createDataFrame(list(zip(names, inner.tolist())), "skill string, vector array<double>")
 
 
 def _dot(a: Column, b: Column) -> Column:

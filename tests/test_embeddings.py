@@ -59,3 +59,23 @@ def test_repeatable_whatever_the_partitions(spark):
     )
     assert first.keys() == again.keys() and all(first[s] == pytest.approx(again[s], abs=1e-12) for s in first)
     assert em.skill2vec(df.limit(0)).collect() == []
+
+
+def test_without_arrow(spark):
+    """A session without Arrow takes no numpy numbers."""
+    df = spark.createDataFrame([(["a", "b", "c"],)] * 20, "skills array<string>")
+    key = "spark.sql.execution.arrow.pyspark.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        found = {r.skill: r.vector for r in em.skill2vec(df, vector_size=4, epochs=1, thin=0.0, block_positions=10).collect()}
+    finally:
+        spark.conf.set(key, before)
+    assert set(found) == set("abc") and all(len(v) == 4 and any(v) for v in found.values())
+
+
+def test_block_without_kept_words():
+    """A small block may lose all its positions to thinning."""
+    empty = np.zeros(0, np.int64)
+    context, known = em.windows(empty, empty, empty)
+    assert context.shape == known.shape == (0, 0)
