@@ -138,6 +138,11 @@ def best_splits(sums: np.ndarray, p: DemandParams) -> tuple[np.ndarray, ...]:
     return gain[at, best], feature, cut, left[at, 0, feature, cut], left[at, 1, feature, cut]
 
 
+def decided(sums: np.ndarray, p: DemandParams) -> np.ndarray:
+    """One row per node: what :func:`best_splits` finds, then the node's gradient and hessian."""
+    return np.stack([*best_splits(sums, p), *sums[:, :, 0].sum(2).T], 1)
+
+
 def _walk(bins: np.ndarray, feature: np.ndarray, cut: np.ndarray, depth: int) -> np.ndarray:
     """Node of each row after *depth* steps down a tree whose splits are on bins."""
     node, rows = np.zeros(len(bins), np.int64), np.arange(len(bins))
@@ -154,8 +159,8 @@ def fit_boosted(
     """Squared-error boosting; one model for each condition in *fits* (default: one over all rows).
 
     All fits share every pass: a pass reads the binned rows once and sums gradients and hessians by (fit, node, feature,
-    bin) into arrays of bounded size, which are added up in a tree over the tasks. The driver sees one such array and
-    sends back the splits. A model is the same as if it were fitted alone: cuts are the quantiles of its own rows, a row
+    bin) into arrays of bounded size. These are added up, and the splits chosen, in tasks by (fit, node); the driver sees
+    seven numbers per node and sends back the splits. A model is the same as if it were fitted alone: cuts are the quantiles of its own rows, a row
     is drawn for a tree by a hash of the row and the tree, and columns are drawn per tree by the seed.
 
     This is one of the few loops that DataFrames do not fit: rows keep a running prediction per fit, a tree needs
@@ -209,7 +214,6 @@ def fit_boosted(
     value, gain = np.zeros(shape), np.zeros(shape)
     drawn = max(1, int(p.features_per_tree * len(columns)))
     bins_at_most = max(len(edge) for of in cuts for edge in of) + 1
-    depth = max(1, math.ceil(math.log(max(state.getNumPartitions(), 2), 16)))
     rng = np.random.default_rng(p.seed)
     old = []
     for tree in range(p.max_iter):
@@ -223,7 +227,7 @@ def fit_boosted(
                 break
             step = (tree, level, chosen, slots, feature[:, tree, :inner].copy(), bin_cut[:, tree, :inner].copy(), [len(some) for some in open_nodes])
 
-            def histogram(parts: Iterable, step: tuple = step) -> Iterator[list[np.ndarray]]:
+            def histogram(parts: Iterable, step: tuple = step) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
                 tree, level, chosen, slots, split, cut, sizes = step
                 out = [np.zeros((size, 2, len(chosen), bins_at_most)) for size in sizes]
                 for bins, y, row, member, margin in parts:
@@ -237,17 +241,19 @@ def fit_boosted(
                         length = sums.shape[0] * len(chosen) * bins_at_most
                         sums[:, 0] += np.bincount(place.ravel(), gradient, length).reshape(-1, len(chosen), bins_at_most)
                         sums[:, 1] += np.bincount(place.ravel(), minlength=length).reshape(-1, len(chosen), bins_at_most)
-                yield out
+                yield from (((k, slot), node) for k, sums in enumerate(out) for slot, node in enumerate(sums))
 
-            summed = state.mapPartitions(histogram).treeReduce(lambda a, b: [x + y for x, y in zip(a, b)], depth)
+            summed = state.mapPartitions(histogram)
+            if state.getNumPartitions() > 1:  # one task has the whole sums already
+                summed = summed.reduceByKey(np.add, min(state.getNumPartitions(), sum(step[-1])))
+            answers = dict(summed.mapValues(lambda node: decided(node[None], p)[0]).collect())  # seven numbers per fit and node
             for k, some in enumerate(open_nodes):
                 if not len(some):
                     continue
+                won, which, cut, g_left, h_left, g, h = np.stack([answers[k, slot] for slot in range(len(some))], 1)
+                which, cut = which.astype(np.int64), cut.astype(np.int64)
                 if level == 0:  # a tree of one leaf, unless it is split
-                    total = summed[k][0, :, 0].sum(1)
-                    value[k, tree, 0] = leaf_value(total[0], total[1], p)
-                won, which, cut, g_left, h_left = best_splits(summed[k], p)
-                g, h = summed[k][:, 0, 0].sum(1), summed[k][:, 1, 0].sum(1)
+                    value[k, tree, 0] = leaf_value(g[0], h[0], p)
                 split = some[won > 0]
                 at = np.flatnonzero(won > 0)
                 feature[k, tree, split], bin_cut[k, tree, split], gain[k, tree, split] = chosen[which[at]], cut[at], won[at]

@@ -1,7 +1,10 @@
 """Boosting on histograms against a plain recursive version, and several fits at once against one by one."""
 
+import pickle
+
 import numpy as np
 import pytest
+from pyspark import RDD
 from pyspark.sql import functions as F
 
 from jobtide.ml import demand
@@ -115,3 +118,21 @@ def test_nulls_constant_columns_and_storage(spark, tmp_path):
     assert all((getattr(again, k) == getattr(model, k)).all() for k in ("feature", "threshold", "value", "gain"))
     with pytest.raises(ValueError):
         fit_boosted(df.limit(0), ["a"], "target")
+
+
+@pytest.mark.parametrize("values_per_task", [16_000_000, 200])
+def test_the_driver_sees_splits_only(spark, monkeypatch, values_per_task):
+    """Histograms stay in the tasks: a level brings the driver a few numbers per fit and node, from one task or many."""
+    df, names, x, y = table(spark, 400)
+    seen, collect = [], RDD.collect
+
+    def counted(self):
+        found = collect(self)
+        seen.append(len(pickle.dumps(found)))
+        return found
+
+    monkeypatch.setattr(RDD, "collect", counted)
+    monkeypatch.setattr("jobtide.ml.boosting.VALUES_PER_TASK", values_per_task)
+    p = DemandParams(max_iter=2, max_depth=5)
+    fit_boosted(df, names, "target", p, [F.col("id") < 300, F.lit(True)])
+    assert len(seen) == 10 and max(seen) < 2 * 2**4 * 500
