@@ -138,17 +138,21 @@ def parse_skill_list(column: Column) -> Column:
 def explode_skills(
     jobs: DataFrame, skills: str = "extracted_skills", keep: tuple[str, ...] = (), country: str | None = None
 ) -> DataFrame:
-    """Junction rows: one per posting and skill, without NULL or empty names."""
+    """Junction rows: one per posting and skill, without NULL or empty names.
+
+    The outer form of explode, because the plain one brings a filter on the size of the array, in which the optimizer writes
+    out an extraction once more, with the text split for every term.
+    """
     columns = [F.col(c) for c in keep or ("job_id", "posted_date", "country", "salary_mid_usd", "year", "month")
                if not (country and c == "country")]
     if country:
         columns.append(F.lit(country).alias("country"))
-    exploded = jobs.select(*columns, F.explode(skills).alias("skill"))
+    exploded = jobs.select(*columns, F.explode_outer(skills).alias("skill"))
     return exploded.filter(F.col("skill").isNotNull() & (F.col("skill") != ""))
 
 
 def skill_list_stats(df: DataFrame, skills: str = "skill_list") -> DataFrame:
     """Total and mean skills per posting and the number of distinct skills."""
     sized = df.agg(F.sum(F.size(skills)).alias("total_skills"), F.avg(F.size(skills)).alias("avg_skills"))
-    distinct = df.select(F.explode(skills).alias("skill")).agg(F.countDistinct("skill").alias("unique_skills"))
+    distinct = df.select(F.explode_outer(skills).alias("skill")).agg(F.countDistinct("skill").alias("unique_skills"))
     return sized.withColumn("unique_skills", distinct.scalar())

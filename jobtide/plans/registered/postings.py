@@ -309,7 +309,7 @@ def _data_categories(function, groups):
 
     def query(spark, sf):
         found = extract.extract_skills(postings(spark, sf), "description", VOCABULARIES["extract_skills_alias"])
-        in_texts = found.select(F.explode("extracted_skills").alias("skill"))
+        in_texts = extract.explode_skills(found, keep=("job_id",)).select("skill")
         brands = table(spark, sf, "part").select(F.col("p_brand").alias("skill"))
         counted = in_texts.unionAll(brands).groupBy("skill").agg(F.count(F.lit(1)).alias("mentions"))
         return counted.select("skill", "mentions", function(F.col("skill"), groups).alias("category"))

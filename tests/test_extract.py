@@ -126,3 +126,12 @@ def python_pattern(term):
     word = r"[\p{L}\p{N}_]"
     before = f"(?<!{word})" if regex.match(word, term[0]) else f"(?<={word})"
     return before + regex.escape(term) + (f"(?!{word})" if regex.match(word, term[-1]) else f"(?={word})")
+
+
+def test_exploding_what_was_extracted_extracts_once(spark):
+    """No filter before the explosion repeats the extraction, and empty or missing arrays still give no rows."""
+    df = spark.createDataFrame([(1, "spark and sql"), (2, ""), (3, None), (4, "nothing")], "job_id int, description string")
+    rows = extract.explode_skills(extract.extract_skills(df, "description", Vocabulary(("spark", "sql"))), keep=("job_id",))
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert "size(" not in plan and plan.count("split(") == 1
+    assert sorted(tuple(r) for r in rows.collect()) == [(1, "spark"), (1, "sql")]
