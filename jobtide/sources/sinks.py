@@ -12,6 +12,8 @@ from jobtide.schema import BULK_JOB_SKILLS, BULK_JOBS, JOB_SKILLS, JOBS, PARTITI
 
 #: Rows per output file; keeps files near the usual few hundred megabytes for posting-sized rows.
 ROWS_PER_FILE = 2_000_000
+#: A compressed file cannot be split, so those of text are smaller.
+NDJSON_ROWS_PER_FILE = 250_000
 
 
 @dataclass
@@ -56,8 +58,8 @@ def write_training_data(df: DataFrame, path: str, mode: str = "overwrite") -> Wr
 
 
 def write_ndjson(df: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Raw-zone form: one JSON record per line."""
-    df.write.mode(mode).json(path)
+    """Raw-zone form: one JSON record per line, compressed, in files small enough that each is read by one task."""
+    df.write.mode(mode).option("compression", "gzip").option("maxRecordsPerFile", NDJSON_ROWS_PER_FILE).json(path)
 
 
 def row_counts(observed: dict[str, WriteResult], spark: SparkSession) -> DataFrame:

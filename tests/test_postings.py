@@ -309,3 +309,15 @@ def test_composite_ids_of_millions_of_postings(spark):
     df = spark.createDataFrame(parts, "title string, company string, location string")
     found = df.select(nz.job_id_composite(*[F.col(c) for c in df.columns]).alias("job_id"))
     assert found.distinct().count() == len(parts)
+
+
+def test_raw_zone_is_compressed_and_dealt_to_files(spark, tmp_path, monkeypatch):
+    """Records are written compressed, in files of bounded length, and read back whole."""
+    monkeypatch.setattr(sinks, "NDJSON_ROWS_PER_FILE", 100)
+    df = spark.range(1000).select(F.col("id").cast("string").alias("job_id"), F.repeat(F.lit("text "), 50).alias("description"))
+    sinks.write_ndjson(df.coalesce(1), str(tmp_path / "raw"))
+    files = [f for f in (tmp_path / "raw").iterdir() if f.name.startswith("part-")]
+    assert len(files) == 10 and all(f.name.endswith(".json.gz") for f in files)
+    assert sum(f.stat().st_size for f in files) < 50_000  # of 280,000 bytes of text
+    read = readers.read_ndjson(spark, str(tmp_path / "raw"))
+    assert read.select("job_id").distinct().count() == read.count() == 1000
