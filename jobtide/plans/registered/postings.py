@@ -13,6 +13,7 @@ from jobtide.functions.vocabulary import (
 )
 from jobtide.operators import dedup, demand, extract, normalize as nz, pairs, relations, search
 from jobtide.plans import etl
+from jobtide.plans.store import stored
 from jobtide.plans.registered.common import BRAND_GROUPS, JOB_SKILLS_SQL, category_sql, r, rounded
 from jobtide.session import scratch_path
 from jobtide.sources.driver_tables import (
@@ -246,7 +247,7 @@ def _first_events(spark, sf):
 
 def _pairs_once(spark, sf):
     """Pairs without repeats, from the pairs of each country."""
-    js = job_skills(spark, sf)
+    js = stored(job_skills(spark, sf).select("job_id", "country", "skill"), "rows")  # read for both kinds of pairs
     by_country = js.withColumn("job_id", F.concat_ws("/", "country", "job_id"))
     both = pairs.cooccurrence_selfjoin(js).unionAll(pairs.cooccurrence_selfjoin(by_country))
     return dedup.dedup_pairs(both).select("skill_a", "skill_b")

@@ -68,3 +68,13 @@ def test_pairs_do_not_pair_before_counting(stored_junction):
 
 def test_top_k_takes_ordered(stored_junction):
     assert "TakeOrderedAndProject" in plan(demand.top_skills(stored_junction))
+
+
+def test_pairs_join_the_tables_once(spark, sf):
+    """Both kinds of pairs read stored rows, not the joined tables over again."""
+    from jobtide.plans.registered.postings import QUERIES
+
+    found = QUERIES["dedup_pairs"](spark, sf)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "o_orderkey" not in plan
+    assert found.count() == found.distinct().count() > 0
