@@ -31,7 +31,7 @@ def write_search_index(jobs: DataFrame, path: str, buckets: int = 64) -> None:
     rows = jobs.select(*[c for c in SHOWN], words.alias("word"))
     rows = rows.withColumns({"bucket": F.pmod(F.hash("word"), F.lit(buckets)), "day": -F.coalesce(F.unix_date("posted_date"), F.lit(-(1 << 30)))})
     order = ["bucket", "word", "day", "job_id"]
-    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").option("maxRecordsPerFile", ROWS_PER_FILE).partitionBy(
+    rows.repartitionByRange(*order).sortWithinPartitions(*order).write.mode("overwrite").options(maxRecordsPerFile=ROWS_PER_FILE, compression="zstd").partitionBy(
         "bucket"
     ).parquet(f"{path}/postings")
     counts = jobs.sparkSession.read.parquet(f"{path}/postings").groupBy("bucket", "word").agg(F.count(F.lit(1)).alias("n"))

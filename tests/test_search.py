@@ -51,3 +51,9 @@ def test_reads_only_the_words_folders(spark, index):
     page = search.search_index(spark, index, what="rust", max_days_old=None, after=(dt.date(2024, 1, 20), "j100"))
     plan = page._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(bucket" in plan and "EqualTo(word,rust)" in plan and "GreaterThanOrEqual(day" in plan
+
+
+def test_postings_are_packed_tightly(spark, index):
+    """Ids and places stand once with every word, so the files are compressed harder than by default."""
+    files = spark.read.parquet(f"{index}/postings").inputFiles()
+    assert files and all(f.endswith(".zstd.parquet") for f in files)
