@@ -26,6 +26,21 @@ def dedup_latest(df: DataFrame, key: str = "job_id", tie: str | None = None) ->
     return _first_per_key(tied, [key], order + [F.col(_TIE)]).drop(_TIE)
 
 
+def newer_than(df: DataFrame, known: DataFrame, key: str = "job_id") -> DataFrame:
+    """Rows newer than the *known* version of their key: by ``ingested_at``, missing ones last, then by the lower ``row_version``.
+
+    ``earlier`` is the ``place`` of the known version, NULL where there is none. A key has one row on either side.
+    """
+    seen = known.select(
+        F.col(key), F.col("ingested_at").alias("_seen_at"), F.col("row_version").alias("_seen_version"), F.col("place").alias("earlier")
+    )
+    at, seen_at = F.col("ingested_at"), F.col("_seen_at")
+    later = (at > seen_at) | (at.isNotNull() & seen_at.isNull())
+    lower = at.eqNullSafe(seen_at) & (F.col("row_version") < F.col("_seen_version"))
+    joined = df.join(seen, key, "left").filter(F.col("_seen_version").isNull() | later | lower)
+    return joined.drop("_seen_at", "_seen_version")
+
+
 def dedup_first_seen(df: DataFrame, position: list[str], key: str = "job_id") -> DataFrame:
     """First occurrence per key in the order of collection given by *position*."""
     return _first_per_key(df, [key], [F.col(c).asc() for c in position])

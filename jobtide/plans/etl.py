@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from jobtide.functions.vocabulary import BULK_VOCABULARY, ETL_VOCABULARY, Vocabulary
 from jobtide.operators import normalize as nz
-from jobtide.operators.dedup import dedup_latest
+from jobtide.operators.dedup import dedup_latest, newer_than
 from jobtide.operators.extract import explode_skills, extract_skills, parse_skill_list, skill_count, skills_passthrough
 from jobtide.operators.relations import join_skills_jobs
 from jobtide.sources.readers import CORRUPT, read_postings_csv, read_raw_auto, read_skills_csv
@@ -19,20 +19,24 @@ from jobtide.sources.sinks import WriteResult, write_job_skills, write_jobs, wri
 
 def etl_jobs(
     raw: DataFrame, vocabulary: Vocabulary = ETL_VOCABULARY, as_of: Column | dt.date | str | None = None,
-    versions: bool = False, every: bool = False,
+    versions: bool = False, known: DataFrame | None = None,
 ) -> DataFrame:
     """Raw postings of either shape (nested or flat) to the jobs table.
 
     The schema decides the branches once, on the driver; the plan itself is one scan, one shuffle for the newest
     row per job, and a projection. With *versions*, rows without a description stay, and ``ingested_at`` and
-    ``row_version`` tell which row of a job is the newest, so that batches can be put together later; with *every* too, all
-    rows of a job stay, as a stream needs it.
+    ``row_version`` tell which row of a job is the newest, so that batches can be put together later. With *known* too (the
+    versions seen before, a row per job), only newer rows go on, each with the ``earlier`` place of its job; texts of others
+    are not searched.
     """
     own = nz.job_id_rowhash(raw)
     df = raw.withColumn("job_id", F.coalesce(F.col("job_id").cast("string"), own) if "job_id" in raw.columns else own)
     if versions:
         df = df.withColumn("row_version", F.xxhash64(*[F.col(c) for c in df.columns]))
-    df = nz.flatten_location(df if every else dedup_latest(df))
+    df = dedup_latest(df)
+    if known is not None:
+        df = newer_than(df, known)
+    df = nz.flatten_location(df)
     if "description" in df.columns:
         df = fill_skills(df if versions else nz.filter_has_description(df), vocabulary)
     else:
@@ -42,7 +46,7 @@ def etl_jobs(
     df = nz.ensure_columns(nz.resolve_posted_date(df, as_of))
     if not versions:
         return nz.project_jobs(df)
-    return nz.project_jobs(df, "ingested_at", "row_version")
+    return nz.project_jobs(df, "ingested_at", "row_version", *(["earlier"] if known is not None else []))
 
 
 def fill_skills(df: DataFrame, vocabulary: Vocabulary) -> DataFrame:

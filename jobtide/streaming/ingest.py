@@ -4,14 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 import json
-from collections.abc import Iterable, Iterator
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from jobtide.functions.vocabulary import ETL_VOCABULARY, Vocabulary
 from jobtide.operators import normalize as nz
@@ -21,9 +18,11 @@ from jobtide.schema import JOBS, PARTITIONS, RAW_POSTING
 
 #: Fixed value: the folder name of rows without a date.
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
-VERSION, MANIFESTS, INCOMING = "v", "_manifests", "_incoming"
-_STATE = "ingested_at string, row_version long, place string"
-_NEWER = "job_id string, place string, earlier string, payload string"
+VERSION, MANIFESTS, INCOMING, SEEN = "v", "_manifests", "_incoming", "_seen"
+#: Fixed value: one batch in so many writes the versions of all jobs, the others those of their own rows.
+WHOLE_EVERY = 10
+_VERSIONS = ("job_id", "ingested_at", "row_version", "place")
+_SEEN = "job_id string, ingested_at string, row_version long, place string, batch long"
 
 
 def read_raw_stream(
@@ -36,24 +35,6 @@ def read_raw_stream(
     return reader.json(path)
 
 
-def _newer(key: tuple, frames: Iterable[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The newest of a job's rows, if it is newer than what was seen before: by time, missing ones last, then by version."""
-
-    def rank(ingested: str | None, version: int) -> tuple:
-        return (ingested is not None, ingested or "", -version)
-
-    known = state.get if state.exists else None
-    best, held, place, payload = None if known is None else rank(known[0], known[1]), None, None, None
-    for frame in frames:
-        for ingested, version, where, row in zip(frame["ingested_at"], frame["row_version"], frame["place"], frame["payload"]):
-            ingested = ingested if isinstance(ingested, str) else None
-            if best is None or rank(ingested, int(version)) > best:
-                best, held, place, payload = rank(ingested, int(version)), (ingested, int(version)), where, row
-    if held is not None:
-        state.update((*held, place))
-        yield pd.DataFrame({"job_id": [key[0]], "place": [place], "earlier": [known[2] if known else None], "payload": [payload]})
-
-
 def _files(spark: SparkSession, path: str):
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     return hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop_path
@@ -94,17 +75,68 @@ def _months(spark: SparkSession, jobs_path: str, months: dict[str, int]) -> Data
     return rows.select(*JOBS.fieldNames())
 
 
+def seen_versions(spark: SparkSession, jobs_path: str, before: int) -> DataFrame:
+    """(job_id, ingested_at, row_version, place, batch): the newest version of each job that the batches *before* one brought.
+
+    What a batch lets through is newer than all before it, so a job's newest version is that of its last batch.
+    """
+    batches = [b for b in _seen_batches(spark, jobs_path) if b < before]
+    if not batches:
+        if read_manifest(spark, jobs_path, before):
+            raise ValueError(f"{jobs_path} has jobs, but no versions of them: it was written by other means, ingest it anew")
+        return spark.createDataFrame([], _SEEN)
+    whole = max([b for b in batches if _is_whole(b)], default=batches[0])
+    rows = spark.read.schema(_SEEN).parquet(*[f"{jobs_path}/{SEEN}/{b}" for b in batches if b >= whole])
+    return rows if whole == batches[-1] else _last_batch(rows)
+
+
+def _seen_batches(spark: SparkSession, jobs_path: str) -> list[int]:
+    fs, folder = _files(spark, f"{jobs_path}/{SEEN}")
+    return sorted(int(s.getPath().getName()) for s in fs.listStatus(folder)) if fs.exists(folder) else []
+
+
+def _is_whole(batch: int) -> bool:
+    return batch % WHOLE_EVERY == WHOLE_EVERY - 1
+
+
+def _last_batch(rows: DataFrame) -> DataFrame:
+    row = F.max_by(F.struct(*_VERSIONS[1:], "batch"), "batch").alias("r")
+    return rows.groupBy("job_id").agg(row).select("job_id", "r.*")
+
+
+def _write_seen(spark: SparkSession, jobs_path: str, batch: int, rows: DataFrame) -> None:
+    """The versions of a batch's rows, now and then with those of all jobs, so that a batch reads a bounded number of folders."""
+    seen = rows.select(*_VERSIONS, F.lit(batch).cast("long").alias("batch"))
+    if _is_whole(batch):
+        seen = _last_batch(seen_versions(spark, jobs_path, batch).unionByName(seen))
+    seen.write.mode("overwrite").parquet(f"{jobs_path}/{SEEN}/{batch}")
+
+
+def newer_rows(batch: DataFrame, seen: DataFrame, vocabulary: Vocabulary, as_of: Column | dt.date | str | None) -> DataFrame:
+    """The newest row of each job in a batch, if it is newer than what was seen before, as :func:`merge_batch` takes it."""
+    rows = etl_jobs(batch, vocabulary, as_of, versions=True, known=seen)
+    folder = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(UNDATED))) for c in PARTITIONS]
+    place, payload = F.concat_ws("/", *folder).alias("place"), F.struct(*JOBS.fieldNames()).alias("payload")
+    return rows.select("job_id", F.col("ingested_at").cast("string").alias("ingested_at"), "row_version", place, "earlier", payload)
+
+
 def merge_batch(spark: SparkSession, jobs_path: str, batch_id: int, newer: DataFrame) -> None:
     """Put the newest versions of some jobs in the place of their earlier ones.
 
     Months that gain or lose a row are written anew, without the earlier versions, into a folder of this batch; then a new
     manifest names it for these months. A batch that is run again starts from the manifest before it and overwrites its own
     folder, so nothing is lost or doubled; readers go on with the folders of the manifest they have read.
+
+    *newer* holds job_id, the place (month folder) of the row, the earlier place of its job, and the row itself as payload, a
+    struct or its JSON. Versions (ingested_at, row_version), if there are, are kept for the batches that follow.
     """
     incoming = f"{jobs_path}/{INCOMING}/{batch_id}"
-    newer.write.mode("overwrite").parquet(incoming)  # the stateful plan runs once
-    rows = spark.read.parquet(incoming)
-    jobs = nz.filter_has_description(rows.select(F.from_json("payload", JOBS).alias("r")).select("r.*"))
+    newer.write.mode("overwrite").parquet(incoming)  # the plan of the batch runs once
+    rows = spark.read.schema(newer.schema).parquet(incoming)
+    if set(_VERSIONS) <= set(newer.columns):
+        _write_seen(spark, jobs_path, batch_id, rows)
+    payload = F.from_json("payload", JOBS) if dict(newer.dtypes)["payload"] == "string" else F.col("payload")
+    jobs = nz.filter_has_description(rows.select(payload.alias("r")).select("r.*"))
     places = rows.select(F.explode(F.array("place", "earlier")).alias("place")).where("place IS NOT NULL").distinct()
     touched = {r["place"] for r in places.collect()}  # months
     months = read_manifest(spark, jobs_path, before=batch_id)
@@ -128,27 +160,22 @@ def stream_ingest(
 ) -> StreamingQuery:
     """Keep the jobs table up to date: one row per job, the newest by ``ingested_at``, however late rows arrive.
 
-    The state of the stream holds time and version of each job's newest row and the month it stands in, so rows that are
-    not newer go no further, and a row that moves to another month is found. Each micro-batch is merged into the months it
-    touches (:func:`merge_batch`). The result equals the batch job over the same files. For many jobs set
-    ``spark.sql.streaming.stateStore.providerClass`` to the RocksDB provider.
+    A table beside the jobs holds time and version of each job's newest row and the month it stands in. Each micro-batch
+    is joined with it (:func:`newer_rows`), so rows that are not newer go no further, and a row that moves to another month is
+    found; the rest is merged into the months it touches (:func:`merge_batch`). The result equals the batch job over the
+    same files.
     """
-    rows = etl_jobs(stream, vocabulary, as_of, versions=True, every=True)
-    folder = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit(UNDATED))) for c in PARTITIONS]
-    slim = rows.select(
-        "job_id", "ingested_at", "row_version", F.concat_ws("/", *folder).alias("place"), F.to_json(F.struct(*JOBS.fieldNames())).alias("payload")
-    )
-    newer = slim.groupBy("job_id").applyInPandasWithState(_newer, _NEWER, _STATE, "update", GroupStateTimeout.NoTimeout)
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        merge_batch(batch.sparkSession, jobs_path, batch_id, batch)
+        seen = seen_versions(batch.sparkSession, jobs_path, batch_id)
+        merge_batch(batch.sparkSession, jobs_path, batch_id, newer_rows(batch, seen, vocabulary, as_of))
 
-    writer = newer.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
+    writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()
 
 
 def remove_old_versions(spark: SparkSession, jobs_path: str, keep: int = 2) -> list[int]:
-    """Remove the folders that none of the last *keep* manifests names, and all manifests before them."""
+    """Remove the folders that none of the last *keep* manifests names, all manifests before them, and versions no batch reads."""
     fs, folder = _files(spark, f"{jobs_path}/{MANIFESTS}")
     batches = sorted(int(s.getPath().getName()) for s in fs.listStatus(folder) if s.getPath().getName().isdigit())
     kept = batches[-keep:]
@@ -161,6 +188,11 @@ def remove_old_versions(spark: SparkSession, jobs_path: str, keep: int = 2) -> l
             gone.append(int(name[2:]))
     for batch in batches[:-keep]:
         fs.delete(_files(spark, f"{jobs_path}/{MANIFESTS}/{batch}")[1], False)
+    seen = _seen_batches(spark, jobs_path)
+    whole = max([b for b in seen if _is_whole(b) and b < min(kept, default=-1)], default=-1)
+    for batch in seen:
+        if batch < whole:
+            fs.delete(_files(spark, f"{jobs_path}/{SEEN}/{batch}")[1], True)
     return sorted(gone)
 
 

@@ -285,6 +285,30 @@ def test_stream_ingest_moves_retries_and_cleans_up(spark, tmp_path):
     assert left == {f"v={v}" for v in ingest.read_manifest(spark, out).values()}
 
 
+def test_stream_ingest_runs_no_python_per_job(spark, tmp_path, monkeypatch):
+    """Batches are joined with the versions seen before: no state function in Python, whatever the order, ties and gaps of rows."""
+    monkeypatch.setattr(ingest, "WHOLE_EVERY", 3, raising=False)
+    source, out, state = (str(tmp_path / n) for n in ("raw", "jobs", "state"))
+    (tmp_path / "raw").mkdir()
+    rng = random.Random(3)
+
+    def row():
+        at = rng.choice([None, *[f"2025-11-{d:02d}T00:00:00Z" for d in range(1, 9)]])
+        return {"job_id": f"j{rng.randrange(30)}", "title": str(rng.random()), "description": rng.choice([None, "python", "go and java"]),
+                "posted_date": rng.choice([None, "2025-01-05", "2025-02-05", "2025-03-05"]), "ingested_at": at}
+
+    for delivery in range(8):
+        (tmp_path / "raw" / f"{delivery}.json").write_text("\n".join(json.dumps(row()) for _ in range(12)))
+        query = ingest.stream_ingest(ingest.read_raw_stream(spark, source), out, state)
+        query.awaitTermination()
+        got = sorted(ingest.ingested_jobs(spark, out).collect(), key=str)
+        assert got == sorted(etl.etl_jobs(spark.read.schema(RAW_POSTING).json(source)).collect(), key=str)
+        assert not query.lastProgress["stateOperators"] and "InPandas" not in query._jsq.explainInternal(False)
+        if delivery == 6:
+            ingest.remove_old_versions(spark, out)
+    assert {p.name for p in (tmp_path / "jobs" / "_seen").iterdir()} == {"2", "3", "4", "5", "6", "7"}
+
+
 def test_ingested_jobs_before_the_first_batch(spark, tmp_path):
     assert ingest.ingested_jobs(spark, str(tmp_path / "none")).collect() == []
 
