@@ -106,7 +106,7 @@ def descend(tree: Tree, tops: DataFrame, requests: DataFrame | None = None) -> D
         entering = wanted(tops.where(F.col("height") == level).select(*columns), level)
         state = entering if state is None else state.unionByName(entering)
         records = tree.levels[level - 1].select("digest", "children").dropDuplicates(["digest"])
-        found = state.join(records, "digest")
+        found = state.join(records.hint("merge"), "digest")  # paths are far longer than the optimizer takes them to be: not to the driver
         if level == 1:
             return found.select("tree", "size", "run", "children", "path").unionByName(alone)
         split = found.select("tree", "size", "run", "path", "children", F.posexplode("children").alias("digit", "child"))
@@ -200,7 +200,7 @@ def dataset_manifest(
 
     found = descend(trees, starts).join(starts.select("tree", F.col("digest").alias("subroot")), "tree")
     asked = leaves.select("tree", "rank", F.expr(f"rank div {FAN}").alias("run"), F.col("digest").alias("leaf"), "tampered", "row")
-    proved = asked.join(found, ["tree", "run"]).select(
+    proved = asked.join(found.hint("merge"), ["tree", "run"]).select(
         "row", "leaf", "tampered", "subroot", whole_path(F.col("rank")).alias("siblings")
     )
     proved = proved.select(

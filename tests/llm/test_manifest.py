@@ -33,6 +33,10 @@ def siblings(levels, at):
     return found
 
 
+def plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def small(text):
     return text and "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text)
 
@@ -101,3 +105,16 @@ def test_requests_descend_to_their_own_leaves_only(spark):
     for row in asked.select("t", "rank", whole_path(F.col("rank")).alias("path")).collect():
         levels = levels_above([d for t, _, _, d in nodes if t == row.t])
         assert [(s.left, s.right) for s in row.path] == [("".join(a), "".join(b)) for a, b in siblings(levels, row.rank)]
+
+
+def test_paths_are_never_broadcast(spark):
+    """Whatever the optimizer takes them for: the paths of millions of runs are gigabytes."""
+    nodes = [(0, 300, rank, digest(f"{rank}")) for rank in range(300)]
+    tree = build_tree(spark.createDataFrame(nodes, "tree long, size long, rank long, digest string"), "shuffled")
+    tops = tree.tops.withColumn("path", F.array().cast("array<struct<left:string,right:string>>"))
+    found = descend(tree, tops)
+    assert found.count() == 19
+    assert "SortMergeJoin [digest" in plan(found) and "Broadcast" not in plan(found)
+    table = spark.createDataFrame([(at, "s", "en", 1, "a") for at in range(300)], "doc_id long, source string, lang string, n_chars long, text string")
+    joins = [line for line in plan(dataset_manifest(table)).splitlines() if "Join" in line and ("[digest" in line or "run#" in line)]
+    assert joins and all("SortMergeJoin" in line for line in joins)
