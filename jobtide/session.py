@@ -6,10 +6,14 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
 _LOCAL_ROOTS: dict[str, str] = {}
+#: Fixed value: the setting by which Spark removes an execution's shuffle files at its end, not when the driver collects its garbage.
+_REMOVE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def build_session(app_name: str = "jobtide", master: str | None = None, **conf: object) -> SparkSession:
@@ -36,6 +40,20 @@ def build_session(app_name: str = "jobtide", master: str | None = None, **conf:
     return builder.getOrCreate()
 
 
+@contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Executions inside remove their shuffle files when they end; for runs of writes that read each other's files only."""
+    before = spark.conf.get(_REMOVE_SHUFFLES, None)
+    spark.conf.set(_REMOVE_SHUFFLES, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_REMOVE_SHUFFLES)
+        else:
+            spark.conf.set(_REMOVE_SHUFFLES, before)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The folder every executor can reach: ``spark.checkpoint.dir``, or in local mode one of this process, removed at its end."""
     configured = spark.conf.get("spark.checkpoint.dir", None)

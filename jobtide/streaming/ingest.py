@@ -15,6 +15,7 @@ from jobtide.operators import normalize as nz
 from jobtide.operators.extract import explode_skills
 from jobtide.plans.etl import etl_jobs
 from jobtide.schema import JOBS, PARTITIONS, RAW_POSTING
+from jobtide.session import shuffles_removed
 
 #: Fixed value: the folder name of rows without a date.
 UNDATED = "__HIVE_DEFAULT_PARTITION__"
@@ -109,7 +110,7 @@ def _write_seen(spark: SparkSession, jobs_path: str, batch: int, rows: DataFrame
     seen = rows.select(*_VERSIONS, F.lit(batch).cast("long").alias("batch"))
     if _is_whole(batch):
         seen = _last_batch(seen_versions(spark, jobs_path, batch).unionByName(seen))
-    seen.write.mode("overwrite").parquet(f"{jobs_path}/{SEEN}/{batch}")
+    seen.write.mode("overwrite").option("compression", "zstd").parquet(f"{jobs_path}/{SEEN}/{batch}")
 
 
 def newer_rows(batch: DataFrame, seen: DataFrame, vocabulary: Vocabulary, as_of: Column | dt.date | str | None) -> DataFrame:
@@ -131,7 +132,7 @@ def merge_batch(spark: SparkSession, jobs_path: str, batch_id: int, newer: DataF
     struct or its JSON. Versions (ingested_at, row_version), if there are, are kept for the batches that follow.
     """
     incoming = f"{jobs_path}/{INCOMING}/{batch_id}"
-    newer.write.mode("overwrite").parquet(incoming)  # the plan of the batch runs once
+    newer.write.mode("overwrite").option("compression", "zstd").parquet(incoming)  # the plan of the batch runs once
     rows = spark.read.schema(newer.schema).parquet(incoming)
     if set(_VERSIONS) <= set(newer.columns):
         _write_seen(spark, jobs_path, batch_id, rows)
@@ -143,7 +144,7 @@ def merge_batch(spark: SparkSession, jobs_path: str, batch_id: int, newer: DataF
     kept = _months(spark, jobs_path, {p: v for p, v in months.items() if p in touched}).join(rows.select("job_id"), "job_id", "left_anti")
     target = f"{jobs_path}/{VERSION}={batch_id}"
     merged = kept.select(*JOBS.fieldNames()).unionByName(jobs)
-    merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(*PARTITIONS).parquet(target)
+    merged.hint("rebalance", *PARTITIONS).write.mode("overwrite").option("partitionOverwriteMode", "static").option("compression", "zstd").partitionBy(*PARTITIONS).parquet(target)
     months = {p: v for p, v in months.items() if p not in touched}
     fs, folder = _files(spark, target)
     for year in fs.listStatus(folder):
@@ -167,8 +168,10 @@ def stream_ingest(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        seen = seen_versions(batch.sparkSession, jobs_path, batch_id)
-        merge_batch(batch.sparkSession, jobs_path, batch_id, newer_rows(batch, seen, vocabulary, as_of))
+        spark = batch.sparkSession
+        with shuffles_removed(spark):
+            seen = seen_versions(spark, jobs_path, batch_id)
+            merge_batch(spark, jobs_path, batch_id, newer_rows(batch, seen, vocabulary, as_of))
 
     writer = stream.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write)
     return (writer.trigger(availableNow=True) if once else writer.trigger(processingTime="1 minute")).start()

@@ -2,6 +2,7 @@ import datetime as dt
 import gzip
 import hashlib
 import json
+import pathlib
 import random
 
 import pytest
@@ -9,7 +10,9 @@ from pyspark.sql import functions as F
 
 from jobtide.operators import dedup, normalize as nz, relations
 from jobtide.plans import etl
+from jobtide.plans.registered import streams
 from jobtide.schema import API_PAYLOAD, JOBS, RAW_POSTING
+from jobtide.session import scratch_path
 from jobtide.sources import readers, sinks
 from jobtide.streaming import ingest
 
@@ -309,6 +312,24 @@ def test_stream_ingest_runs_no_python_per_job(spark, tmp_path, monkeypatch):
     assert {p.name for p in (tmp_path / "jobs" / "_seen").iterdir()} == {"2", "3", "4", "5", "6", "7"}
 
 
+def test_stream_ingest_leaves_no_shuffle_files(spark, tmp_path):
+    """The shuffle files of a batch go with it, not when the driver happens to collect its garbage; the caller's setting stays."""
+    disk = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+
+    def shuffled():
+        names = (path.rsplit("/", 1)[-1] for path in disk.getAllFiles().mkString("\n").split("\n"))
+        return {name for name in names if name.startswith("shuffle_")}
+
+    before, setting = shuffled(), spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled")
+    for delivery in range(2):
+        (tmp_path / "raw").mkdir(exist_ok=True)
+        (tmp_path / "raw" / f"{delivery}.json").write_text("\n".join(map(json.dumps, RECORDS)))
+        stream = ingest.read_raw_stream(spark, str(tmp_path / "raw"))
+        ingest.stream_ingest(stream, str(tmp_path / "jobs"), str(tmp_path / "state")).awaitTermination()
+    assert shuffled() <= before
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled") == setting
+
+
 def test_ingested_jobs_before_the_first_batch(spark, tmp_path):
     assert ingest.ingested_jobs(spark, str(tmp_path / "none")).collect() == []
 
@@ -335,6 +356,23 @@ def test_composite_ids_of_millions_of_postings(spark):
     assert found.distinct().count() == len(parts)
 
 
+def test_registered_stream_reads_a_compressed_raw_zone(spark, sf, monkeypatch):
+    """Three deliveries of every order, written compressed, and read in three batches."""
+    paths = {}
+
+    def path(spark, name):
+        return paths.setdefault(name, scratch_path(spark, name))
+
+    monkeypatch.setattr(streams, "scratch_path", path)
+    monkeypatch.setattr(sinks, "NDJSON_ROWS_PER_FILE", 100)
+    orders = spark.read.parquet(f"{sf}/orders.parquet").count()
+    assert 0 < streams.QUERIES["stream_ingest"](spark, sf).count() <= orders
+    files = list(pathlib.Path(paths["raw"]).glob("part-*"))
+    assert len(files) >= 3 * orders // 100 and all(f.name.endswith(".json.gz") for f in files)
+    assert spark.read.json(paths["raw"]).count() == 3 * orders
+    assert {f.name for f in pathlib.Path(paths["jobs"], "_manifests").iterdir() if f.name.isdigit()} == {"0", "1", "2"}
+
+
 def test_raw_zone_is_compressed_and_dealt_to_files(spark, tmp_path, monkeypatch):
     """Records are written compressed, in files of bounded length, and read back whole."""
     monkeypatch.setattr(sinks, "NDJSON_ROWS_PER_FILE", 100)
