@@ -7,6 +7,7 @@ from math import ceil, log
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +18,9 @@ from jobtide.plans.store import stored
 NEGATIVE, NOISE_POWER, THIN_ABOVE, FIRST_STEP, LAST_STEP = 5, 0.75, 1e-3, 0.025, 1e-4
 #: Positions whose gradients are taken at the same vectors.
 BATCH = 64
+#: Words up to which a step is made of matrix products over all of them; blocks that are packed together.
+DENSE_WORDS, CHUNK = 128, 16
+_BLOCK = pa.schema([("block", pa.int64()), ("words", pa.binary()), ("lengths", pa.binary())])
 
 
 def noise_table(counts: np.ndarray) -> np.ndarray:
@@ -35,22 +39,64 @@ def windows(words: np.ndarray, sentence: np.ndarray, width: np.ndarray) -> tuple
     return words[inside], known
 
 
+def _added(to: np.ndarray, at: np.ndarray, rows: np.ndarray) -> None:
+    """Add *rows* to the rows of *to* at the given places, which may repeat."""
+    order = np.argsort(at, kind="stable")
+    places, starts = np.unique(at[order], return_index=True)
+    if len(places):
+        to[places] += np.add.reduceat(rows[order], starts)
+
+
 def cbow_step(
     inner: np.ndarray, outer: np.ndarray, context: np.ndarray, known: np.ndarray, centre: np.ndarray, drawn: np.ndarray, step: float
 ) -> None:
     """One step for a batch of positions: the mean of the context tells the centre from the words drawn."""
     size = known.sum(1)
-    mean = (inner[context] * known[:, :, None]).sum(1) / size[:, None]
+    mean = np.einsum("ncd,nc->nd", inner[context], known.astype(np.float64)) / size[:, None]
     words = np.concatenate([centre[:, None], drawn], 1)
     label = np.zeros(words.shape)
     label[:, 0] = 1.0
     real = np.ones(words.shape, bool)
     real[:, 1:] = drawn != centre[:, None]
-    score = 1.0 / (1.0 + np.exp(-np.clip((outer[words] * mean[:, None, :]).sum(2), -30, 30)))
+    vectors = outer[words]
+    score = 1.0 / (1.0 + np.exp(-np.clip(np.einsum("nwd,nd->nw", vectors, mean), -30, 30)))
     error = (label - score) * real * step
-    back = (error[:, :, None] * outer[words]).sum(1)
-    np.add.at(outer, words, error[:, :, None] * mean[:, None, :])
-    np.add.at(inner, context, np.where(known[:, :, None], back[:, None, :], 0.0))
+    back = np.einsum("nw,nwd->nd", error, vectors)
+    row, place = np.nonzero(real)
+    _added(outer, words[row, place], error[row, place][:, None] * mean[row])
+    row, place = np.nonzero(known)
+    _added(inner, context[row, place], back[row])
+
+
+def _counted(row: np.ndarray, word: np.ndarray, rows: int, words: int) -> np.ndarray:
+    """How often each row has each word, as numbers of *rows* by *words*."""
+    return np.bincount(row * words + word, minlength=rows * words).reshape(rows, words).astype(np.float64)
+
+
+def cbow_steps(
+    inner: np.ndarray, outer: np.ndarray, context: np.ndarray, known: np.ndarray, centre: np.ndarray, drawn: np.ndarray, step: np.ndarray
+) -> None:
+    """What :func:`cbow_step` does batch after batch, by products of matrices over all words; *step* has a number per position."""
+    n, words = len(centre), len(inner)
+    row, place = np.nonzero(known)
+    around = _counted(row, context[row, place], n, words)
+    mean_of = around / known.sum(1)[:, None]
+    own = np.zeros((n, words))
+    own[np.arange(n), centre] = step
+    row, place = np.nonzero(drawn != centre[:, None])
+    others = _counted(row, drawn[row, place], n, words) * step[:, None] + own
+    for at in range(0, n, BATCH):
+        of = slice(at, at + BATCH)
+        mean = mean_of[of] @ inner
+        error = mean @ outer.T
+        np.clip(error, -30, 30, out=error)
+        np.exp(np.negative(error, out=error), out=error)
+        error += 1.0
+        np.divide(others[of], error, out=error)
+        np.subtract(own[of], error, out=error)
+        back = error @ outer
+        outer += error.T @ mean
+        inner += around[of].T @ back
 
 
 def train_block(
@@ -66,11 +112,37 @@ def train_block(
     noise = noise_table(counts)
     some = np.flatnonzero(known.any(1))
     some = some[rng.permutation(len(some))]
-    for at in range(0, len(some), BATCH):
-        of = some[at : at + BATCH]
+    dense = len(counts) <= DENSE_WORDS
+    size = BATCH * (64 if dense else 1)
+    for at in range(0, len(some), size):
+        of = some[at : at + size]
         drawn = np.minimum(np.searchsorted(noise, rng.random((len(of), NEGATIVE)), "right"), len(counts) - 1)
-        step = steps[0] + (steps[1] - steps[0]) * at / len(some)
-        cbow_step(inner, outer, context[of], known[of], words[of], drawn, step)
+        step = steps[0] + (steps[1] - steps[0]) * (np.arange(at, at + len(of)) // BATCH * BATCH) / len(some)
+        if dense:
+            cbow_steps(inner, outer, context[of], known[of], words[of], drawn, step)
+        else:
+            cbow_step(inner, outer, context[of], known[of], words[of], drawn, step[0])
+
+
+def _block_rows(
+    skills: list[list[str]], copies: np.ndarray, first: np.ndarray, names: pa.Array, blocks: int, of: range
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(block, words, lengths) of the blocks *of*: the numbers of the words of its sequences in their order, and how many each has."""
+    order = sorted(range(len(skills)), key=skills.__getitem__)
+    copies, first, size = copies[order], first[order], np.array([len(skills[at]) for at in order], np.int64)
+    number = pc.fill_null(pc.index_in(pa.array([s for at in order for s in skills[at]], pa.string()), value_set=names), -1)
+    number = number.to_numpy(zero_copy_only=False)
+    size = np.bincount(np.repeat(np.arange(len(size)), size)[number >= 0], minlength=len(size))
+    number = number[number >= 0].astype(np.min_scalar_type(len(names)))
+    start, shares = np.cumsum(size) - size, np.minimum(copies, blocks)
+    for block in of:
+        share = (block - first) % blocks
+        own = np.flatnonzero((share < shares) & (size > 0))
+        if len(own):
+            sequence = np.repeat(own, copies[own] // shares[own] + (share[own] < copies[own] % shares[own]))
+            lengths = size[sequence]
+            skip = start[sequence] - (np.cumsum(lengths) - lengths)
+            yield block, number[np.arange(lengths.sum()) + np.repeat(skip, lengths)], lengths
 
 
 def skill2vec(
@@ -96,29 +168,34 @@ def skill2vec(
     names, counts = [name for name, _ in vocabulary], np.array([n for _, n in vocabulary], np.int64)
     blocks = max(1, ceil(int(counts.sum()) / block_positions))
 
-    # A sequence goes to as many blocks as it has copies, at most to all; each gets its share of them.
-    first = F.pmod(F.xxhash64("skills"), F.lit(blocks))
-    shares = F.explode(F.sequence(F.lit(0), F.least(F.col("copies"), F.lit(blocks)).cast("int") - 1)).alias("k")
-    dealt = counted.select("skills", "copies", first.alias("first"), shares).select(
-        "skills", F.pmod(F.col("first") + F.col("k"), F.lit(blocks)).alias("block"),
-        (F.floor(F.col("copies") / F.least(F.col("copies"), F.lit(blocks))) + F.when(F.col("k") < F.col("copies") % F.least(F.col("copies"), F.lit(blocks)), 1).otherwise(0)).alias("copies"),
+    # A sequence goes to as many blocks as it has copies, at most to all, one after the other; each gets its share of them. A row
+    # per chunk of blocks brings it there.
+    first = F.pmod(F.xxhash64("skills"), F.lit(blocks)).cast("long")
+    end = F.col("first") + F.least(F.col("copies"), F.lit(blocks)) - 1
+
+    def chunks(low, high):
+        return F.sequence(F.floor(low / CHUNK), F.floor(high / CHUNK))
+
+    reached = F.when(end < blocks, chunks(F.col("first"), end)).otherwise(
+        F.array_union(chunks(F.col("first"), F.lit(blocks - 1)), chunks(F.lit(0), end - blocks))
     )
-    number = spark.sparkContext.broadcast({name: at for at, name in enumerate(names)})
+    dealt = counted.withColumn("first", first).select("skills", "copies", "first", F.explode(reached).alias("chunk"))
+    known_names = spark.sparkContext.broadcast(names)
+    code = np.min_scalar_type(len(names))
 
     def packed(table: pa.Table) -> pa.Table:
-        rows = sorted(zip(table.column("skills").to_pylist(), table.column("copies").to_pylist()))
-        words, sentence, at = [], [], 0
-        for skills, copies in rows:
-            of = [number.value[s] for s in skills if s in number.value]
-            words += of * copies
-            sentence += np.repeat(np.arange(at, at + copies), len(of)).tolist()
-            at += copies
-        return pa.table({
-            "block": table.column("block")[:1], "words": pa.array([np.array(words, np.int32).tobytes()], pa.binary()),
-            "sentence": pa.array([np.array(sentence, np.int64).tobytes()], pa.binary()),
-        })
-
-    corpus = stored(dealt.groupBy("block").applyInArrow(packed, "block long, words binary, sentence binary"), "corpus")
+        chunk, skills = table.column("chunk")[0].as_py(), table.column("skills").to_pylist()
+        copies, first = (table.column(name).to_numpy() for name in ("copies", "first"))
+        of = range(chunk * CHUNK, min((chunk + 1) * CHUNK, blocks))
+        found = _block_rows(skills, copies, first, pa.array(known_names.value, pa.string()), blocks, of)
+        rows = [{"block": block, "words": words.tobytes(), "lengths": lengths.astype(np.int32).tobytes()} for block, words, lengths in found]
+        return pa.Table.from_pylist(rows, _BLOCK)
+
+    # By number, as a few bytes of a chunk become many positions, which Spark does not see when it puts partitions together.
+    cores = spark.sparkContext.defaultParallelism
+    dealt = dealt.repartition(min(ceil(blocks / CHUNK), 4 * cores), "chunk")
+    dealt = dealt.groupBy("chunk").applyInArrow(packed, "block long, words binary, lengths binary")
+    corpus = stored(dealt.repartition(min(blocks, 2 * cores)), "corpus")
     positions = int(counts.sum())
     rng = np.random.default_rng(seed)
     inner = (rng.random((len(names), vector_size)) - 0.5) / vector_size
@@ -133,7 +210,8 @@ def skill2vec(
             before, change = model.value, np.zeros((2, len(names), vector_size))
             for row in rows:
                 a, b = before[0].copy(), before[1].copy()
-                words, sentence = np.frombuffer(row["words"], np.int32).astype(np.int64), np.frombuffer(row["sentence"], np.int64)
+                words, lengths = np.frombuffer(row["words"], code).astype(np.int64), np.frombuffer(row["lengths"], np.int32)
+                sentence = np.repeat(np.arange(len(lengths)), lengths)
                 train_block(words, sentence, a, b, counts, window, thin, steps, np.random.default_rng([seed, epoch, row["block"]]))
                 change += np.stack([a - before[0], b - before[1]]) * (len(words) / positions)
             yield change

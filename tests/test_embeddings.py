@@ -1,6 +1,7 @@
 """Bag-of-words embeddings: gradients against differences, windows against loops, planted groups."""
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from jobtide.ml import embeddings as em
@@ -29,6 +30,59 @@ def test_step_follows_the_gradient():
             assert new[at] - old[at] == pytest.approx(-1e-3 * slope * factor, abs=1e-8)
 
 
+def test_steps_at_once_equal_steps_one_by_one(monkeypatch):
+    """Products over all words, sums of sorted rows and additions one after the other come to the same."""
+    rng = np.random.default_rng(2)
+    sentence = np.repeat(np.arange(150), rng.integers(1, 9, 150))
+    words = rng.integers(0, 9, len(sentence))
+    counts = np.bincount(words, minlength=9)
+    start = rng.normal(size=(9, 4)), rng.normal(size=(9, 4))
+    found = []
+    for dense in (em.DENSE_WORDS, 0):
+        monkeypatch.setattr(em, "DENSE_WORDS", dense)
+        for thin in (0.0, 0.01):
+            a, b = start[0].copy(), start[1].copy()
+            em.train_block(words, sentence, a, b, counts, 3, thin, (0.05, 0.01), np.random.default_rng(7))
+            found.append((a, b))
+    assert np.allclose(found[0], found[2], rtol=0, atol=1e-12) and np.allclose(found[1], found[3], rtol=0, atol=1e-12)
+    assert not np.allclose(found[0], found[1]) and not np.allclose(found[0], start)
+
+    # The same draws, position after position, with plain additions.
+    a, b, rng = start[0].copy(), start[1].copy(), np.random.default_rng(7)
+    rng.random(len(words))
+    context, known = em.windows(words, sentence, rng.integers(1, 4, len(words)))
+    some = np.flatnonzero(known.any(1))
+    some = some[rng.permutation(len(some))]
+    for at in range(0, len(some), em.BATCH):
+        of, olda, oldb = some[at : at + em.BATCH], a.copy(), b.copy()
+        drawn = np.searchsorted(em.noise_table(counts), rng.random((len(of), em.NEGATIVE)), "right")
+        step = 0.05 - 0.04 * at / len(some)
+        for k, others in zip(of, drawn):
+            around = context[k][known[k]]
+            mean, back = olda[around].mean(0), 0
+            for word, label in [(words[k], 1.0)] + [(w, 0.0) for w in others if w != words[k]]:
+                error = step * (label - 1 / (1 + np.exp(-oldb[word] @ mean)))
+                back = back + error * oldb[word]
+                b[word] += error * mean
+            for word in around:
+                a[word] += back
+    assert np.allclose(found[0], (a, b), rtol=0, atol=1e-12)
+
+
+def test_blocks_hold_the_shares_of_their_sequences():
+    """Every copy of a sequence is in one block, of the blocks from its first on; unknown skills are left out."""
+    skills = [["b", "a"], ["a", "x"], ["x"], ["c"], ["a", "b", "c"]]
+    copies, first, blocks = np.array([7, 1, 9, 2, 23]), np.array([3, 0, 1, 4, 2]), 5
+    rows = [row for of in (range(0, 2), range(2, 4), range(4, 5)) for row in em._block_rows(skills, copies, first, pa.array(["a", "b", "c"]), blocks, of)]
+    assert [block for block, _, _ in rows] == [0, 1, 2, 3, 4]
+    for block, words, lengths in rows:
+        want = []
+        for of, n, start in sorted(zip(skills, copies.tolist(), first.tolist())):
+            held = sum((start + at) % blocks == block for at in range(n)) if n < blocks else n // blocks + ((block - start) % blocks < n % blocks)
+            want += [["abc".index(s) for s in of if s != "x"]] * (held if of != ["x"] else 0)
+        assert [w.tolist() for w in np.split(words, np.cumsum(lengths)[:-1])] == want
+
+
 def test_windows_and_noise():
     words, sentence, width = np.array([5, 6, 7, 8, 9]), np.array([0, 0, 0, 1, 1]), np.array([1, 2, 1, 2, 1])
     context, known = em.windows(words, sentence, width)
